@@ -1,14 +1,13 @@
 """Text operators as native column expressions: no model, no Python worker.
 
 Every operator is deterministic, gives NULL for NULL text, and matches whole words on
-folded text: accents removed, everything but ASCII letters and digits turned into one
-blank, lower case. What a label means is decided by the lexicon the caller passes.
+folded text: accents removed, lower case, split at everything but ASCII letters and digits. What a label means is decided by the lexicon the caller passes.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,76 +22,113 @@ Lexicon = Mapping[str, Mapping[str, float]]
 """label -> term -> weight, labels in the order that breaks ties."""
 
 
+def words(text: Column) -> Column:
+    """Array of folded words in text order; empty for text without any."""
+    plain = F.lower(F.translate(text, TEXT_ACCENTS, TEXT_PLAIN))
+    return F.array_remove(F.split(plain, "[^a-z0-9]+"), "")
+
+
 def fold(text: Column) -> Column:
-    """The folded form that all word matching uses."""
-    plain = F.translate(text, TEXT_ACCENTS, TEXT_PLAIN)
-    return F.lower(F.trim(F.regexp_replace(plain, "[^A-Za-z0-9]+", " ")))
+    """The folded text: its words, one blank between them."""
+    return F.array_join(words(text), " ")
 
 
 def fold_term(term: str) -> str:
     """The same folding for a lexicon term on the driver."""
-    plain = term.translate(str.maketrans(TEXT_ACCENTS, TEXT_PLAIN))
-    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in plain).lower().split())
+    plain = term.translate(str.maketrans(TEXT_ACCENTS, TEXT_PLAIN)).lower()
+    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in plain).split())
 
 
-def words(text: Column) -> Column:
-    """Array of folded words; empty for text without any."""
-    return F.array_remove(F.split(fold(text), " "), "")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
 
+def _folded_terms(terms: Mapping[str, float]) -> dict[str, float]:
+    return {fold_term(term): float(weight) for term, weight in terms.items()}
 
-def _any_of(terms: Sequence[str]) -> str:
-    return r"\b(?:" + "|".join(terms) + r")\b"
 
+def _mentions(found: Column, terms: Sequence[str]) -> Column:
+    """Does any term occur among the words? Terms of several words must be consecutive."""
+    single = [t for t in terms if " " not in t]
+    several = [t for t in terms if " " in t]
+    hit = F.lit(False)
+    if single:
+        hit = hit | F.arrays_overlap(found, F.array(*[F.lit(t) for t in single]))
+    if several:
+        hit = hit | F.array_join(found, " ").rlike(r"\b(?:" + "|".join(several) + r")\b")
+    return hit
 
-def term_score(folded: Column, terms: Mapping[str, float]) -> Column:
+
+def _score(hits: Column, folded: Column | None, terms: Mapping[str, float]) -> Column:
     """Sum of weight times occurrences.
 
-    One-word terms of equal weight share one scan. A term of several words is counted on
-    its own, at every position where it starts, so overlapping terms do not hide each other.
+    One-word terms are counted among ``hits``, the lexicon words found in the text. A term
+    of several words is counted at every position where it starts, so that overlapping
+    terms do not hide each other.
     """
     by_weight: dict[float, list[str]] = {}
     score = F.lit(0.0)
     for term, weight in terms.items():
-        plain = fold_term(term)
-        if " " in plain:
-            head, rest = plain.split(" ", 1)
+        if " " in term:
+            head, rest = term.split(" ", 1)
             starts = F.regexp_count(folded, F.lit(rf"\b{head}(?= {rest}\b)"))
-            score = score + starts.cast("double") * F.lit(float(weight))
+            score = score + starts.cast("double") * F.lit(weight)
         else:
-            by_weight.setdefault(float(weight), []).append(plain)
-    for weight, plain_terms in by_weight.items():
-        hits = F.regexp_count(folded, F.lit(_any_of(plain_terms)))
-        score = score + hits.cast("double") * F.lit(weight)
+            by_weight.setdefault(weight, []).append(term)
+    for weight, chosen in by_weight.items():
+        score = score + F.size(_among(hits, chosen)).cast("double") * F.lit(weight)
     return score
 
 
+def _among(found: Column, chosen: Sequence[str]) -> Column:
+    return F.filter(found, lambda word: word.isin(list(chosen)))
+
+
 def classify(text: Column, lexicon: Lexicon, default: str) -> Column:
-    """Exactly one label: highest score, ties by label order, ``default`` without any hit."""
-    folded = fold(text)
-    scored = [
-        F.struct(term_score(folded, terms).alias("score"), F.lit(-place).alias("place"),
-                 F.lit(label).alias("label"))
-        for place, (label, terms) in enumerate(lexicon.items())
-    ]
-    best = F.array_max(F.array(*scored)) if len(scored) > 1 else scored[0]
-    return F.when(text.isNotNull(),
-                  F.when(best["score"] > 0, best["label"]).otherwise(F.lit(default)))
+    """Exactly one label: highest score, ties by label order, ``default`` without any hit.
+
+    The text is split into words once, and reduced once to the words of the lexicon.
+    """
+    plain = {label: _folded_terms(terms) for label, terms in lexicon.items()}
+    single = sorted({t for terms in plain.values() for t in terms if " " not in t})
+    several = any(" " in t for terms in plain.values() for t in terms)
 
+    def best(hits: Column, folded: Column | None) -> Column:
+        # Without hits the default entry is the greatest: score 0, place before all labels.
+        entries = [_entry(F.lit(0.0), 1, default)]
+        entries += [_entry(_score(hits, folded, terms), -place, label)
+                    for place, (label, terms) in enumerate(plain.items()) if terms]
+        return F.array_max(F.array(*entries))["label"] if len(entries) > 1 else F.lit(default)
 
-def _mentions(folded: Column, terms: Sequence[str]) -> Column:
-    return folded.rlike(_any_of([fold_term(t) for t in terms]))
+    def scan(found: Column) -> Column:
+        hits = _among(found, single)
+        if not several:
+            return _let(hits, lambda h: best(h, None))
+        return _let(F.struct(hits.alias("hits"), F.array_join(found, " ").alias("folded")),
+                    lambda both: best(both["hits"], both["folded"]))
+
+    return F.when(text.isNotNull(), _let(words(text), scan))
+
+
+def _entry(score: Column, place: int, label: str) -> Column:
+    return F.struct(score.alias("score"), F.lit(place).alias("place"), F.lit(label).alias("label"))
 
 
 def sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
     """positive, negative, mixed (both kinds of terms) or neutral (neither)."""
-    folded = fold(text)
-    good, bad = _mentions(folded, positive), _mentions(folded, negative)
-    return (
-        F.when(good & bad, "mixed")
-        .when(good, "positive")
-        .when(bad, "negative")
-        .when(text.isNotNull(), "neutral")
-    )
+    good, bad = ([fold_term(t) for t in terms] for terms in (positive, negative))
+
+    def label(found: Column) -> Column:
+        names = F.array(*[F.lit(n) for n in ("neutral", "negative", "positive", "mixed")])
+        return F.element_at(names, _which(_mentions(found, good), _mentions(found, bad)))
+
+    return F.when(text.isNotNull(), _let(words(text), label))
+
+
+def _which(good: Column, bad: Column) -> Column:
+    """1 neither, 2 only bad, 3 only good, 4 both."""
+    return F.lit(1) + good.cast("int") * 2 + bad.cast("int")
 
 
 def sentiment_score(label: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import words
+from wardflow.operators.spread import gather_by
 
 
 def summarize(docs: DataFrame, key: str, text: str, max_words: int,
@@ -19,17 +20,18 @@ def summarize(docs: DataFrame, key: str, text: str, max_words: int,
     The texts are shuffled once, by key. All later steps group by that key and something
     else, which this partitioning already satisfies, so the exploded words never move.
     """
-    placed = docs.select(key, text).repartition(key)
+    placed = gather_by(docs.select(key, text), key)
+    # Outer explodes: a plain one adds a filter that computes its array a second time.
     sentences = (
-        placed.select(key, F.posexplode(F.split(F.col(text), r"[.!?\n]+")).alias("pos", "raw"))
+        placed.select(key, F.posexplode_outer(F.split(F.col(text), r"[.!?\n]+")).alias("pos", "raw"))
         .select(key, "pos", F.trim(F.regexp_replace("raw", r"[ \t\r]+", " ")).alias("sentence"))
         .withColumn("tokens", words(F.col("sentence")))
-        .where(F.size("tokens") > 0)
-        .withColumn("n_words", F.size("tokens").cast("long"))
     )
     in_text = Window.partitionBy(key, "token")
     frequencies = (
-        sentences.select(key, "pos", "sentence", "n_words", F.explode("tokens").alias("token"))
+        sentences.select(key, "pos", "sentence", F.size("tokens").cast("long").alias("n_words"),
+                         F.explode_outer("tokens").alias("token"))
+        .where(F.col("token").isNotNull())
         .withColumn("tf", F.count("*").over(in_text))
     )
     scored = frequencies.groupBy(key, "pos", "sentence", "n_words").agg(F.sum("tf").alias("tf_sum"))
@@ -41,7 +43,7 @@ def summarize(docs: DataFrame, key: str, text: str, max_words: int,
     picked = scored.withColumn("so_far", F.sum("n_words").over(by_score)).where(
         F.col("so_far") <= max_words)
     lines = picked.groupBy(F.col(key).alias("__doc")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("kept"),
+        F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("kept"),
         F.sum("n_words").alias("kept_words"))
     joined = F.array_join(F.transform("kept", lambda s: s["sentence"]), ". ")
     return (

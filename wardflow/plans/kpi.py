@@ -217,12 +217,14 @@ def wait_sentiment_correlation(rated: DataFrame) -> DataFrame:
     """
     x = F.col("tempo_espera_minutos").cast("long")
     y = F.col("nota").cast("long")
-    both = rated.where(x.isNotNull() & y.isNotNull())
-    sums = both.agg(
-        F.count("*").cast("double").alias("n"),
-        F.sum(x).cast("double").alias("sx"), F.sum(y).cast("double").alias("sy"),
+    # Conditions inside the sums: a filter would compute the score a second time.
+    x_paired, y_paired = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    sums = rated.agg(
+        F.count(x + y).cast("double").alias("n"),
+        F.sum(x_paired).cast("double").alias("sx"), F.sum(y_paired).cast("double").alias("sy"),
         F.sum(x * y).cast("double").alias("sxy"),
-        F.sum(x * x).cast("double").alias("sxx"), F.sum(y * y).cast("double").alias("syy"),
+        F.sum(x_paired * x).cast("double").alias("sxx"),
+        F.sum(y_paired * y).cast("double").alias("syy"),
     )
     spread_x = F.expr("n * sxx - sx * sx")
     spread_y = F.expr("n * syy - sy * sy")

@@ -46,7 +46,7 @@ def metrics_text(visits: DataFrame) -> DataFrame:
                     F.lit(" consultas, espera media "), wait, F.lit(" min"))
     parts = _waits(visits, "especialidade").where(F.col("espera_n") > 0).select(
         "especialidade", part.alias("parte"))
-    ordered = F.array_sort(F.collect_list(F.struct("especialidade", "parte")))
+    ordered = F.sort_array(F.collect_list(F.struct("especialidade", "parte")))
     return parts.agg(
         F.array_join(F.transform(ordered, lambda p: p["parte"]), ". ").alias("texto_metricas"))
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow import scratch
 from wardflow.functions import columns as C
 from wardflow.functions import text as X
+from wardflow.operators.spread import spread_rows
 
 AS_OF = "2024-01-31"
 
@@ -175,10 +177,15 @@ def with_text_columns(facts: DataFrame, labelled_texts: DataFrame) -> DataFrame:
     return facts.join(labelled_texts, "doc_id")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_rows(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def review_sentiment(spark: SparkSession, folder: str) -> DataFrame:
-    texts = table(spark, folder, "documents").select(
+    """Reviews with the sentiment of their text, labelled once per text and stored."""
+    texts = documents(spark, folder).select(
         "doc_id", X.sentiment(F.col("text"), PRAISE, TOXIC).alias("sentimento"))
-    return with_text_columns(reviews(spark, folder), texts)
+    return with_text_columns(reviews(spark, folder), scratch.materialise(texts, "sentiment"))
 
 
 def visits_with_doc(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
@@ -190,8 +197,8 @@ def visits_with_doc(spark: SparkSession, folder: str, codes: bool = True) -> Dat
 # ---- oracle SQL for the text operators ----
 
 def fold_sql(column: str) -> str:
-    return (f"lower(trim(regexp_replace(translate({column}, '{X.TEXT_ACCENTS}', '{X.TEXT_PLAIN}'), "
-            f"'[^A-Za-z0-9]+', ' ', 'g')))")
+    plain = f"lower(translate({column}, '{X.TEXT_ACCENTS}', '{X.TEXT_PLAIN}'))"
+    return f"trim(regexp_replace({plain}, '[^a-z0-9]+', ' ', 'g'))"
 
 
 def score_sql(folded: str, terms: dict[str, float]) -> str:

@@ -116,7 +116,7 @@ def enriched_view(spark, sf):
     """Labels are computed once per text and stored; the view joins the stored table."""
     layers = _layers(spark, "views")
     texts = views.enriched_visits(
-        B.table(spark, sf, "documents").select("doc_id", "text"), "text",
+        B.documents(spark, sf), "text",
         B.PRIORITY, "eletiva", B.RISK, "baixo_risco").drop("text")
     tables.create_table(texts, f"{layers['silver']}.textos_rotulados")
     tables.create_table(B.visits_with_doc(spark, sf), f"{layers['bronze']}.consultas")

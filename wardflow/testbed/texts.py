@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardflow import scratch
 from wardflow.functions import lexicons
 from wardflow.functions import text as X
 from wardflow.operators import enrich, phrases, shares, summarize
@@ -15,7 +16,7 @@ from wardflow.testbed.registry import query
 
 
 def _documents(spark, sf):
-    return B.table(spark, sf, "documents").select("doc_id", "text")
+    return B.documents(spark, sf)
 
 
 CLASSIFY_SQL = f"""
@@ -236,10 +237,11 @@ def criticality(spark, sf):
 # ---- labelled visits ----
 
 def labelled_visits(spark, sf, codes: bool = True):
-    """Visits with priority and risk of their text, labelled once per text."""
+    """Visits with priority and risk of their text, labelled once per text and stored."""
     labels = views.enriched_visits(_documents(spark, sf), "text", B.PRIORITY, "eletiva", B.RISK,
                                    "baixo_risco").select("doc_id", "prioridade", "risco")
-    return B.with_text_columns(B.visits_with_doc(spark, sf, codes), labels)
+    return B.with_text_columns(B.visits_with_doc(spark, sf, codes),
+                               scratch.materialise(labels, "labels"))
 
 
 @query("priority_distribution", f"""
