@@ -92,17 +92,21 @@ def calendar_years(birth: Column, as_of: Column) -> Column:
     return F.year(as_of) - F.year(birth)
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """Quotient as a double; NULL where the divisor is 0, as for groups without values."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
 def share(part: Column, whole: Column) -> Column:
     """Percentage as a double."""
-    return part.cast("double") * F.lit(100.0) / whole.cast("double")
+    return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
 
 
 def exact_mean(value: Column, scale: int = 2) -> Column:
     """Mean of a money-like column: decimal sum, so that row order cannot change it."""
-    total = F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
-    return total / F.count(value).cast("double")
+    return ratio(F.sum(value.cast(f"decimal(18,{scale})")), F.count(value))
 
 
 def rate(condition: Column) -> Column:
     """Share of rows (0..1) where the condition holds; a NULL condition counts as no."""
-    return F.count_if(condition).cast("double") / F.count("*").cast("double")
+    return ratio(F.count_if(condition), F.count("*"))

@@ -199,15 +199,15 @@ def contains_personal_data(text: Column, entities: Sequence[str]) -> Column:
 
 def jaccard(left: Column, right: Column) -> Column:
     """Similarity of two texts as sets of folded words: 0..1, and 0 when both have none."""
-    a, b = F.array_distinct(words(left)), F.array_distinct(words(right))
-    return jaccard_sets(a, b)
+    sets = F.struct(F.array_distinct(words(left)).alias("a"), F.array_distinct(words(right)).alias("b"))
 
+    def ratio(both: Column) -> Column:
+        common = F.size(F.array_intersect(both["a"], both["b"])).cast("double")
+        return _let(F.struct(common.alias("common"),
+                             (F.size(both["a"]) + F.size(both["b"]) - common).alias("union")),
+                    lambda n: F.when(n["union"] > 0, n["common"] / n["union"]).otherwise(F.lit(0.0)))
 
-def jaccard_sets(a: Column, b: Column) -> Column:
-    common = F.size(F.array_intersect(a, b)).cast("double")
-    union = F.size(a).cast("double") + F.size(b).cast("double") - common
-    return F.when(a.isNotNull() & b.isNotNull(),
-                  F.when(union > 0, common / union).otherwise(F.lit(0.0)))
+    return F.when(left.isNotNull() & right.isNotNull(), _let(sets, ratio))
 
 
 def cosine(a: Column, b: Column) -> Column:

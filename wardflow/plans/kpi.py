@@ -19,10 +19,6 @@ from wardflow.operators.shares import label_shares
 
 
 
-def _when_count(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def _wait() -> Column:
     return F.avg("tempo_espera_minutos")
 
@@ -32,7 +28,7 @@ def per_hospital(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
     facts = visits.groupBy("id_hospital").agg(
         F.count("*").alias("total_consultas"),
         _wait().alias("tempo_espera_medio"),
-        _when_count(F.col("status") == "cancelada").alias("cancelamentos"),
+        F.count_if(F.col("status") == "cancelada").alias("cancelamentos"),
         F.count_distinct("id_paciente").alias("pacientes_unicos"),
     )
     names = hospitals.select("id_hospital", "nome_hospital", "cidade")
@@ -49,8 +45,7 @@ def per_channel(reviews: DataFrame, visit_waits: DataFrame, city_of_visit: DataF
         F.count("*").alias("total_avaliacoes"),
         C.exact_mean(F.col("tempo_para_avaliar_min")).alias("avg_tempo_para_avaliar"),
         C.rate(F.col("avaliacao_anonima")).alias("taxa_anonimato"),
-        (F.sum("espera_soma").cast("double") / F.sum("espera_n").cast("double"))
-        .alias("tempo_espera_medio"),
+        C.ratio(F.sum("espera_soma"), F.sum("espera_n")).alias("tempo_espera_medio"),
     )
 
 
@@ -76,8 +71,8 @@ def per_doctor(visits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Visits by mode and mean wait per doctor; ``keys`` sets the grain."""
     return visits.groupBy(*keys).agg(
         F.count("*").alias("total_consultas"),
-        _when_count(F.col("modalidade") == "presencial").alias("presenciais"),
-        _when_count(F.col("modalidade") == "telemedicina").alias("telemedicina"),
+        F.count_if(F.col("modalidade") == "presencial").alias("presenciais"),
+        F.count_if(F.col("modalidade") == "telemedicina").alias("telemedicina"),
         _wait().alias("tempo_espera_medio"),
     )
 
@@ -88,7 +83,7 @@ def demography(view: DataFrame) -> DataFrame:
     return banded.groupBy("convenio", "sexo", "faixa_etaria", "regiao").agg(
         F.count_distinct("id_paciente").alias("total_pacientes"),
         F.count("*").alias("total_consultas"),
-        _when_count(F.col("status") == "cancelada").alias("cancelamentos"),
+        F.count_if(F.col("status") == "cancelada").alias("cancelamentos"),
         _wait().alias("tempo_espera_medio"),
         C.rate(F.col("modalidade") == "telemedicina").alias("taxa_telemedicina"),
     )
@@ -126,8 +121,7 @@ def busiest_hospitals(visits: DataFrame, hospitals: DataFrame, k: int = 5) -> Da
     names = hospitals.select("id_hospital", "nome_hospital", "cidade")
     totals = reduced.join(names, "id_hospital").groupBy("nome_hospital", "cidade").agg(
         F.sum("n").alias("total_consultas"),
-        (F.sum("soma").cast("double") / F.sum("com_espera").cast("double"))
-        .alias("tempo_espera_medio"),
+        C.ratio(F.sum("soma"), F.sum("com_espera")).alias("tempo_espera_medio"),
         F.count_distinct("especialidade").alias("especialidades_ativas"),
     )
     return first_n(totals, k, [F.desc("total_consultas"), F.asc("nome_hospital"), F.asc("cidade")])
@@ -142,8 +136,7 @@ def hospital_scores(visits: DataFrame, review_scores: DataFrame, hospitals: Data
     facts = joined.groupBy("id_hospital").agg(
         F.count("*").alias("volume"),
         _wait().alias("tempo_espera_medio"),
-        (F.sum("nota_soma").cast("double") / F.sum("nota_n").cast("double"))
-        .alias("sentimento_medio"),
+        C.ratio(F.sum("nota_soma"), F.sum("nota_n")).alias("sentimento_medio"),
     )
     return facts.join(hospitals.select("id_hospital", "nome_hospital"), "id_hospital")
 
@@ -181,7 +174,7 @@ def risk_by_specialty(labelled: DataFrame) -> DataFrame:
     """High-risk visits, their share, and the mean risk level (0, 1, 2) per specialty."""
     return labelled.groupBy("especialidade").agg(
         F.count("*").alias("total_consultas"),
-        _when_count(F.col("risco") == "alto_risco").alias("alto_risco"),
+        F.count_if(F.col("risco") == "alto_risco").alias("alto_risco"),
         (C.rate(F.col("risco") == "alto_risco") * 100.0).alias("percentual_alto"),
         F.avg(_risk_level()).alias("risco_medio"),
     )
@@ -237,11 +230,11 @@ def load_per_capacity(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Visits per bed and per doctor post of every hospital, with region and state."""
     counts = visits.groupBy("id_hospital").agg(F.count("*").alias("total_consultas"))
     places = hospitals.select("id_hospital", "regiao", "estado", "qtd_leitos", "qtd_medicos")
-    n = F.col("total_consultas").cast("double")
+    n = F.col("total_consultas")
     return counts.join(places, "id_hospital").select(
         "id_hospital", "regiao", "estado", "total_consultas",
-        (n / F.col("qtd_leitos").cast("double")).alias("consultas_por_leito"),
-        (n / F.col("qtd_medicos").cast("double")).alias("consultas_por_medico"),
+        C.ratio(n, F.col("qtd_leitos")).alias("consultas_por_leito"),
+        C.ratio(n, F.col("qtd_medicos")).alias("consultas_por_medico"),
     )
 
 
@@ -249,11 +242,11 @@ def load_by_region(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
     """The same load per region and state: total visits over total beds and doctor posts."""
     per_place = load_per_capacity(visits, hospitals).join(
         hospitals.select("id_hospital", "qtd_leitos", "qtd_medicos"), "id_hospital")
-    n = F.sum("total_consultas").cast("double")
+    n = F.sum("total_consultas")
     return per_place.groupBy("regiao", "estado").agg(
         F.sum("total_consultas").alias("total_consultas"),
-        (n / F.sum("qtd_leitos").cast("double")).alias("consultas_por_leito"),
-        (n / F.sum("qtd_medicos").cast("double")).alias("consultas_por_medico"),
+        C.ratio(n, F.sum("qtd_leitos")).alias("consultas_por_leito"),
+        C.ratio(n, F.sum("qtd_medicos")).alias("consultas_por_medico"),
     )
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.functions.columns import ratio
+
 
 # Rules for the advice per group: mean wait in minutes, the first limit not reached decides.
 ADVICE = [
@@ -72,7 +74,7 @@ def briefing_text(visits: DataFrame) -> DataFrame:
 
 def overall(visits: DataFrame) -> DataFrame:
     """One row: the bottleneck (longest mean wait) and the best specialty, as one sentence."""
-    mean = F.col("espera_soma").cast("double") / F.col("espera_n").cast("double")
+    mean = ratio(F.col("espera_soma"), F.col("espera_n"))
     waits = _waits(visits, "especialidade").where(F.col("espera_n") > 0).select(
         "especialidade", mean.alias("media"),
         tenths(F.col("espera_soma"), F.col("espera_n")).alias("texto"))
@@ -89,7 +91,7 @@ def overall(visits: DataFrame) -> DataFrame:
 
 def by_group(visits: DataFrame, key: str) -> DataFrame:
     """One sentence per group: its numbers and the advice the rules give for its wait."""
-    mean = F.col("espera_soma").cast("double") / F.col("espera_n").cast("double")
+    mean = ratio(F.col("espera_soma"), F.col("espera_n"))
     advice = F.when(mean < ADVICE[0][0], ADVICE[0][1])
     for limit, words in ADVICE[1:]:
         advice = advice.when(mean < limit, words)

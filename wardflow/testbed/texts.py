@@ -10,6 +10,7 @@ from wardflow import scratch
 from wardflow.functions import lexicons
 from wardflow.functions import text as X
 from wardflow.operators import enrich, phrases, shares, summarize
+from wardflow.operators.spread import spread_rows
 from wardflow.plans import kpi, views
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -154,7 +155,7 @@ def text_similarity(spark, sf):
     """Each turn of a conversation against the next one."""
     turns = B.table(spark, sf, "conversations").select("conv_id", "turn", "text")
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("resposta"))
-    return turns.join(following, ["conv_id", "turn"]).select(
+    return spread_rows(turns.join(following, ["conv_id", "turn"])).select(
         "conv_id", "turn", X.jaccard(F.col("text"), F.col("resposta")).alias("similaridade"))
 
 
