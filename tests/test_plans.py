@@ -74,7 +74,7 @@ def test_view_360_and_demography(visits, hospitals, patients):
 
 
 def test_doctor_load_cohort(visits, hospitals, patients):
-    doctors = by(kpi.per_doctor(visits, ["id_medico"]), "id_medico")
+    doctors = by(kpi.per_doctor(kpi.partials(visits, ["id_medico"]), ["id_medico"]), "id_medico")
     assert (doctors[50]["presenciais"], doctors[50]["telemedicina"]) == (1, 1)
     load = by(kpi.load_per_capacity(visits, hospitals), "id_hospital")
     assert load[2]["consultas_por_leito"] == 0.2
@@ -89,22 +89,23 @@ def test_empty_facts_give_empty_kpis(visits, hospitals, patients):
     none = visits.where("false")
     view = views.visits_360(none, hospitals, patients)
     for df in (kpi.per_hospital(none, hospitals), kpi.demography(view), kpi.epidemiology(view),
-               kpi.by_specialty(none), kpi.busiest_hospitals(none, hospitals),
-               narrative.by_group(none, "id_hospital"), narrative.briefing_text(none)):
+               kpi.by_specialty(kpi.partials(none, ["id_hospital", "especialidade"])), kpi.busiest_hospitals(none, hospitals),
+               narrative.by_group(kpi.partials(none, ["id_hospital"]), "id_hospital"), narrative.briefing_text(none)):
         assert df.count() == 0
     assert kpi.daily_totals(none).first()["total_consultas"] == 0
 
 
 def test_narratives(visits):
-    assert narrative.metrics_text(visits).first()[0] == (
+    parts = kpi.partials(visits, ["id_medico", "id_hospital", "especialidade"])
+    assert narrative.metrics_text(parts).first()[0] == (
         "Cardiologia: 2 consultas, espera media 5.0 min. Pediatria: 2 consultas, espera media 25.5 min")
-    assert narrative.overall(visits).first()[0] == (
+    assert narrative.overall(parts).first()[0] == (
         "Principal gargalo: Pediatria, com espera media de 25.5 min. "
         "Melhor desempenho: Cardiologia, com 5.0 min.")
     assert narrative.briefing_text(visits).first()[0] == (
         "Operacao do dia: 4 consultas em 3 hospitais ativos cobrindo 2 especialidades. "
         "Tempo medio de espera: 15.3 minutos. Taxa de conclusao: 50.0%.")
-    advice = by(narrative.by_group(visits, "id_hospital"), "id_hospital")
+    advice = by(narrative.by_group(parts, "id_hospital"), "id_hospital")
     assert advice[2]["recomendacao"].endswith("reforcar a equipe com urgencia.")
     assert advice[3]["recomendacao"].endswith("20.0 min: abrir horarios extras nos dias de pico.")
 

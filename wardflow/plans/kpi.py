@@ -23,6 +23,28 @@ def _wait() -> Column:
     return F.avg("tempo_espera_minutos")
 
 
+def partials(visits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts and sums per key, which later steps add up to any coarser grain.
+
+    Reducing the facts by an id before the id's dimension is joined leaves one row per id
+    for the join's shuffle, and splits a hot id over all tasks that read it.
+    """
+    mode, status = F.col("modalidade"), F.col("status")
+    return visits.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.sum(F.col("tempo_espera_minutos").cast("long")).alias("espera_soma"),
+        F.count("tempo_espera_minutos").alias("espera_n"),
+        F.count_if(status == "finalizada").alias("finalizadas"),
+        F.count_if(status == "cancelada").alias("canceladas"),
+        F.count_if(mode == "presencial").alias("presenciais"),
+        F.count_if(mode == "telemedicina").alias("telemedicina"),
+    )
+
+
+def _total_wait() -> Column:
+    return C.ratio(F.sum("espera_soma"), F.sum("espera_n")).alias("tempo_espera_medio")
+
+
 def per_hospital(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Visits, mean wait, cancellations, distinct patients of every hospital."""
     facts = visits.groupBy("id_hospital").agg(
@@ -45,7 +67,7 @@ def per_channel(reviews: DataFrame, visit_waits: DataFrame, city_of_visit: DataF
         F.count("*").alias("total_avaliacoes"),
         C.exact_mean(F.col("tempo_para_avaliar_min")).alias("avg_tempo_para_avaliar"),
         C.rate(F.col("avaliacao_anonima")).alias("taxa_anonimato"),
-        C.ratio(F.sum("espera_soma"), F.sum("espera_n")).alias("tempo_espera_medio"),
+        _total_wait(),
     )
 
 
@@ -67,13 +89,13 @@ def epidemiology(view: DataFrame) -> DataFrame:
     )
 
 
-def per_doctor(visits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Visits by mode and mean wait per doctor; ``keys`` sets the grain."""
-    return visits.groupBy(*keys).agg(
-        F.count("*").alias("total_consultas"),
-        F.count_if(F.col("modalidade") == "presencial").alias("presenciais"),
-        F.count_if(F.col("modalidade") == "telemedicina").alias("telemedicina"),
-        _wait().alias("tempo_espera_medio"),
+def per_doctor(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Visits by mode and mean wait per doctor, from :func:`partials`; ``keys`` sets the grain."""
+    return parts.groupBy(*keys).agg(
+        F.sum("n").alias("total_consultas"),
+        F.sum("presenciais").alias("presenciais"),
+        F.sum("telemedicina").alias("telemedicina"),
+        _total_wait(),
     )
 
 
@@ -89,12 +111,12 @@ def demography(view: DataFrame) -> DataFrame:
     )
 
 
-def by_specialty(visits: DataFrame) -> DataFrame:
-    """Visits, mean wait, completion percentage per specialty."""
-    return visits.groupBy("especialidade").agg(
-        F.count("*").alias("total_consultas"),
-        _wait().alias("tempo_espera_medio"),
-        (C.rate(F.col("status") == "finalizada") * 100.0).alias("taxa_conclusao_pct"),
+def by_specialty(parts: DataFrame) -> DataFrame:
+    """Visits, mean wait, completion percentage per specialty, from :func:`partials`."""
+    return parts.groupBy("especialidade").agg(
+        F.sum("n").alias("total_consultas"),
+        _total_wait(),
+        (C.ratio(F.sum("finalizadas"), F.sum("n")) * 100.0).alias("taxa_conclusao_pct"),
     )
 
 
@@ -115,13 +137,11 @@ def busiest_hospitals(visits: DataFrame, hospitals: DataFrame, k: int = 5) -> Da
     The group is (name, city), and a name may belong to several ids: so the specialties are
     counted after the join, over rows already reduced to one per hospital and specialty.
     """
-    reduced = visits.groupBy("id_hospital", "especialidade").agg(
-        F.count("*").alias("n"), F.sum(F.col("tempo_espera_minutos").cast("long")).alias("soma"),
-        F.count("tempo_espera_minutos").alias("com_espera"))
+    reduced = partials(visits, ["id_hospital", "especialidade"])
     names = hospitals.select("id_hospital", "nome_hospital", "cidade")
     totals = reduced.join(names, "id_hospital").groupBy("nome_hospital", "cidade").agg(
         F.sum("n").alias("total_consultas"),
-        C.ratio(F.sum("soma"), F.sum("com_espera")).alias("tempo_espera_medio"),
+        _total_wait(),
         F.count_distinct("especialidade").alias("especialidades_ativas"),
     )
     return first_n(totals, k, [F.desc("total_consultas"), F.asc("nome_hospital"), F.asc("cidade")])
@@ -250,10 +270,11 @@ def load_by_region(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
     )
 
 
-def telemedicine_ratio(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("especialidade").agg(
-        F.count("*").alias("total_consultas"),
-        C.rate(F.col("modalidade") == "telemedicina").alias("taxa_telemedicina"),
+def telemedicine_ratio(parts: DataFrame) -> DataFrame:
+    """Share of telemedicine per specialty, from :func:`partials`."""
+    return parts.groupBy("especialidade").agg(
+        F.sum("n").alias("total_consultas"),
+        C.ratio(F.sum("telemedicina"), F.sum("n")).alias("taxa_telemedicina"),
     )
 
 

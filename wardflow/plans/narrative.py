@@ -30,15 +30,17 @@ def tenths(total: Column, count: Column, factor: int = 1) -> Column:
                     F.pmod(units, ten).cast("string"))
 
 
-def _waits(visits: DataFrame, *keys: str) -> DataFrame:
-    return visits.groupBy(*keys).agg(
-        F.count("*").alias("total_consultas"),
-        F.sum(F.col("tempo_espera_minutos").cast("long")).alias("espera_soma"),
-        F.count("tempo_espera_minutos").alias("espera_n"),
+def _waits(parts: DataFrame, key: str) -> DataFrame:
+    """Totals per group from the partial sums of ``kpi.partials``; groups without waits drop out."""
+    totals = parts.groupBy(key).agg(
+        F.sum("n").alias("total_consultas"),
+        F.sum("espera_soma").alias("espera_soma"),
+        F.sum("espera_n").alias("espera_n"),
     )
+    return totals.where(F.col("espera_n") > 0)
 
 
-def metrics_text(visits: DataFrame) -> DataFrame:
+def metrics_text(parts: DataFrame) -> DataFrame:
     """One row: every specialty with visits and mean wait, sorted by name, in one string.
 
     The string has one part per specialty; the facts are reduced to those rows before.
@@ -46,10 +48,9 @@ def metrics_text(visits: DataFrame) -> DataFrame:
     wait = tenths(F.col("espera_soma"), F.col("espera_n"))
     part = F.concat(F.col("especialidade"), F.lit(": "), F.col("total_consultas").cast("string"),
                     F.lit(" consultas, espera media "), wait, F.lit(" min"))
-    parts = _waits(visits, "especialidade").where(F.col("espera_n") > 0).select(
-        "especialidade", part.alias("parte"))
+    lines = _waits(parts, "especialidade").select("especialidade", part.alias("parte"))
     ordered = F.sort_array(F.collect_list(F.struct("especialidade", "parte")))
-    return parts.agg(
+    return lines.agg(
         F.array_join(F.transform(ordered, lambda p: p["parte"]), ". ").alias("texto_metricas"))
 
 
@@ -72,10 +73,10 @@ def briefing_text(visits: DataFrame) -> DataFrame:
     ).alias("briefing"))
 
 
-def overall(visits: DataFrame) -> DataFrame:
+def overall(parts: DataFrame) -> DataFrame:
     """One row: the bottleneck (longest mean wait) and the best specialty, as one sentence."""
     mean = ratio(F.col("espera_soma"), F.col("espera_n"))
-    waits = _waits(visits, "especialidade").where(F.col("espera_n") > 0).select(
+    waits = _waits(parts, "especialidade").select(
         "especialidade", mean.alias("media"),
         tenths(F.col("espera_soma"), F.col("espera_n")).alias("texto"))
     # Equal means are decided by name: the smaller name wins at both ends.
@@ -89,13 +90,13 @@ def overall(visits: DataFrame) -> DataFrame:
     ).alias("analise"))
 
 
-def by_group(visits: DataFrame, key: str) -> DataFrame:
+def by_group(parts: DataFrame, key: str) -> DataFrame:
     """One sentence per group: its numbers and the advice the rules give for its wait."""
     mean = ratio(F.col("espera_soma"), F.col("espera_n"))
     advice = F.when(mean < ADVICE[0][0], ADVICE[0][1])
     for limit, words in ADVICE[1:]:
         advice = advice.when(mean < limit, words)
-    return _waits(visits, key).where(F.col("espera_n") > 0).select(
+    return _waits(parts, key).select(
         key,
         F.concat(
             F.col(key).cast("string"), F.lit(" teve "), F.col("total_consultas").cast("string"),

@@ -71,6 +71,11 @@ def visits(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
     )
 
 
+def specialties(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id_medico"), F.col("p_type").alias("especialidade"))
+
+
 def patient_key():
     """The patient is missing for every tenth visit, as in the reference data."""
     return F.when(C.spread(F.col("o_orderkey"), 7, 10) != 0, F.col("o_custkey"))

@@ -85,14 +85,20 @@ SELECT {keys}, count(*) AS total_consultas,
 FROM v GROUP BY ALL"""
 
 
+def _parts_with_specialty(spark, sf):
+    """Partial sums per doctor id, then the specialty: the facts are reduced before the join."""
+    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"])
+    return sums.join(B.specialties(spark, sf), "id_medico")
+
+
 @query("kpi_doctor", _doctor_sql("id_medico, especialidade"))
 def kpi_doctor(spark, sf):
-    return kpi.per_doctor(B.visits(spark, sf), ["id_medico", "especialidade"])
+    return kpi.per_doctor(_parts_with_specialty(spark, sf), ["id_medico", "especialidade"])
 
 
 @query("kpi_doctor_id", _doctor_sql("id_medico"))
 def kpi_doctor_id(spark, sf):
-    return kpi.per_doctor(B.visits(spark, sf, codes=False), ["id_medico"])
+    return kpi.per_doctor(kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"]), ["id_medico"])
 
 
 @query("kpi_demography", f"""
@@ -116,7 +122,7 @@ SELECT especialidade, count(*) AS total_consultas, avg(tempo_espera_minutos) AS
          AS taxa_conclusao_pct
 FROM v GROUP BY especialidade""")
 def metrics_by_group(spark, sf):
-    return kpi.by_specialty(B.visits(spark, sf)).orderBy(F.desc("tempo_espera_medio"))
+    return kpi.by_specialty(_parts_with_specialty(spark, sf)).orderBy(F.desc("tempo_espera_medio"))
 
 
 @query("daily_briefing_metrics", f"""
@@ -203,7 +209,7 @@ SELECT especialidade, count(*) AS total_consultas,
          AS taxa_telemedicina
 FROM v GROUP BY especialidade""")
 def telemedicine_ratio(spark, sf):
-    return kpi.telemedicine_ratio(B.visits(spark, sf))
+    return kpi.telemedicine_ratio(_parts_with_specialty(spark, sf))
 
 
 @query("age_plan_hospital", f"""
@@ -310,7 +316,7 @@ t AS (SELECT especialidade, n, (20 * s + n) // (2 * n) AS u FROM w)
 SELECT string_agg(especialidade || ': ' || n || ' consultas, espera media ' || u // 10 || '.'
                   || u % 10 || ' min', '. ' ORDER BY especialidade) AS texto_metricas FROM t""")
 def metrics_text(spark, sf):
-    return narrative.metrics_text(B.visits(spark, sf))
+    return narrative.metrics_text(_parts_with_specialty(spark, sf))
 
 
 @query("briefing_text", f"""
@@ -337,7 +343,7 @@ SELECT 'Principal gargalo: ' || x.especialidade || ', com espera media de ' || x
        || ' min. Melhor desempenho: ' || y.especialidade || ', com ' || y.z || ' min.' AS analise
 FROM x, y""")
 def narrative_overall(spark, sf):
-    return narrative.overall(B.visits(spark, sf))
+    return narrative.overall(_parts_with_specialty(spark, sf))
 
 
 @query("narrative_by_group", f"""
@@ -353,4 +359,5 @@ SELECT id_hospital, id_hospital || ' teve ' || n || ' consultas com espera media
                ELSE 'reforcar a equipe com urgencia' END || '.' AS recomendacao
 FROM t""")
 def narrative_by_group(spark, sf):
-    return narrative.by_group(B.visits(spark, sf, codes=False), "id_hospital")
+    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_hospital"])
+    return narrative.by_group(sums, "id_hospital")
