@@ -85,11 +85,12 @@ def _among(found: Column, chosen: Sequence[str]) -> Column:
     return F.filter(found, lambda word: word.isin(list(chosen)))
 
 
-def classify(text: Column, lexicon: Lexicon, default: str) -> Column:
-    """Exactly one label: highest score, ties by label order, ``default`` without any hit.
+Rule = Callable[[Column], Column]
+"""From the array of folded words to a label."""
 
-    The text is split into words once, and reduced once to the words of the lexicon.
-    """
+
+def class_rule(lexicon: Lexicon, default: str) -> Rule:
+    """Exactly one label: highest score, ties by label order, ``default`` without any hit."""
     plain = {label: _folded_terms(terms) for label, terms in lexicon.items()}
     single = sorted({t for terms in plain.values() for t in terms if " " not in t})
     several = any(" " in t for terms in plain.values() for t in terms)
@@ -101,34 +102,49 @@ def classify(text: Column, lexicon: Lexicon, default: str) -> Column:
                     for place, (label, terms) in enumerate(plain.items()) if terms]
         return F.array_max(F.array(*entries))["label"] if len(entries) > 1 else F.lit(default)
 
-    def scan(found: Column) -> Column:
+    def rule(found: Column) -> Column:
         hits = _among(found, single)
         if not several:
             return _let(hits, lambda h: best(h, None))
         return _let(F.struct(hits.alias("hits"), F.array_join(found, " ").alias("folded")),
                     lambda both: best(both["hits"], both["folded"]))
 
-    return F.when(text.isNotNull(), _let(words(text), scan))
-
-
-def _entry(score: Column, place: int, label: str) -> Column:
-    return F.struct(score.alias("score"), F.lit(place).alias("place"), F.lit(label).alias("label"))
+    return rule
 
 
-def sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
+def sentiment_rule(positive: Sequence[str], negative: Sequence[str]) -> Rule:
     """positive, negative, mixed (both kinds of terms) or neutral (neither)."""
-    good, bad = ([fold_term(t) for t in terms] for terms in (positive, negative))
+    good, bad = [fold_term(t) for t in positive], [fold_term(t) for t in negative]
 
-    def label(found: Column) -> Column:
+    def rule(found: Column) -> Column:
+        # 1 neither, 2 only negative, 3 only positive, 4 both.
+        kind = F.lit(1) + _mentions(found, good).cast("int") * 2 + _mentions(found, bad).cast("int")
         names = F.array(*[F.lit(n) for n in ("neutral", "negative", "positive", "mixed")])
-        return F.element_at(names, _which(_mentions(found, good), _mentions(found, bad)))
+        return F.element_at(names, kind)
+
+    return rule
+
 
-    return F.when(text.isNotNull(), _let(words(text), label))
+def label_all(text: Column, rules: Mapping[str, Rule]) -> Column:
+    """Struct with one label per rule; the text is split into words once for all of them."""
+    def apply(found: Column) -> Column:
+        return F.struct(*[rule(found).alias(name) for name, rule in rules.items()])
 
+    return F.when(text.isNotNull(), _let(words(text), apply))
 
-def _which(good: Column, bad: Column) -> Column:
-    """1 neither, 2 only bad, 3 only good, 4 both."""
-    return F.lit(1) + good.cast("int") * 2 + bad.cast("int")
+
+def classify(text: Column, lexicon: Lexicon, default: str) -> Column:
+    """The label of :func:`class_rule`; NULL for NULL text."""
+    return label_all(text, {"label": class_rule(lexicon, default)})["label"]
+
+
+def sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
+    """The label of :func:`sentiment_rule`; NULL for NULL text."""
+    return label_all(text, {"label": sentiment_rule(positive, negative)})["label"]
+
+
+def _entry(score: Column, place: int, label: str) -> Column:
+    return F.struct(score.alias("score"), F.lit(place).alias("place"), F.lit(label).alias("label"))
 
 
 def sentiment_score(label: Column) -> Column:

@@ -37,10 +37,14 @@ def enriched_visits(visits: DataFrame, text: str = "sintomas_relatados",
                     risk=RISK, risk_default: str = RISK_DEFAULT) -> DataFrame:
     """Visits that have text, with priority and risk. Write the result as a table before
     dashboards read it, so that the texts are scanned once."""
-    return visits.where(F.col(text).isNotNull()).withColumns({
-        "prioridade": X.classify(F.col(text), priority, priority_default),
-        "risco": X.classify(F.col(text), risk, risk_default),
-    })
+    labels = X.label_all(F.col(text), {"prioridade": X.class_rule(priority, priority_default),
+                                       "risco": X.class_rule(risk, risk_default)})
+    return with_labels(visits.where(F.col(text).isNotNull()), labels)
+
+
+def with_labels(df: DataFrame, labels: Column) -> DataFrame:
+    """Add the fields of a label struct as columns."""
+    return df.withColumn("__labels", labels).select(*df.columns, "__labels.*")
 
 
 def risk_details(visits: DataFrame, fields: dict[str, str], text: str = "sintomas_relatados",

@@ -55,9 +55,9 @@ WITH {B.classify_sql("documents", "doc_id", "text", B.THEME, "outros", "tema", "
 SELECT t.doc_id, tema, {B.sentiment_case_sql("f", B.PRAISE, B.TOXIC)} AS sentimento
 FROM t JOIN (SELECT doc_id, {B.fold_sql("text")} AS f FROM documents) d ON d.doc_id = t.doc_id""")
 def sentiment_theme(spark, sf):
-    return _documents(spark, sf).select(
-        "doc_id", X.classify(F.col("text"), B.THEME, "outros").alias("tema"),
-        X.sentiment(F.col("text"), B.PRAISE, B.TOXIC).alias("sentimento"))
+    labels = X.label_all(F.col("text"), {"tema": X.class_rule(B.THEME, "outros"),
+                                         "sentimento": X.sentiment_rule(B.PRAISE, B.TOXIC)})
+    return views.with_labels(_documents(spark, sf), labels).drop("text")
 
 
 @query("reviews_by_theme", f"""
