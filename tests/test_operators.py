@@ -155,10 +155,27 @@ def test_optional_join_keeps_rows_without_key(spark, visits, rows, threshold):
         assert rows(joined.select("id_consulta", "nome")) == [
             (1, "Ana"), (2, None), (3, None), (4, "Ana"), (5, None)]
         assert joined.columns == [*visits.columns, "nome"]
+        if threshold == "-1":
+            exchanges = [x for x in plan_of(joined).splitlines() if "Exchange hashpartitioning(" in x]
+            assert exchanges and all("salt" in x for x in exchanges)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_without_key_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fact = spark.range(8000).withColumn("k", F.when(F.col("id") % 3 == 0, F.col("id")))
+        dim = spark.range(8000).select(F.col("id").alias("d"), F.lit("x").alias("v"))
+        joined = integrity.left_join_optional(fact, "k", dim, "d", ["id"])
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_visit_quality(spark, visits):
     found = integrity.visit_quality(visits).first()
     assert tuple(found) == (5, 2, 2, 2, 1, 14.0)

@@ -37,7 +37,10 @@ def left_join_optional(fact: DataFrame, key: str, dim: DataFrame, dim_key: str,
     """
     bucket = F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_BUCKETS).cast("long")).cast("int")
     salted = fact.withColumn("__salt", F.when(F.col(key).isNull(), bucket).otherwise(0))
-    other = dim.withColumnRenamed(dim_key, "__dim_key").withColumn("__dim_salt", F.lit(0))
+    # Always 0, but not a literal: a literal would be folded into a condition on the other
+    # side, and the second column would no longer take part in the partitioning.
+    zero = F.pmod(F.hash("__dim_key"), F.lit(1))
+    other = dim.withColumnRenamed(dim_key, "__dim_key").withColumn("__dim_salt", zero)
     same = (F.col(key) == F.col("__dim_key")) & (F.col("__salt") == F.col("__dim_salt"))
     return salted.join(other, same, "left").drop("__salt", "__dim_key", "__dim_salt")
 
