@@ -59,6 +59,8 @@ def test_age_and_delay_bands(spark):
 def test_spread_is_never_negative(spark):
     df = spark.createDataFrame([(-3,), (7,)], "k long")
     assert [r[0] for r in df.select(C.spread(F.col("k"), 1, 5)).collect()] == [2, 2]
+    large = spark.createDataFrame([(2 ** 62 + 5,)], "k long")
+    assert large.select(C.spread(F.col("k"), 379, 1000)).first()[0] == (2 ** 62 + 5) * 379 % 1000
 
 
 def test_identifiers_have_their_formats(spark):

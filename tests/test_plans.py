@@ -51,6 +51,8 @@ def test_per_hospital(visits, hospitals):
     found = by(kpi.per_hospital(visits, hospitals), "id_hospital")
     assert tuple(found[1])[1:] == (2, 5.0, 1, 1, "Santa", "Campinas")
     assert found[2]["pacientes_unicos"] == 0 and found[3]["pacientes_unicos"] == 1
+    sketched = by(kpi.per_hospital(visits, hospitals, approximate=True), "id_hospital")
+    assert {h: r["pacientes_unicos"] for h, r in sketched.items()} == {1: 1, 2: 0, 3: 1}
 
 
 def test_names_shared_by_two_hospitals_are_one_group(visits, hospitals):

@@ -37,9 +37,10 @@ def assign_bucket(key: Column, multiplier: int, modulus: int, cuts: Cuts, last:
 
 
 def spread(key: Column, multiplier: int, modulus: int | Column) -> Column:
-    """``pmod(key * multiplier, modulus)`` in 64-bit arithmetic."""
-    size = modulus if isinstance(modulus, Column) else F.lit(modulus).cast("long")
-    return F.pmod(key.cast("long") * F.lit(multiplier).cast("long"), size)
+    """``pmod(key * multiplier, modulus)``; the key is reduced first, so that the product of a
+    large key does not overflow."""
+    size = (modulus if isinstance(modulus, Column) else F.lit(modulus)).cast("long")
+    return F.pmod(F.pmod(key.cast("long"), size) * F.lit(multiplier).cast("long"), size)
 
 
 def wait_band(minutes: Column) -> Column:

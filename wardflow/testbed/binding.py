@@ -42,9 +42,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def visits(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
-    """The visit fact at line grain. ``codes`` brings specialty and diagnosis from part."""
-    lines = table(spark, folder, "lineitem").select(
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The visit fact without the columns that come from orders.
+
+    Every line has its order, so a query that needs no patient and no status gets the same
+    rows from here, without joining the two facts.
+    """
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("id_consulta"),
         F.col("l_suppkey").alias("id_hospital"),
         F.col("l_partkey").alias("id_medico"),
@@ -52,12 +56,16 @@ def visits(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
         C.by_value(F.col("l_returnflag"), {"N": "presencial", "R": "retorno"}, "telemedicina")
         .alias("modalidade"),
     )
+
+
+def visits(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
+    """The visit fact at line grain. ``codes`` brings specialty and diagnosis from part."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id_consulta"),
         patient_key().alias("id_paciente"),
         status().alias("status"),
     )
-    joined = lines.join(orders, "id_consulta")
+    joined = lines(spark, folder).join(orders, "id_consulta")
     if not codes:
         return joined
     parts = table(spark, folder, "part").select(
@@ -193,10 +201,10 @@ def review_sentiment(spark: SparkSession, folder: str) -> DataFrame:
     return with_text_columns(reviews(spark, folder), scratch.materialise(texts, "sentiment"))
 
 
-def visits_with_doc(spark: SparkSession, folder: str, codes: bool = True) -> DataFrame:
+def with_doc(spark: SparkSession, folder: str, facts: DataFrame) -> DataFrame:
     """Visits with the id of the text that describes their complaint."""
     n_docs = table(spark, folder, "documents").count()
-    return visits(spark, folder, codes).withColumn("doc_id", C.spread(F.col("id_consulta"), 1, n_docs))
+    return facts.withColumn("doc_id", C.spread(F.col("id_consulta"), 1, n_docs))
 
 
 # ---- oracle SQL for the text operators ----

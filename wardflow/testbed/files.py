@@ -119,7 +119,7 @@ def enriched_view(spark, sf):
         B.documents(spark, sf), "text",
         B.PRIORITY, "eletiva", B.RISK, "baixo_risco").drop("text")
     tables.create_table(texts, f"{layers['silver']}.textos_rotulados")
-    tables.create_table(B.visits_with_doc(spark, sf), f"{layers['bronze']}.consultas")
+    tables.create_table(B.with_doc(spark, sf, B.visits(spark, sf)), f"{layers['bronze']}.consultas")
     return tables.create_stored_view(
         spark, f"{layers['silver']}.v_consultas_enriquecidas",
         "Consultas com prioridade e risco", f"""

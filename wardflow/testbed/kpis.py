@@ -41,10 +41,8 @@ def kpi_channel(spark, sf):
     city_of_visit = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(
         cities, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id_consulta"), F.col("n_name").alias("cidade"))
-    waits = B.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("id_consulta"),
-        F.col("l_quantity").cast("int").alias("tempo_espera_minutos"))
-    return kpi.per_channel(B.reviews(spark, sf), kpi.waits_by_visit(waits), city_of_visit)
+    waits = kpi.waits_by_visit(B.lines(spark, sf))
+    return kpi.per_channel(B.reviews(spark, sf), waits, city_of_visit)
 
 
 def view_360(spark, sf):
@@ -87,7 +85,7 @@ FROM v GROUP BY ALL"""
 
 def _parts_with_specialty(spark, sf):
     """Partial sums per doctor id, then the specialty: the facts are reduced before the join."""
-    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"])
+    sums = kpi.partials(B.lines(spark, sf), ["id_medico"])
     return sums.join(B.specialties(spark, sf), "id_medico")
 
 
@@ -98,7 +96,7 @@ def kpi_doctor(spark, sf):
 
 @query("kpi_doctor_id", _doctor_sql("id_medico"))
 def kpi_doctor_id(spark, sf):
-    return kpi.per_doctor(kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"]), ["id_medico"])
+    return kpi.per_doctor(kpi.partials(B.lines(spark, sf), ["id_medico"]), ["id_medico"])
 
 
 @query("kpi_demography", f"""
@@ -122,7 +120,8 @@ SELECT especialidade, count(*) AS total_consultas, avg(tempo_espera_minutos) AS
          AS taxa_conclusao_pct
 FROM v GROUP BY especialidade""")
 def metrics_by_group(spark, sf):
-    return kpi.by_specialty(_parts_with_specialty(spark, sf)).orderBy(F.desc("tempo_espera_medio"))
+    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"])
+    return kpi.by_specialty(sums.join(B.specialties(spark, sf), "id_medico")).orderBy(F.desc("tempo_espera_medio"))
 
 
 @query("daily_briefing_metrics", f"""
@@ -146,7 +145,8 @@ FROM v JOIN h ON h.id_hospital = v.id_hospital
 GROUP BY nome_hospital, cidade
 ORDER BY total_consultas DESC, nome_hospital, cidade LIMIT 5""")
 def metrics_by_hospital(spark, sf):
-    return kpi.busiest_hospitals(B.visits(spark, sf), B.hospitals(spark, sf))
+    facts = B.lines(spark, sf).join(B.specialties(spark, sf), "id_medico")
+    return kpi.busiest_hospitals(facts, B.hospitals(spark, sf))
 
 
 @query("top_codes_by_specialty", f"""
@@ -188,7 +188,7 @@ SELECT h.id_hospital, regiao, estado, count(*) AS total_consultas,
 FROM v JOIN h ON h.id_hospital = v.id_hospital
 GROUP BY h.id_hospital, regiao, estado, qtd_leitos, qtd_medicos""")
 def load_per_capacity(spark, sf):
-    return kpi.load_per_capacity(B.visits(spark, sf, codes=False), B.hospitals(spark, sf))
+    return kpi.load_per_capacity(B.lines(spark, sf), B.hospitals(spark, sf))
 
 
 @query("load_by_region", f"""
@@ -199,7 +199,7 @@ SELECT regiao, estado, CAST(sum(total) AS BIGINT) AS total_consultas,
        CAST(sum(total) AS DOUBLE) / CAST(sum(qtd_medicos) AS DOUBLE) AS consultas_por_medico
 FROM n JOIN h ON h.id_hospital = n.id_hospital GROUP BY regiao, estado""")
 def load_by_region(spark, sf):
-    return kpi.load_by_region(B.visits(spark, sf, codes=False), B.hospitals(spark, sf))
+    return kpi.load_by_region(B.lines(spark, sf), B.hospitals(spark, sf))
 
 
 @query("telemedicine_ratio", f"""
@@ -235,15 +235,14 @@ WITH {B.V}, {B.R}
 SELECT canal_avaliacao, id_hospital, count(*) AS total
 FROM r JOIN v ON v.id_consulta = r.id_consulta GROUP BY ALL""")
 def reviews_by_channel_hospital(spark, sf):
-    places = B.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("id_consulta"), F.col("l_suppkey").alias("id_hospital"))
+    places = B.lines(spark, sf).select("id_consulta", "id_hospital")
     joined = B.reviews(spark, sf).select("id_consulta", "canal_avaliacao").join(places, "id_consulta")
     return kpi.counts_by(joined, ["canal_avaliacao", "id_hospital"])
 
 
 def _rated(spark, sf):
     scored = B.review_sentiment(spark, sf).withColumn("nota", X.sentiment_score(F.col("sentimento")))
-    waits = B.visits(spark, sf, codes=False).select("id_consulta", "tempo_espera_minutos")
+    waits = B.lines(spark, sf).select("id_consulta", "tempo_espera_minutos")
     return waits.join(scored.select("id_consulta", "sentimento", "nota"), "id_consulta")
 
 
@@ -305,7 +304,7 @@ FROM v JOIN h ON h.id_hospital = v.id_hospital LEFT JOIN n ON n.id_consulta = v.
 GROUP BY v.id_hospital, nome_hospital""")
 def gold_kpis(spark, sf):
     scores = kpi.scores_by_visit(B.review_sentiment(spark, sf))
-    return kpi.hospital_scores(B.visits(spark, sf, codes=False), scores, B.hospitals(spark, sf))
+    return kpi.hospital_scores(B.lines(spark, sf), scores, B.hospitals(spark, sf))
 
 
 @query("metrics_text", f"""
@@ -359,5 +358,5 @@ SELECT id_hospital, id_hospital || ' teve ' || n || ' consultas com espera media
                ELSE 'reforcar a equipe com urgencia' END || '.' AS recomendacao
 FROM t""")
 def narrative_by_group(spark, sf):
-    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_hospital"])
+    sums = kpi.partials(B.lines(spark, sf), ["id_hospital"])
     return narrative.by_group(sums, "id_hospital")

@@ -237,12 +237,19 @@ def criticality(spark, sf):
 
 # ---- labelled visits ----
 
-def labelled_visits(spark, sf, codes: bool = True):
+def labelled(spark, sf, facts):
     """Visits with priority and risk of their text, labelled once per text and stored."""
     labels = views.enriched_visits(_documents(spark, sf), "text", B.PRIORITY, "eletiva", B.RISK,
                                    "baixo_risco").select("doc_id", "prioridade", "risco")
-    return B.with_text_columns(B.visits_with_doc(spark, sf, codes),
-                               scratch.materialise(labels, "labels"))
+    return B.with_text_columns(B.with_doc(spark, sf, facts), scratch.materialise(labels, "labels"))
+
+
+def labelled_lines(spark, sf):
+    return labelled(spark, sf, B.lines(spark, sf))
+
+
+def labelled_lines_with_specialty(spark, sf):
+    return labelled(spark, sf, B.lines(spark, sf).join(B.specialties(spark, sf), "id_medico"))
 
 
 @query("priority_distribution", f"""
@@ -251,7 +258,7 @@ SELECT prioridade, count(*) AS total_consultas,
        count(*) * CAST(100.0 AS DOUBLE) / (SELECT count(*) FROM vl) AS percentual
 FROM vl GROUP BY prioridade""")
 def priority_distribution(spark, sf):
-    return shares.label_shares(labelled_visits(spark, sf, codes=False), ["prioridade"],
+    return shares.label_shares(labelled_lines(spark, sf), ["prioridade"],
                                count="total_consultas")
 
 
@@ -259,7 +266,7 @@ def priority_distribution(spark, sf):
 WITH {B.VL}
 SELECT especialidade, prioridade, count(*) AS total FROM vl GROUP BY ALL""")
 def visits_by_priority(spark, sf):
-    return kpi.counts_by(labelled_visits(spark, sf), ["especialidade", "prioridade"])
+    return kpi.counts_by(labelled_lines_with_specialty(spark, sf), ["especialidade", "prioridade"])
 
 
 @query("urgent_by_hospital", f"""
@@ -268,7 +275,7 @@ u AS (SELECT id_hospital, count(*) AS urgentes FROM vl WHERE prioridade = 'urgen
       GROUP BY id_hospital ORDER BY urgentes DESC, id_hospital LIMIT 5)
 SELECT id_hospital, urgentes, s_name AS nome_hospital FROM u JOIN supplier ON s_suppkey = id_hospital""")
 def urgent_by_hospital(spark, sf):
-    return kpi.urgent_hospitals(labelled_visits(spark, sf, codes=False), B.hospitals(spark, sf))
+    return kpi.urgent_hospitals(labelled_lines(spark, sf), B.hospitals(spark, sf))
 
 
 RISK_LEVEL_SQL = "CASE risco WHEN 'baixo_risco' THEN 0 WHEN 'medio_risco' THEN 1 ELSE 2 END"
@@ -283,7 +290,7 @@ SELECT especialidade, count(*) AS total_consultas,
        avg({RISK_LEVEL_SQL}) AS risco_medio
 FROM vl GROUP BY especialidade""")
 def risk_by_specialty(spark, sf):
-    return kpi.risk_by_specialty(labelled_visits(spark, sf))
+    return kpi.risk_by_specialty(labelled_lines_with_specialty(spark, sf))
 
 
 @query("top_risk_hospitals", f"""
@@ -293,7 +300,7 @@ m AS (SELECT id_hospital, avg({RISK_LEVEL_SQL}) AS risco_medio, count(*) AS tota
 SELECT id_hospital, risco_medio, total_consultas, s_name AS nome_hospital
 FROM m JOIN supplier ON s_suppkey = id_hospital""")
 def top_risk_hospitals(spark, sf):
-    return kpi.riskiest_hospitals(labelled_visits(spark, sf, codes=False), B.hospitals(spark, sf))
+    return kpi.riskiest_hospitals(labelled_lines(spark, sf), B.hospitals(spark, sf))
 
 
 @query("wait_by_priority", f"""
@@ -301,7 +308,7 @@ WITH {B.VL}
 SELECT prioridade, count(*) AS total_consultas, avg(tempo_espera_minutos) AS tempo_espera_medio
 FROM vl WHERE prioridade IN ('urgente', 'eletiva') GROUP BY prioridade""")
 def wait_by_priority(spark, sf):
-    return kpi.wait_by_priority(labelled_visits(spark, sf, codes=False))
+    return kpi.wait_by_priority(labelled_lines(spark, sf))
 
 
 @query("risk_profile", f"""
@@ -311,7 +318,7 @@ SELECT id_consulta, id_hospital, id_medico, especialidade, risco, nome_paciente,
 FROM vl JOIN p ON p.id_paciente = vl.id_paciente""")
 def risk_profile(spark, sf):
     as_of = F.lit(B.AS_OF).cast("date")
-    profile = views.risk_profile(labelled_visits(spark, sf), B.patients(spark, sf), as_of)
+    profile = views.risk_profile(labelled(spark, sf, B.visits(spark, sf)), B.patients(spark, sf), as_of)
     return profile.select("id_consulta", "id_hospital", "id_medico", "especialidade", "risco",
                           "nome_paciente", "convenio", F.col("idade").cast("long").alias("idade"))
 
@@ -328,6 +335,6 @@ def rated_visits(spark, sf):
         "doc_id", X.sentiment(F.col("text"), B.PRAISE, B.TOXIC).alias("sentimento"),
         X.extract_fields(F.col("text"), {"email": X.EMAIL})["email"].alias("email"))
     reviews = B.with_text_columns(B.reviews(spark, sf), texts)
-    visits = B.visits(spark, sf, codes=False).select(
+    visits = B.lines(spark, sf).select(
         "id_consulta", "id_hospital", "id_medico", "tempo_espera_minutos")
     return views.rated_visits(visits, reviews, F.col("email"))
