@@ -117,16 +117,17 @@ def test_join_form_equals_column_form(spark, rows):
     assert rows(joined) == rows(column)
 
 
+def bag(text):
+    return frozenset(re.findall("[a-z0-9]+", text.lower()))
+
+
 def brute_force(texts, catalogue, threshold):
-    def bag(t):
-        return set(re.findall("[a-z0-9]+", t.lower()))
-    found = set()
-    for i, t in texts:
-        for j, p in catalogue:
-            a, b = bag(t), bag(p)
-            if a | b and a and b and len(a & b) / len(a | b) >= threshold:
-                found.add((i, j))
-    return found
+    """(text, least key of the equal phrases, their number) by comparing everything."""
+    entries = {}
+    for j, phrase in catalogue:
+        entries.setdefault(bag(phrase), []).append(j)
+    return {(i, min(keys), len(keys)) for i, t in texts for b, keys in entries.items()
+            if bag(t) and b and len(bag(t) & b) / len(bag(t) | b) >= threshold}
 
 
 @pytest.mark.parametrize("threshold", [0.2, 0.5, 2 / 3, 0.75, 1.0])
@@ -138,10 +139,11 @@ def test_phrase_matching_equals_brute_force(spark, threshold):
     # A third of all texts are copies of one, and one word is in nearly every phrase.
     texts += [(1000 + i, "w1 w2 w3") for i in range(60)]
     catalogue = [(i, "w1 " + " ".join(rng.choices(vocabulary, k=rng.randint(0, 5)))) for i in range(40)]
+    catalogue += [(500 + i, "w3 w2 w1 w1") for i in range(20)]
     left = spark.createDataFrame(texts, "id int, text string")
     right = spark.createDataFrame(catalogue, "code int, phrase string")
     found = phrases.match_phrases(left, "id", "text", right, "code", "phrase", threshold)
-    pairs = [(r["id"], r["code"]) for r in found.collect()]
+    pairs = [(r["id"], r["code"], r["copias"]) for r in found.collect()]
     assert len(pairs) == len(set(pairs))
     assert set(pairs) == brute_force(texts, catalogue, threshold)
 

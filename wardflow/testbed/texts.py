@@ -173,9 +173,10 @@ def embedding_similarity(spark, sf):
 
 @query("similarity_join", f"""
 WITH w AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
-c AS (SELECT w.doc_id AS ref_id, w.w AS rw FROM w JOIN labels ON labels.doc_id = w.doc_id
-      WHERE toxic = 1 AND len(w.w) > 0),
-s AS (SELECT doc_id, ref_id, {_jaccard_sql("w", "rw")} AS similaridade FROM w JOIN c ON len(w) > 0)
+c AS (SELECT min(w.doc_id) AS ref_id, count(*) AS copias, list_sort(w.w) AS rw
+      FROM w JOIN labels ON labels.doc_id = w.doc_id
+      WHERE toxic = 1 AND len(w.w) > 0 GROUP BY list_sort(w.w)),
+s AS (SELECT doc_id, ref_id, copias, {_jaccard_sql("w", "rw")} AS similaridade FROM w JOIN c ON len(w) > 0)
 SELECT * FROM s WHERE similaridade >= 0.6""")
 def similarity_join(spark, sf):
     """Texts against the catalogue of texts marked as complaints."""
