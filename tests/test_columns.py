@@ -31,11 +31,16 @@ def test_wait_bands_at_their_edges(spark):
     assert found == ["<20", "<20", "20..30", "20..30", ">30", ">30", None]
 
 
-def test_sentiment_by_wait(spark):
-    shares = {"<20": [(75, "pos"), (85, "neg")], ">30": [(15, "pos"), (85, "neg")]}
-    df = spark.createDataFrame([(5, 74), (5, 75), (5, 85), (40, 14), (40, 15), (25, 1)], "w int, d int")
-    label = C.sentiment_by_wait(F.col("w"), F.col("d"), shares, "neu")
-    assert [r[0] for r in df.select(label).collect()] == ["pos", "neg", "neu", "pos", "neg", None]
+def test_nested_bands(spark):
+    cuts = {"<20": [(75, "a"), (85, "b")], ">30": [(15, "a"), (85, "b")]}
+    df = spark.createDataFrame([(5, 74), (5, 75), (5, 85), (40, 14), (40, 15), (25, 1), (None, 1)], "w int, d int")
+    label = C.nested_band(C.wait_band(F.col("w")), F.col("d"), cuts, "c")
+    assert [r[0] for r in df.select(label).collect()] == ["a", "b", "c", "a", "b", None, None]
+
+
+def test_mean_keeps_all_digits(spark):
+    df = spark.createDataFrame([(0.001,), (0.002,), (None,)], "x double")
+    assert df.agg(C.mean(F.col("x"))).first()[0] == 0.0015
 
 
 def test_both_ages(spark):
@@ -63,17 +68,14 @@ def test_spread_is_never_negative(spark):
     assert large.select(C.spread(F.col("k"), 379, 1000)).first()[0] == (2 ** 62 + 5) * 379 % 1000
 
 
-def test_identifiers_have_their_formats(spark):
-    key = F.col("id")
-    made = {"cpf": ids.cpf(key), "cns": ids.cns(key), "rg": ids.rg(key),
-            "telefone": ids.phone(key), "crm": ids.licence(key)}
-    df = spark.range(101, 1601)
-    for kind, column in made.items():
-        assert df.where(~ids.matches(column, kind)).count() == 0, kind
-    first = spark.range(101, 102).select(ids.cpf(key), ids.phone(key)).first()
-    # By hand: 101*137=13837, 101*211=21311, 101*313=31613, 101*53=5353; 101*41 mod 14 = 11.
-    assert first[0] == "837.311.613-53"
-    assert first[1] == "(85) 93533-2017"
+def test_numbers_in_templates(spark):
+    rows = [(0,), (12345678901,), (7,), (-1,), (123456789012,), (None,)]
+    df = spark.createDataFrame(rows, "n long").select(ids.laid_out(F.col("n"), "###.###.###-##").alias("v"))
+    assert [r[0] for r in df.collect()] == [
+        "000.000.000-00", "123.456.789-01", "000.000.000-07", None, None, None]
+    assert df.where("v IS NOT NULL").where(~ids.matches(F.col("v"), "cpf")).count() == 0
+    both = spark.range(1).select(ids.laid_out(F.lit(42), "<##>"), ids.laid_out(F.lit(4), "#"))
+    assert tuple(both.first()) == ("<42>", "4")
 
 
 def test_ascii_key(spark):

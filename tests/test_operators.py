@@ -105,6 +105,21 @@ def test_range_join_equals_nested_loop(spark, rows):
     assert "NestedLoop" not in plan_of(joined) and "Cartesian" not in plan_of(joined)
 
 
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_range_join_over_the_whole_range(spark, kind):
+    low, high = (-(1 << 63), (1 << 63) - 1) if kind == "long" else (-(1 << 31), (1 << 31) - 1)
+    wide = (1 << 62) + 1 if kind == "long" else 1 << 30
+    intervals = [(0, -1, wide), (1, low, high), (2, -5, high), (3, low, low + 1), (4, high - 1, high), (5, -10, 3),
+                 (6, 4, 4), (7, 9, 2), (8, None, 5), (9, low, 0)]
+    values = [low, low + 1, -6, -1, 0, 5, wide - 1, wide, high - 1, high, None]
+    points = spark.createDataFrame(list(enumerate(values)), f"p int, v {kind}")
+    table = spark.createDataFrame(intervals, f"i int, lo {kind}, hi {kind}")
+    found = ranges.range_join(points, "v", table, "lo", "hi").select("p", "i").collect()
+    assert sorted(tuple(r) for r in found) == sorted(
+        (p, i) for p, v in enumerate(values) for i, lo, hi in intervals
+        if None not in (v, lo, hi) and lo <= v < hi)
+
+
 def test_range_join_with_empty_sides(spark):
     points = spark.range(3)
     none = spark.createDataFrame([], "i int, lo long, hi long")
@@ -214,6 +229,9 @@ def test_sentiment_correlation(spark):
     assert wait_sentiment_correlation(df).first()[0] == pytest.approx(-1.0)
     flat = spark.createDataFrame([(10, 1), (10, 0)], "tempo_espera_minutos int, nota int")
     assert wait_sentiment_correlation(flat).first()[0] is None
+    large = spark.createDataFrame([(b + i % 2, i % 2) for b in (30_000_000,) for i in range(3000)],
+                                  "tempo_espera_minutos long, nota int")
+    assert wait_sentiment_correlation(large).first()[0] == pytest.approx(1.0, abs=1e-6)
 
 
 def test_enrichment_calls_once_per_distinct_input(spark, rows):
@@ -234,6 +252,28 @@ def test_enrichment_calls_once_per_distinct_input(spark, rows):
     assert calls.value == 202
 
 
+def test_enrichment_of_several_columns(spark, rows):
+    data = [(1, "a", 1.5), (2, None, 1.5), (3, "a", None), (4, None, None), (5, "a", 1.5)]
+    df = spark.createDataFrame(data, "id int, t string, x double")
+    outputs = T.StructType([T.StructField("n", T.LongType())])
+    found = enrich_distinct(df, ["t", "x"], lambda b: b.assign(n=range(len(b)))[["n"]], outputs)
+    assert found.columns == ["id", "t", "x", "n"]
+    assert rows(found.select("id", "t", "x")) == sorted(data, key=lambda t: [(v is None, str(v)) for v in t])
+
+
+def test_phrases_against_a_large_skewed_catalogue(spark):
+    from wardflow.operators.phrases import match_phrases
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    catalogue = [(i, "common " + " ".join(rng.sample(words, 6))) for i in range(4000)]
+    texts = [(i, phrase) for i, phrase in catalogue[:40]] + [(10_000 + i, "common other things") for i in range(2000)]
+    found = match_phrases(spark.createDataFrame(texts, "id int, t string"), "id", "t",
+                          spark.createDataFrame(catalogue, "c int, p string"), "c", "p", 0.6)
+    pairs = {(r["id"], r["c"]) for r in found.collect()}
+    assert {(i, i) for i in range(40)} <= pairs and not any(i >= 10_000 for i, _ in pairs)
+
+
 def test_rate_counts_null_as_no(spark):
     df = spark.createDataFrame([(True,), (False,), (None,), (True,)], "b boolean")
     assert df.agg(C.rate(F.col("b"))).first()[0] == 0.5

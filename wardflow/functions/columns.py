@@ -60,12 +60,12 @@ def delay_band(minutes: Column) -> Column:
     return band(minutes, DELAY_CUTS, DELAY_LAST)
 
 
-def sentiment_by_wait(minutes: Column, draw: Column, shares: Mapping[str, Sequence[tuple[int, str]]],
-                      last: str) -> Column:
-    """Label by waiting band first, then by the draw (0..99) against that band's own cuts."""
+def nested_band(outer: Column, value: Column, cuts_of: Mapping[str, Cuts], last: str) -> Column:
+    """Label by an outer label first, then by the value against that label's own cuts; NULL for
+    outer labels without cuts."""
     label = F.lit(None).cast("string")
-    for name, cuts in shares.items():
-        label = F.when(wait_band(minutes) == name, band(draw, cuts, last)).otherwise(label)
+    for name, cuts in cuts_of.items():
+        label = F.when(outer == name, band(value, cuts, last)).otherwise(label)
     return label
 
 
@@ -103,9 +103,10 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
 
 
-def exact_mean(value: Column, scale: int = 2) -> Column:
-    """Mean of a money-like column: decimal sum, so that row order cannot change it."""
-    return ratio(F.sum(value.cast(f"decimal(18,{scale})")), F.count(value))
+def mean(value: Column) -> Column:
+    """Mean as a double with all digits of the values. For doubles the order of the rows can
+    change the last bits, so round it where two runs are compared."""
+    return F.avg(value.cast("double"))
 
 
 def rate(condition: Column) -> Column:

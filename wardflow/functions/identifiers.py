@@ -1,14 +1,10 @@
-"""Formatted identifiers built from integers, and the checks for their formats."""
+"""Identifiers: numbers laid out in a template, contact keys, and the checks of formats."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wardflow.functions.columns import pick, spread
-
 # Accent folding, upper and lower case, position by position.
 ACCENTS = "áéíóúâêôãõçÁÉÍÓÚÂÊÔÃÕÇ"
 PLAIN = "aeiouaeoaocAEIOUAEOAOC"
@@ -23,41 +19,24 @@ FORMATS = {
     "crm": r"^CRM/[A-Z]{2} [0-9]{6}$",
 }
 
-# Area codes and licence states, in the order they are picked.
-AREA_CODES = ["11", "11", "11", "21", "21", "31", "41", "51", "61", "71", "81", "85", "62", "92"]
-LICENCE_STATES = ["SP", "RJ", "MG", "RS", "PR", "BA", "PE", "CE", "DF", "SC"]
-
-
-def digits(key: Column, multiplier: int, width: int) -> Column:
-    """``width`` decimal digits that spread with the key."""
-    return F.lpad(spread(key, multiplier, 10 ** width).cast("string"), width, "0")
-
-
-# Multipliers of the digit groups.
-def cpf(key: Column) -> Column:
-    return F.concat(digits(key, 137, 3), F.lit("."), digits(key, 211, 3), F.lit("."),
-                    digits(key, 313, 3), F.lit("-"), digits(key, 53, 2))
-
-
-def cns(key: Column) -> Column:
-    return F.concat(F.lit("700 "), digits(key, 167, 4), F.lit(" "), digits(key, 251, 4),
-                    F.lit(" "), digits(key, 379, 3))
-
-
-def rg(key: Column) -> Column:
-    return F.concat(digits(key, 89, 2), F.lit("."), digits(key, 127, 3), F.lit("."),
-                    digits(key, 181, 3), F.lit("-"), digits(key, 7, 1))
-
-
-def phone(key: Column, area_codes: Sequence[str] = AREA_CODES) -> Column:
-    return F.concat(F.lit("("), pick(area_codes, spread(key, 41, len(area_codes))), F.lit(") 9"),
-                    digits(key, 233, 4), F.lit("-"), digits(key, 317, 4))
-
 
-def licence(key: Column, states: Sequence[str] = LICENCE_STATES) -> Column:
-    number = F.lit(100000).cast("long") + spread(key, 379, 800000)
-    return F.concat(F.lit("CRM/"), pick(states, spread(key, 29, len(states))), F.lit(" "),
-                    F.lpad(number.cast("string"), 6, "0"))
+def laid_out(number: Column, template: str) -> Column:
+    """A whole number >= 0 in a template: every ``#`` is a digit, from the right, zeros in front.
+
+    NULL for NULL, and for a number that is negative or has more digits than the template.
+    """
+    width = template.count("#")
+    digits = F.lpad(number.cast("string"), width, "0")
+    parts, at = [], 1
+    for literal in template.split("#")[:-1]:
+        if literal:
+            parts.append(F.lit(literal))
+        parts.append(F.substring(digits, at, 1))
+        at += 1
+    if tail := template.rsplit("#", 1)[-1]:
+        parts.append(F.lit(tail))
+    fits = (number >= 0) & (F.length(number.cast("string")) <= width)
+    return F.when(fits, F.concat(*parts))
 
 
 def ascii_key(*parts: Column) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ TEXT_PLAIN = "aaaaaaeeeeiiiiooooouuuucnAAAAAAEEEEIIIIOOOOOUUUUCN"
 
 MASK = "[MASKED]"
 
+# Weights of lexicon terms have six decimals.
+WEIGHT_UNIT, WEIGHT_TYPE = Decimal("0.000001"), "decimal(18,6)"
+SCORE_TYPE = "decimal(38,6)"
+
 Lexicon = Mapping[str, Mapping[str, float]]
 """label -> term -> weight, labels in the order that breaks ties."""
 
@@ -44,8 +49,14 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _folded_terms(terms: Mapping[str, float]) -> dict[str, float]:
-    return {fold_term(term): float(weight) for term, weight in terms.items()}
+def _folded_terms(terms: Mapping[str, float]) -> dict[str, Decimal]:
+    """Weight of each folded term; terms that fold to the same one add up, those without a
+    letter or digit are left out. Weights are decimals, so that sums are exact in any order."""
+    out: dict[str, Decimal] = {}
+    for term, weight in terms.items():
+        if folded := fold_term(term):
+            out[folded] = out.get(folded, Decimal(0)) + Decimal(str(weight)).quantize(WEIGHT_UNIT)
+    return out
 
 
 def _mentions(found: Column, terms: Sequence[str]) -> Column:
@@ -60,27 +71,31 @@ def _mentions(found: Column, terms: Sequence[str]) -> Column:
     return hit
 
 
-def _score(hits: Column, folded: Column | None, terms: Mapping[str, float]) -> Column:
+def _score(hits: Column, folded: Column | None, terms: Mapping[str, Decimal]) -> Column:
     """Sum of weight times occurrences.
 
     One-word terms are counted among ``hits``, the lexicon words found in the text. A term
     of several words is counted at every position where it starts, so that overlapping
     terms do not hide each other.
     """
-    by_weight: dict[float, list[str]] = {}
-    score = F.lit(0.0)
+    by_weight: dict[Decimal, list[str]] = {}
+    score = F.lit(0).cast(SCORE_TYPE)
     for term, weight in terms.items():
         if " " in term:
             head, rest = term.split(" ", 1)
             starts = F.regexp_count(folded, F.lit(rf"\b{head}(?= {rest}\b)"))
-            score = score + starts.cast("double") * F.lit(weight)
+            score = score + _times(starts, weight)
         else:
             by_weight.setdefault(weight, []).append(term)
     for weight, chosen in by_weight.items():
-        score = score + F.size(_among(hits, chosen)).cast("double") * F.lit(weight)
+        score = score + _times(F.size(_among(hits, chosen)), weight)
     return score
 
 
+def _times(count: Column, weight: Decimal) -> Column:
+    return (count.cast("decimal(19,0)") * F.lit(weight).cast(WEIGHT_TYPE)).cast(SCORE_TYPE)
+
+
 def _among(found: Column, chosen: Sequence[str]) -> Column:
     return F.filter(found, lambda word: word.isin(list(chosen)))
 
@@ -97,7 +112,7 @@ def class_rule(lexicon: Lexicon, default: str) -> Rule:
 
     def best(hits: Column, folded: Column | None) -> Column:
         # Without hits the default entry is the greatest: score 0, place before all labels.
-        entries = [_entry(F.lit(0.0), 1, default)]
+        entries = [_entry(F.lit(0).cast(SCORE_TYPE), 1, default)]
         entries += [_entry(_score(hits, folded, terms), -place, label)
                     for place, (label, terms) in enumerate(plain.items()) if terms]
         return F.array_max(F.array(*entries))["label"] if len(entries) > 1 else F.lit(default)
@@ -144,7 +159,7 @@ def sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) ->
 
 
 def _entry(score: Column, place: int, label: str) -> Column:
-    return F.struct(score.alias("score"), F.lit(place).alias("place"), F.lit(label).alias("label"))
+    return F.struct(score.cast(SCORE_TYPE).alias("score"), F.lit(place).alias("place"), F.lit(label).alias("label"))
 
 
 def sentiment_score(label: Column) -> Column:
@@ -204,7 +219,8 @@ def mask(text: Column, entities: Sequence[str], names: Sequence[str] = ()) -> Co
     if "person" in entities:
         if not names:
             raise ValueError("masking persons needs a list of names")
-        name = "(?:" + "|".join(names) + ")"
+        # Longer names first: of two that begin alike, the whole one is masked.
+        name = "(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + ")"
         masked = F.regexp_replace(masked, rf"(?<!\p{{L}}){name}(?: {name})*(?!\p{{L}})", MASK)
     return masked
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow import scratch
 
-# An input with more than a thousandth of all rows is "hot"; there are fewer than 1000.
-_HOT_SHARE = 1000
-_SLICES = 64
+
+def _digest(names: Sequence[str]) -> Column:
+    """A key of fixed size for the inputs: SHA-256 of their JSON form, in which a NULL is an
+    absent field."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*names)).cast("binary"), 256))
 
 
 def enrich_distinct(df: DataFrame, inputs: Sequence[str],
@@ -26,46 +28,19 @@ def enrich_distinct(df: DataFrame, inputs: Sequence[str],
     are joined back, so a filter on an output column does not call ``fn`` again, and a lost
     executor does not repeat finished calls.
 
-    Rows of a hot input are spread over slices for the join back, and only the hot inputs'
-    results are repeated per slice.
+    Inputs meet their answers by digest: the stored answers carry no text, so they are small
+    and often broadcast. Copies of an input are one row per task before they are shuffled, and
+    a hot digest on the way back is split by adaptive execution, in as many parts as its rows need.
     """
     names = list(inputs)
-    distinct = df.groupBy(*names).agg(F.count("*").alias("__n"))
-    schema = T.StructType([*[df.schema[c] for c in names], T.StructField("__n", T.LongType()),
-                           *outputs.fields])
+    distinct = df.groupBy(_digest(names).alias("__key")).agg(*[F.first(c).alias(c) for c in names])
+    schema = T.StructType([T.StructField("__key", T.BinaryType()), *outputs.fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = fn(batch[names].copy())
-            yield pd.concat([batch, answers.set_axis(batch.index)], axis=1)
-
-    key = F.xxhash64(*names)
-    done = scratch.materialise(distinct.mapInPandas(run, schema).withColumn("__key", key), "enriched")
-    total = done.agg(F.sum("__n")).first()[0] or 0
-    # Hashes only, so the broadcast stays at a few kilobytes however long the inputs are.
-    hot = F.broadcast(
-        done.where(F.col("__n") > max(_SLICES, total // _HOT_SHARE))
-        .select("__key", F.lit(True).alias("__hot")).distinct())
+            answers = fn(batch[names].reset_index(drop=True))
+            yield pd.concat([batch[["__key"]].reset_index(drop=True),
+                             answers[outputs.names].reset_index(drop=True)], axis=1)
 
-    others = [c for c in df.columns if c not in names]
-    some_slice = F.pmod(F.xxhash64(F.spark_partition_id(), *others), F.lit(_SLICES).cast("long"))
-    rows = (
-        df.withColumn("__key", key)
-        .join(hot, "__key", "left")
-        .withColumn("__slice", F.when(F.col("__hot"), some_slice.cast("int")).otherwise(0))
-        .drop("__hot")
-    )
-    every_slice = F.sequence(F.lit(0), F.lit(_SLICES - 1))
-    answers = (
-        done.join(hot, "__key", "left")
-        .withColumn("__slice", F.explode(
-            F.when(F.col("__hot"), every_slice).otherwise(F.array(F.lit(0)))))
-        .select("__key", "__slice", *outputs.names,
-                *[F.col(c).alias(f"__k_{c}") for c in names])
-    )
-    # The hash and the slice place the rows; equality of the inputs decides the match.
-    left, right = rows.alias("l"), answers.alias("r")
-    same = [F.col("l.__key") == F.col("r.__key"), F.col("l.__slice") == F.col("r.__slice")]
-    same += [F.col(f"l.{c}").eqNullSafe(F.col(f"r.__k_{c}")) for c in names]
-    return left.join(right, same).select(
-        *[F.col(f"l.{c}") for c in df.columns], *[F.col(f"r.{c}") for c in outputs.names])
+    answers = scratch.materialise(distinct.mapInPandas(run, schema), "enriched")
+    return df.withColumn("__key", _digest(names)).join(answers, "__key").select(*df.columns, *outputs.names)

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows without a key are spread over this many join buckets.
-_NULL_BUCKETS = 512
-
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key is present but has no parent."""
@@ -35,11 +32,11 @@ def left_join_optional(fact: DataFrame, key: str, dim: DataFrame, dim_key: str,
     A shuffle join sends all rows with a NULL key to one task. They can never match, so
     they get a second join column taken from their other columns, which spreads them.
     """
-    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_BUCKETS).cast("long")).cast("int")
-    salted = fact.withColumn("__salt", F.when(F.col(key).isNull(), bucket).otherwise(0))
+    salted = fact.withColumn(
+        "__salt", F.when(F.col(key).isNull(), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long")))
     # Always 0, but not a literal: a literal would be folded into a condition on the other
     # side, and the second column would no longer take part in the partitioning.
-    zero = F.pmod(F.hash("__dim_key"), F.lit(1))
+    zero = F.pmod(F.xxhash64("__dim_key"), F.lit(1).cast("long"))
     other = dim.withColumnRenamed(dim_key, "__dim_key").withColumn("__dim_salt", zero)
     same = (F.col(key) == F.col("__dim_key")) & (F.col("__salt") == F.col("__dim_salt"))
     return salted.join(other, same, "left").drop("__salt", "__dim_key", "__dim_salt")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow import scratch
 from wardflow.functions.columns import spread
 from wardflow.operators.index import distributed_index, index_in_group
 
@@ -33,14 +34,15 @@ def group_cyclic_lookup(df: DataFrame, group: str, key: Column, multiplier: int,
 
     Group sizes are joined first, then (group, position) is one equality join. Joining on
     the group alone and testing the position afterwards would build every pair of a group.
+    Entries and sizes are stored: they are computed once, and their real sizes decide whether
+    the rows are shuffled to meet them.
     """
-    entries = index_in_group(
+    entries = scratch.materialise(index_in_group(
         pool.withColumnRenamed(pool_group, "__pool_group"), ["__pool_group"], pool_order,
-        name="__entry", size="__size")
-    sizes = (
+        name="__entry", size="__size"), "entries")
+    sizes = scratch.materialise(
         entries.groupBy(F.col("__pool_group").alias("__size_group"))
-        .agg(F.max("__size").alias("__group_size"))
-    )
+        .agg(F.max("__size").alias("__group_size")), "sizes")
     keyed = (
         df.join(sizes, F.col(group) == F.col("__size_group"), "left")
         .withColumn(position, spread(key, multiplier, F.col("__group_size")))

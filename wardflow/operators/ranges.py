@@ -9,19 +9,22 @@ from wardflow.functions.columns import spread
 from wardflow.operators.index import running_sum
 
 _GROWTH = 8
+# The last level whose width fits 64 bits. The whole range of a long has 16 cells of it.
+_TOP = 20
 
 
 def _level(length: Column) -> Column:
-    """Smallest n with 8**n >= length. Whole-number steps, so no logarithm rounding."""
+    """Smallest n with 8**n >= length, at most the top level. Whole-number steps, so no
+    logarithm rounding."""
     chain = F.when(length <= 1, 0)
-    for n in range(1, 21):
+    for n in range(1, _TOP):
         chain = chain.when(length <= F.lit(_GROWTH ** n).cast("long"), n)
-    return chain.otherwise(21)
+    return chain.otherwise(_TOP)
 
 
 def _width(level: Column) -> Column:
-    """8**level, kept inside 64 bits."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.least(level * 3, F.lit(62)))
+    """8**level."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level * 3)
 
 
 def range_join(points: DataFrame, value: str, intervals: DataFrame, lower: str,
@@ -29,17 +32,20 @@ def range_join(points: DataFrame, value: str, intervals: DataFrame, lower: str,
     """Inner join on ``lower <= value < upper`` for whole numbers.
 
     An interval goes to the level whose cell width (a power of 8) is just large enough, so
-    it touches at most two cells there, however long it is. A point looks into one cell per
-    level in use. The join is on (level, cell), with the exact test as residual: no nested
-    loop, and no long interval is cut into many pieces.
+    it touches at most two cells there, however long it is; only intervals beyond the top
+    level's width touch more, and then at most 17. A point looks into one cell per level in
+    use. The join is on (level, cell), with the exact test as residual: no nested loop, and
+    no long interval is cut into many pieces. Bounds may span the whole range of a long.
     """
-    length = F.col(upper) - F.col(lower)
-    levelled = intervals.where(length > 0).withColumn("__level", _level(length))
-    # At most 22 values, whatever the data: the levels that occur.
+    low, high = F.col(lower).cast("long"), F.col(upper).cast("long")
+    # A length can exceed a long, so it is taken in decimals.
+    length = high.cast("decimal(20,0)") - low.cast("decimal(20,0)")
+    levelled = intervals.where(high > low).withColumn("__level", _level(length))
+    # At most 21 values, whatever the data: the levels that occur.
     in_use = sorted(r[0] for r in levelled.select("__level").distinct().collect())
     width = _width(F.col("__level"))
-    touched = F.array(_cell(F.col(lower), width), _cell(F.col(upper) - 1, width))
-    cells = levelled.withColumn("__cell", F.explode(F.array_distinct(touched)))
+    touched = F.sequence(_cell(low, width), _cell(high - 1, width))
+    cells = levelled.withColumn("__cell", F.explode(touched))
     probes = points.withColumn(
         "__probe_level", F.explode(F.array(*[F.lit(n) for n in in_use]) if in_use
                                    else F.array().cast("array<int>"))

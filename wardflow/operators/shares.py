@@ -11,12 +11,14 @@ from wardflow.functions.columns import share
 
 
 def label_shares(df: DataFrame, labels: Sequence[str], within: Sequence[str] = (),
-                 count: str = "total", percent: str = "percentual") -> DataFrame:
-    """Rows per label and their percentage inside ``within`` (or of all rows).
+                 count: str = "total", percent: str = "percentual", n: str | None = None) -> DataFrame:
+    """Rows per label and their percentage inside ``within`` (or of all rows). ``n``: a column
+    with the number of rows that a row of reduced data stands for.
 
     The window runs over the counts, one row per label, not over the data.
     """
-    counts = df.groupBy(*within, *labels).agg(F.count("*").alias(count))
+    rows = F.sum(n) if n else F.count("*")
+    counts = df.groupBy(*within, *labels).agg(rows.alias(count))
     whole = F.sum(count).over(Window.partitionBy(*within))
     return counts.withColumn(percent, share(F.col(count), whole))
 

@@ -5,21 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Deal out the rows again when the scan gives fewer partitions than there are cores.
+def spread_files(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer files than there are shuffle partitions.
 
     A small file is one or two partitions, and a long text expression would run there while
-    the other cores wait. A large table has more partitions than cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def gather_by(df: DataFrame, key: str) -> DataFrame:
-    """Rows of one key in one partition, for several steps that group by the key and more.
-
-    The number of partitions is the session's own. Left open, it would be cut down by the
-    size of the texts, although the steps after it cost far more than reading them.
+    the other cores wait. A large table has many files and stays as it is. Only the file list
+    is looked at: nothing is planned or run.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, key)
+    return df.repartition(partitions) if len(df.inputFiles()) < partitions else df

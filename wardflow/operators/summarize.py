@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import words
-from wardflow.operators.spread import gather_by
+
+SENTENCE_END = r"[.!?\n]+"
 
 
 def summarize(docs: DataFrame, key: str, text: str, max_words: int,
@@ -18,23 +19,22 @@ def summarize(docs: DataFrame, key: str, text: str, max_words: int,
     ones; text without a fitting sentence gives an empty summary, NULL gives NULL.
 
     The texts are shuffled once, by key. All later steps group by that key and something
-    else, which this partitioning already satisfies, so the exploded words never move.
+    else, which this partitioning already satisfies, so the exploded words never move. A word's
+    row has the word and its sentence's place only; the chosen places fetch their sentences
+    from the text at the end.
     """
-    placed = gather_by(docs.select(key, text), key)
+    placed = docs.select(key, text).repartition(key)
     # Outer explodes: a plain one adds a filter that computes its array a second time.
-    sentences = (
-        placed.select(key, F.posexplode_outer(F.split(F.col(text), r"[.!?\n]+")).alias("pos", "raw"))
-        .select(key, "pos", F.trim(F.regexp_replace("raw", r"[ \t\r]+", " ")).alias("sentence"))
-        .withColumn("tokens", words(F.col("sentence")))
-    )
+    sentences = placed.select(
+        key, F.posexplode_outer(F.split(F.col(text), SENTENCE_END)).alias("pos", "raw"))
     in_text = Window.partitionBy(key, "token")
     frequencies = (
-        sentences.select(key, "pos", "sentence", F.size("tokens").cast("long").alias("n_words"),
-                         F.explode_outer("tokens").alias("token"))
+        sentences.select(key, "pos", F.explode_outer(words(F.col("raw"))).alias("token"))
         .where(F.col("token").isNotNull())
         .withColumn("tf", F.count("*").over(in_text))
     )
-    scored = frequencies.groupBy(key, "pos", "sentence", "n_words").agg(F.sum("tf").alias("tf_sum"))
+    scored = frequencies.groupBy(key, "pos").agg(
+        F.sum("tf").alias("tf_sum"), F.count("*").alias("n_words"))
     by_score = (
         Window.partitionBy(key)
         .orderBy((F.col("tf_sum") / F.col("n_words")).desc(), F.col("pos"))
@@ -43,14 +43,14 @@ def summarize(docs: DataFrame, key: str, text: str, max_words: int,
     picked = scored.withColumn("so_far", F.sum("n_words").over(by_score)).where(
         F.col("so_far") <= max_words)
     lines = picked.groupBy(F.col(key).alias("__doc")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("kept"),
-        F.sum("n_words").alias("kept_words"))
-    joined = F.array_join(F.transform("kept", lambda s: s["sentence"]), ". ")
+        F.sort_array(F.collect_list("pos")).alias("kept"), F.sum("n_words").alias("kept_words"))
+    split = F.transform(F.array(F.split(F.col(text), SENTENCE_END)), lambda parts: F.array_join(
+        F.transform("kept", lambda at: F.trim(F.regexp_replace(parts[at], r"[ \t\r]+", " "))), ". "))[0]
     return (
         placed.join(lines, F.col(key) == F.col("__doc"), "left")
         .select(
             key,
-            F.when(F.col(text).isNotNull(), F.coalesce(joined, F.lit(""))).alias(summary),
+            F.when(F.col(text).isNotNull(), F.coalesce(split, F.lit(""))).alias(summary),
             F.when(F.col(text).isNotNull(), F.coalesce(F.col("kept_words"), F.lit(0).cast("long")))
             .alias("n_palavras"),
         )

@@ -18,6 +18,14 @@ SETTINGS = {
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The same settings for a session that was made elsewhere; all can be set while it runs."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: str | int = "*", app: str = "wardflow", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (
