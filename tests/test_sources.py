@@ -5,7 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow import schemas, scratch
+from wardflow import schemas, scratch, session
 from wardflow.sources import files, tables
 
 
@@ -25,7 +25,21 @@ def test_csv_quarantine(spark, tmp_path):
         (1, 101, "Muito bom, rápido", dt.date(2024, 1, 2), "App", True, 30),
         (2, None, "ok", dt.date(2024, 1, 3), "SMS", False, 5)]
     assert sorted(r[files.RAW_LINE] for r in bad.collect()) == ["4,101,curto", "x,101,ruim,2024-01-03,Site,false,7"]
-    assert good.count() + bad.count() == 4
+    # The same rows whatever else is selected: nothing, one column, or all.
+    assert (good.count(), bad.count()) == (2, 2)
+    for name in good.columns:
+        assert (good.select(name).count(), bad.select(name).count()) == (2, 2)
+        assert len(good.select(name).collect()) == 2
+
+
+def test_bad_values_in_columns_that_are_not_selected(spark, tmp_path):
+    folder = tmp_path / "ab"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("a,b\n1,2\n3,x\n5,6\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    good, bad = files.split_malformed(files.read_csv_dir(spark, str(folder), schema))
+    assert (good.count(), good.select("a").count(), len(good.collect()), bad.count()) == (2, 2, 2, 1)
+    assert bad.first()[files.RAW_LINE] == "3,x"
 
 
 def test_csv_scan_is_typed_pruned_and_filtered(spark, tmp_path):
@@ -82,9 +96,24 @@ def test_table_keeps_schema_and_comments(spark, layers):
 
 
 def test_missing_required_value_fails_the_write(spark, layers):
-    df = spark.createDataFrame([("a", None, "x")], "label string, term string, weight string")
-    with pytest.raises(Exception, match="term|weight|CAST"):
-        tables.create_table(df, f"{layers['bronze']}.lexico", schemas.LEXICON)
+    name = f"{layers['bronze']}.lexico"
+    rows = "label string, term string, weight double"
+    with pytest.raises(Exception, match="NULL in required column term"):
+        tables.create_table(spark.createDataFrame([("a", None, 1.0)], rows), name, schemas.LEXICON)
+    tables.create_table(spark.createDataFrame([("a", "b", 1.0)], rows), name, schemas.LEXICON)
+    with pytest.raises(Exception, match="NULL in required column weight"):
+        tables.append_query(spark.createDataFrame([("a", "c", None)], rows), name)
+    with pytest.raises(Exception, match="NULL in required column term"):
+        tables.append_rows(spark, [("a", None, 1.0)], name)
+    assert tables.append_rows(spark, [("a", "c", 2.0)], name).count() == 2
+
+
+def test_layers_are_dropped_with_their_tables(spark):
+    root = scratch.new_path(spark, "test-layers")
+    names = tables.create_layers(spark, root, suffix=root.rsplit("-", 1)[1])
+    tables.create_table(spark.range(3), f"{names['bronze']}.t")
+    tables.drop_layers(spark, names)
+    assert not any(spark.catalog.databaseExists(n) for n in names.values())
 
 
 def test_bucketed_table_joins_without_shuffle(spark, layers):
@@ -120,6 +149,20 @@ def test_table_profile(spark):
     assert found == {"n": (3, 0, 2, "1", "3"), "t": (3, 1, 2, "a", "b")}
 
 
+def test_profile_of_zeros_and_instants(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (None,), (1.5,)], "x double").withColumn(
+        "t", F.when(F.col("x") < 1, F.lit("2024-10-27 00:30:00").cast("timestamp")))
+    found = {r["column_name"]: r for r in tables.table_profile(df).collect()}
+    assert (found["x"]["n_distinct"], found["x"]["n_nulls"]) == (2, 1)
+    assert (found["t"]["n_distinct"], found["t"]["n_nulls"]) == (1, 2)
+
+
+def test_settings_reach_a_given_session(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    assert session.apply_settings(other).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_scratch_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch.new_path(spark, "x")

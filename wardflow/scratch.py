@@ -41,3 +41,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove everything this application has written here. Results that still read from it
+    cannot be used any more; the databases of ``tables.create_layers`` are dropped by
+    ``tables.drop_layers`` before."""
+    app = spark.sparkContext.applicationId
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/wardflow/{app}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

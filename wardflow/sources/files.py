@@ -17,23 +17,34 @@ _FREE_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false",
 
 
 def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType,
-                 free_text: bool = False) -> DataFrame:
-    """Every part file of a directory, read with explicit types and a header row.
+                 free_text: bool = False, header: bool = True) -> DataFrame:
+    """Every part file of a directory, read with explicit types, by default with a header row.
 
-    Nothing is inferred, so there is no extra pass and the types never drift. A row that
-    does not fit keeps its good fields and its raw text in ``_linha_invalida``.
+    Nothing is inferred, so there is no extra pass and the types never drift. Every column is
+    read as text and cast here; a row with a wrong number of fields, or with text that does not
+    cast, keeps its good fields and its raw text in ``_linha_invalida``. That column is made
+    from all columns, so what else a query selects cannot change it.
     ``free_text`` allows line breaks inside quoted fields; such a file is read by one task,
-    so write it in parts of moderate size.
+    so write it in parts of moderate size (see :func:`write_csv_dir`).
     """
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     options = {**_FREE_TEXT, "multiLine": "true", "lineSep": "\n"} if free_text else {}
-    return (
-        spark.read.options(**options).schema(nullable.add(RAW_LINE, T.StringType()))
-        .option("header", True)
+    rows = (
+        spark.read.options(**options).schema(texts.add(RAW_LINE, T.StringType()))
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RAW_LINE)
         .csv(path)
     )
+    typed = {f.name: safe_cast(F.col(f.name), f.dataType.simpleString()) for f in schema}
+    misfit = F.lit(False)
+    for name, value in typed.items():
+        misfit = misfit | (F.col(name).isNotNull() & value.isNull())
+    fields = F.to_csv(F.struct(*[F.col(f.name) for f in schema]))
+    return rows.select(
+        *[value.alias(name) for name, value in typed.items()],
+        F.coalesce(F.col(RAW_LINE), F.when(misfit, fields)).alias(RAW_LINE),
+        F.col("_metadata"))
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -43,7 +54,11 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def split_malformed(rows: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows and the rest; a NULL in a required column counts as malformed."""
+    """Well-formed rows and the rest; a NULL in a required column counts as malformed.
+
+    The rest has the text of the bad line where a line did not fit the schema.
+    """
+    rows = rows.drop("_metadata")
     bad: Column = F.col(RAW_LINE).isNotNull()
     for name in required:
         bad = bad | F.col(name).isNull()
@@ -51,15 +66,17 @@ def split_malformed(rows: DataFrame, required: Sequence[str] = ()) -> tuple[Data
 
 
 def write_csv_dir(df: DataFrame, path: str, order_by: Sequence[str] = (),
-                  free_text: bool = False) -> None:
+                  free_text: bool = False, rows_per_file: int = 100_000) -> None:
     """Replace a directory by part files with a header.
 
     With ``order_by`` the files together are in order: ranges over the files, sorted inside.
+    Free text goes into files of at most ``rows_per_file`` rows, because a file with line
+    breaks inside its fields is read by one task.
     """
     if order_by:
         keys = [F.col(c) for c in order_by]
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    options = _FREE_TEXT if free_text else {}
+    options = {**_FREE_TEXT, "maxRecordsPerFile": rows_per_file} if free_text else {}
     df.write.mode("overwrite").options(**options).option("header", True).csv(path)
 
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
+# Table property with the columns that must not be NULL; the format itself keeps no such rule.
+REQUIRED = "wardflow.required"
 
 
 def create_layers(spark: SparkSession, root: str, suffix: str = "") -> dict[str, str]:
@@ -52,20 +54,38 @@ def create_table(df: DataFrame, name: str, schema: T.StructType | None = None,
         count, columns = bucket_by
         writer = writer.bucketBy(count, *columns).sortBy(*columns)
     writer.saveAsTable(name)
+    required = ",".join(f.name for f in schema if not f.nullable) if schema else ""
+    if required:
+        df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{REQUIRED}' = '{required}')")
     return df.sparkSession.table(name)
 
 
+def _schema_of(spark: SparkSession, name: str) -> T.StructType:
+    """The table's columns, with those that were required when it was created."""
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    required = properties.get(REQUIRED, "").split(",")
+    return T.StructType([T.StructField(f.name, f.dataType, f.name not in required, f.metadata)
+                         for f in spark.table(name).schema])
+
+
 def append_query(df: DataFrame, name: str) -> DataFrame:
-    """Append the rows of a query, matched to the table's columns by name."""
+    """Append the rows of a query, matched to the table's columns by name. Types are cast and
+    required columns checked as when the table was created."""
     spark = df.sparkSession
-    target = spark.table(name)
-    df.select(*target.columns).write.mode("append").insertInto(name)
+    conform(df, _schema_of(spark, name)).write.mode("append").insertInto(name)
     return spark.table(name)
 
 
 def append_rows(spark: SparkSession, rows: Sequence[tuple], name: str) -> DataFrame:
     """Append literal rows in the table's column order."""
-    return append_query(spark.createDataFrame(list(rows), spark.table(name).schema), name)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in spark.table(name).schema])
+    return append_query(spark.createDataFrame(list(rows), nullable), name)
+
+
+def drop_layers(spark: SparkSession, names: dict[str, str]) -> None:
+    """Drop the databases of :func:`create_layers` with all their tables and files."""
+    for name in names.values():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
@@ -93,6 +113,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def _counted(value: Column, kind: T.DataType) -> Column:
+    """A text that is equal for equal values: one zero, and instants instead of local times."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0.0).cast(kind)
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    return value.cast("string")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, least and greatest value as text.
 
@@ -101,8 +130,8 @@ def table_profile(df: DataFrame) -> DataFrame:
     """
     kinds = {f.name: f.dataType for f in df.schema}
     cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in kinds
+        F.struct(F.lit(c).alias("column_name"), _counted(F.col(c), kind).alias("value"))
+        for c, kind in kinds.items()
     ])
     per_value = (
         df.select(F.explode(cells).alias("cell"))
