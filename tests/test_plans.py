@@ -56,15 +56,16 @@ def test_per_hospital(visits, hospitals):
 
 
 def test_names_shared_by_two_hospitals_are_one_group(visits, hospitals):
-    top = kpi.busiest_hospitals(visits, hospitals, 2).collect()
+    top = kpi.busiest_hospitals(kpi.partials(visits, ["id_hospital", "especialidade"]), hospitals, 2).collect()
     assert [(r["nome_hospital"], r["total_consultas"], r["especialidades_ativas"]) for r in top] == [
         ("Santa", 3, 2), ("Norte", 1, 1)]
     assert top[0]["tempo_espera_medio"] == pytest.approx(41 / 3)
 
 
 def test_view_360_and_demography(visits, hospitals, patients):
-    view = views.visits_360(visits, hospitals, patients)
-    assert view.count() == 4
+    assert views.visits_360(visits, hospitals, patients).count() == 4
+    parts = kpi.partials(visits, ["id_hospital", "id_paciente", "especialidade", "cid_10", "diagnostico_descricao"])
+    view = views.visits_360(parts.withColumns({"id_consulta": F.lit(0), "id_medico": F.lit(0)}), hospitals, patients)
     groups = by(kpi.demography(view), "convenio", "regiao")
     assert groups[(None, "Sudeste")]["total_pacientes"] == 0
     assert groups[("SUS", "Sudeste")]["faixa_etaria"] == "50-64"
@@ -72,7 +73,10 @@ def test_view_360_and_demography(visits, hospitals, patients):
     assert groups[("Amil", "Norte")]["taxa_telemedicina"] == 1.0
     diseases = by(kpi.epidemiology(view), "regiao", "cid_10")
     assert diseases[("Sudeste", "J06")]["idade_media"] is None
-    assert by(kpi.age_plan_hospital(view), "id_hospital").keys() == {1, 3}
+    assert diseases[("Sudeste", "I10")]["idade_media"] == 63.0
+    per_patient = kpi.partials(visits, ["id_hospital", "id_paciente"])
+    ages = by(kpi.age_plan_hospital(per_patient, patients), "id_hospital")
+    assert ages.keys() == {1, 3} and (ages[1]["total_consultas"], ages[1]["pacientes"]) == (2, 1)
 
 
 def test_doctor_load_cohort(visits, hospitals, patients):
@@ -83,18 +87,32 @@ def test_doctor_load_cohort(visits, hospitals, patients):
     region = by(kpi.load_by_region(visits, hospitals), "regiao")
     assert region["Sudeste"]["consultas_por_leito"] == 0.2
     assert [r["id_paciente"] for r in kpi.cohort(patients, "SUS", 60).collect()] == [101]
-    assert [(r["especialidade"], r["cid_10"]) for r in kpi.top_codes(visits).orderBy("cid_10").collect()] == [
+    per_code = kpi.partials(visits, ["id_medico", "especialidade", "cid_10"])
+    assert [(r["especialidade"], r["cid_10"]) for r in kpi.top_codes(per_code).orderBy("cid_10").collect()] == [
         ("Cardiologia", "I10"), ("Pediatria", "J06")]
 
 
 def test_empty_facts_give_empty_kpis(visits, hospitals, patients):
     none = visits.where("false")
-    view = views.visits_360(none, hospitals, patients)
-    for df in (kpi.per_hospital(none, hospitals), kpi.demography(view), kpi.epidemiology(view),
-               kpi.by_specialty(kpi.partials(none, ["id_hospital", "especialidade"])), kpi.busiest_hospitals(none, hospitals),
-               narrative.by_group(kpi.partials(none, ["id_hospital"]), "id_hospital"), narrative.briefing_text(none)):
+    parts = kpi.partials(none, ["id_hospital", "especialidade"])
+    for df in (kpi.per_hospital(none, hospitals), kpi.by_specialty(parts), kpi.busiest_hospitals(parts, hospitals),
+               narrative.by_group(kpi.partials(none, ["id_hospital"]), "id_hospital"), narrative.briefing_text(parts)):
         assert df.count() == 0
-    assert kpi.daily_totals(none).first()["total_consultas"] == 0
+    assert kpi.daily_totals(parts).first()["total_consultas"] == 0
+
+
+def test_channels_by_the_hospitals_city(spark, visits, hospitals):
+    reviews = spark.createDataFrame([(1, "App", 10, True), (3, "App", 31, False), (4, "SMS", 5, None), (99, "App", 1, True)],
+                                    "id_consulta int, canal_avaliacao string, tempo_para_avaliar_min int, avaliacao_anonima boolean")
+    found = by(kpi.per_channel(reviews, visits, hospitals), "canal_avaliacao", "cidade")
+    assert tuple(found[("App", "Campinas")])[2:] == (2, 20.5, 0.5, 20.5)
+    assert tuple(found[("SMS", "Belem")])[2:] == (1, 5.0, 0.0, 20.0)
+
+
+def test_hospital_sentences(visits, hospitals):
+    parts = kpi.partials(visits, ["id_hospital", "especialidade"])
+    made = by(narrative.by_hospital(kpi.busiest_hospitals(parts, hospitals, 2)), "nome_hospital")
+    assert made["Santa"]["resumo"] == "Santa (Campinas): 3 consultas em 2 especialidades, espera media de 13.7 min."
 
 
 def test_narratives(visits):
@@ -104,7 +122,7 @@ def test_narratives(visits):
     assert narrative.overall(parts).first()[0] == (
         "Principal gargalo: Pediatria, com espera media de 25.5 min. "
         "Melhor desempenho: Cardiologia, com 5.0 min.")
-    assert narrative.briefing_text(visits).first()[0] == (
+    assert narrative.briefing_text(parts).first()[0] == (
         "Operacao do dia: 4 consultas em 3 hospitais ativos cobrindo 2 especialidades. "
         "Tempo medio de espera: 15.3 minutos. Taxa de conclusao: 50.0%.")
     advice = by(narrative.by_group(parts, "id_hospital"), "id_hospital")
@@ -115,8 +133,8 @@ def test_narratives(visits):
 @pytest.fixture(scope="module")
 def complaints(spark):
     return spark.createDataFrame([
-        (1, 101, 1, "Cardiologia", 12, "finalizada", "Dor torácica intensa há 30 minutos e falta de ar"),
-        (2, 102, 1, "Pediatria", 30, "finalizada", "Acompanhamento de rotina, sem queixas"),
+        (1, 101, 1, "Cardiologia", 12, "finalizada", "Chegou com dor torácica aguda há 50 minutos e falta de ar"),
+        (2, 102, 1, "Pediatria", 30, "finalizada", "Veio para acompanhamento de rotina, nada a relatar"),
         (3, 102, 2, "Pediatria", 25, "cancelada", None),
     ], "id_consulta int, id_paciente int, id_hospital int, especialidade string, "
        "tempo_espera_minutos int, status string, sintomas_relatados string")
@@ -128,18 +146,20 @@ def test_enriched_visits(complaints, hospitals, patients):
     assert found.keys() == {1, 2}
     assert (found[1]["prioridade"], found[1]["risco"]) == ("urgente", "alto_risco")
     assert (found[2]["prioridade"], found[2]["risco"]) == ("eletiva", "baixo_risco")
-    assert [r["id_hospital"] for r in kpi.urgent_hospitals(labelled, hospitals).collect()] == [1]
-    assert kpi.riskiest_hospitals(labelled, hospitals).first()["risco_medio"] == 1.0
-    assert by(kpi.wait_by_priority(labelled), "prioridade")["eletiva"]["tempo_espera_medio"] == 30.0
+    assert "risco" not in views.enriched_visits(complaints, only=["prioridade"]).columns
+    parts = kpi.partials(labelled, ["id_hospital", "prioridade", "risco"])
+    assert [r["id_hospital"] for r in kpi.urgent_hospitals(parts, hospitals).collect()] == [1]
+    assert kpi.riskiest_hospitals(parts, hospitals).first()["risco_medio"] == 1.0
+    assert by(kpi.wait_by_priority(parts), "prioridade")["eletiva"]["tempo_espera_medio"] == 30.0
     profile = views.risk_profile(labelled, patients, F.lit("2024-01-31").cast("date"))
     assert by(profile, "id_consulta")[1]["idade"] == 64
     detail = by(views.risk_details(complaints, X.SYMPTOM_FIELDS), "id_consulta")
-    assert detail[1]["detalhes"]["duracao"] == "30 minutos"
+    assert detail[1]["detalhes"]["duracao"] == "50 minutos"
 
 
 def test_criticality(spark):
-    notes = spark.createDataFrame([("Cardiologia teve aumento de 40% nas consultas urgentes esta semana",),
-                                   ("Pediatria com 95% de taxa de conclusão — referência",)], "o string")
+    notes = spark.createDataFrame([("Forte aumento de casos urgentes na ala norte neste mês",),
+                                   ("A ala infantil virou referência em conclusão de consultas",)], "o string")
     found = views.criticality(notes, "o", L.CRITICALITY, L.CRITICALITY_DEFAULT, L.ACTION).collect()
     assert [r["criticidade"] for r in found] == ["problema_critico", "destaque_positivo"]
     assert found[0]["acao_sugerida"] == L.ACTION["problema_critico"]
@@ -162,18 +182,52 @@ def test_scans_read_only_the_needed_columns(spark):
     assert "l_quantity" in schema and "l_extendedprice" not in schema and "l_partkey" not in schema
 
 
+def scan_of(plan, table):
+    return next(p for p in plan.split("FileScan") if f"{table}.parquet" in p)
+
+
 def test_filters_reach_the_scan(spark):
-    plan = plan_of(QUERIES["first_n_ranked"](spark, SF).sparkSession.read.parquet(
-        f"{SF}/orders.parquet").where("o_orderstatus = 'F'"))
-    assert "EqualTo(o_orderstatus,F)" in plan
+    # A plan that only filters, so that no step before it is stored and cut off.
+    plan = plan_of(QUERIES["filter_status"](spark, SF))
+    assert "o_orderstatus" in scan_of(plan, "orders").split("PushedFilters:")[1].split("\n")[0]
+    finished = plan_of(QUERIES["label_distribution"](spark, SF).where("prioridade = '1-URGENT'"))
+    assert "EqualTo" not in scan_of(finished, "orders")  # the share needs all rows: it must not be pushed
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("scalar_counts", "range_join")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "scalar_counts"])
 def test_no_query_has_a_product_of_rows(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name,most", [("kpi_epidemiology", 10), ("kpi_demography", 9), ("age_plan_hospital", 7),
+                                       ("daily_briefing_metrics", 8), ("kpi_channel", 8)])
+def test_shuffles_without_broadcasts(spark, name, most):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert plan.count("Exchange hashpartitioning") <= most, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def jobs_started(spark, build):
+    group = f"g{id(build)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_building_a_query_runs_nothing(spark):
+    # Reading a folder looks at one file's footer; nothing else starts.
+    assert jobs_started(spark, lambda: spark.read.parquet(f"{SF}/conversations.parquet")) <= 1
+    assert jobs_started(spark, lambda: QUERIES["text_similarity"](spark, SF)) <= 1
+    assert jobs_started(spark, lambda: QUERIES["kpi_channel"](spark, SF)) <= 8
+
+
 def test_text_labels_stay_in_the_jvm(spark):
     df = B.documents(spark, SF).select(X.classify(F.col("text"), L.PRIORITY, L.PRIORITY_DEFAULT))
     assert "Python" not in plan_of(df)

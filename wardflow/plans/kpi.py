@@ -48,10 +48,12 @@ def _total_wait() -> Column:
     return C.ratio(F.sum("espera_soma"), F.sum("espera_n")).alias("tempo_espera_medio")
 
 
-def per_hospital(visits: DataFrame, hospitals: DataFrame, approximate: bool = False) -> DataFrame:
+def per_hospital(visits: DataFrame, hospitals: DataFrame, approximate: bool = False,
+                 specialty: bool = False) -> DataFrame:
     """Visits, mean wait, cancellations, distinct patients of every hospital.
 
     ``approximate`` counts patients by a sketch: one shuffle less, a few percent off.
+    ``specialty`` adds the hospital's specialty to the key.
     """
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     facts = visits.groupBy("id_hospital").agg(
@@ -60,39 +62,44 @@ def per_hospital(visits: DataFrame, hospitals: DataFrame, approximate: bool = Fa
         F.count_if(F.col("status") == "cancelada").alias("cancelamentos"),
         distinct("id_paciente").alias("pacientes_unicos"),
     )
-    names = hospitals.select("id_hospital", "nome_hospital", "cidade")
-    return facts.join(names, "id_hospital")
+    names = ["id_hospital", "nome_hospital", "cidade"] + (["especialidade"] if specialty else [])
+    return facts.join(hospitals.select(*names), "id_hospital")
 
 
-def per_channel(reviews: DataFrame, visit_waits: DataFrame, city_of_visit: DataFrame) -> DataFrame:
-    """Reviews, mean time to review, share of anonymous reviews, mean wait per channel and city.
+def per_channel(reviews: DataFrame, visits: DataFrame, hospitals: DataFrame) -> DataFrame:
+    """Reviewed visits, mean time to review, share of anonymous reviews, mean wait per channel
+    and city of the hospital.
 
-    ``visit_waits`` has one row per visit id: sum and number of its waits.
+    Reviews meet visits on the visit id. What they give is added up per channel and hospital
+    before the hospital's city comes in.
     """
-    joined = reviews.join(city_of_visit, "id_consulta").join(visit_waits, "id_consulta", "left")
-    return joined.groupBy("canal_avaliacao", "cidade").agg(
-        F.count("*").alias("total_avaliacoes"),
-        C.exact_mean(F.col("tempo_para_avaliar_min")).alias("avg_tempo_para_avaliar"),
-        C.rate(F.col("avaliacao_anonima")).alias("taxa_anonimato"),
-        _total_wait(),
-    )
-
-
-def waits_by_visit(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("id_consulta").agg(
+    joined = reviews.select("id_consulta", "canal_avaliacao", "tempo_para_avaliar_min", "avaliacao_anonima").join(
+        visits.select("id_consulta", "id_hospital", "tempo_espera_minutos"), "id_consulta")
+    delay = F.col("tempo_para_avaliar_min").cast("double")
+    parts = joined.groupBy("canal_avaliacao", "id_hospital").agg(
+        F.count("*").alias("n"), F.sum(delay).alias("demora_soma"), F.count(delay).alias("demora_n"),
+        F.count_if(F.col("avaliacao_anonima")).alias("anonimas"),
         F.sum(F.col("tempo_espera_minutos").cast("long")).alias("espera_soma"),
-        F.count("tempo_espera_minutos").alias("espera_n"),
+        F.count("tempo_espera_minutos").alias("espera_n"))
+    return parts.join(hospitals.select("id_hospital", "cidade"), "id_hospital").groupBy(
+        "canal_avaliacao", "cidade").agg(
+        F.sum("n").alias("total_avaliacoes"),
+        C.ratio(F.sum("demora_soma"), F.sum("demora_n")).alias("avg_tempo_para_avaliar"),
+        C.ratio(F.sum("anonimas"), F.sum("n")).alias("taxa_anonimato"),
+        _total_wait(),
     )
 
 
-def epidemiology(view: DataFrame) -> DataFrame:
-    """Visits, distinct patients, mean age, mean wait per region, state, specialty and code."""
+def epidemiology(parts: DataFrame) -> DataFrame:
+    """Visits, distinct patients, mean age, mean wait per region, state, specialty and code, from
+    :func:`partials` per patient and at least as fine as these keys, with ``idade``."""
     keys = ["regiao", "estado", "especialidade", "cid_10", "diagnostico_descricao"]
-    return view.groupBy(*keys).agg(
-        F.count("*").alias("total_consultas"),
+    age = F.col("idade").cast("long")
+    return parts.groupBy(*keys).agg(
+        F.sum("n").alias("total_consultas"),
         F.count_distinct("id_paciente").alias("pacientes_distintos"),
-        F.avg("idade").alias("idade_media"),
-        _wait().alias("tempo_espera_medio"),
+        C.ratio(F.sum(age * F.col("n")), F.sum(F.when(age.isNotNull(), F.col("n")))).alias("idade_media"),
+        _total_wait(),
     )
 
 
@@ -106,15 +113,16 @@ def per_doctor(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def demography(view: DataFrame) -> DataFrame:
-    """Patients, visits, cancellations, wait, telemedicine share per plan, sex, age band, region."""
-    banded = view.withColumn("faixa_etaria", C.age_band(F.col("idade")))
+def demography(parts: DataFrame) -> DataFrame:
+    """Patients, visits, cancellations, wait, telemedicine share per plan, sex, age band, region,
+    from :func:`partials` per patient and region or finer, with the patient's columns."""
+    banded = parts.withColumn("faixa_etaria", C.age_band(F.col("idade")))
     return banded.groupBy("convenio", "sexo", "faixa_etaria", "regiao").agg(
         F.count_distinct("id_paciente").alias("total_pacientes"),
-        F.count("*").alias("total_consultas"),
-        F.count_if(F.col("status") == "cancelada").alias("cancelamentos"),
-        _wait().alias("tempo_espera_medio"),
-        C.rate(F.col("modalidade") == "telemedicina").alias("taxa_telemedicina"),
+        F.sum("n").alias("total_consultas"),
+        F.sum("canceladas").alias("cancelamentos"),
+        _total_wait(),
+        C.ratio(F.sum("telemedicina"), F.sum("n")).alias("taxa_telemedicina"),
     )
 
 
@@ -127,29 +135,32 @@ def by_specialty(parts: DataFrame) -> DataFrame:
     )
 
 
-def daily_totals(visits: DataFrame) -> DataFrame:
-    """One row: visits, active hospitals, specialties, mean wait, completion percentage."""
-    return visits.agg(
-        F.count("*").alias("total_consultas"),
+def daily_totals(parts: DataFrame) -> DataFrame:
+    """One row: visits, active hospitals, specialties, mean wait, completion percentage, from
+    :func:`partials` per hospital and specialty or finer."""
+    return parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_consultas"),
         F.count_distinct("id_hospital").alias("hospitais_ativos"),
         F.count_distinct("especialidade").alias("especialidades"),
-        _wait().alias("tempo_espera_medio"),
-        (C.rate(F.col("status") == "finalizada") * 100.0).alias("taxa_conclusao"),
+        _total_wait(),
+        (C.ratio(F.sum("finalizadas"), F.sum("n")) * 100.0).alias("taxa_conclusao"),
     )
 
 
-def busiest_hospitals(visits: DataFrame, hospitals: DataFrame, k: int = 5) -> DataFrame:
-    """Top ``k`` hospital names by visits, with mean wait and number of specialties.
+def busiest_hospitals(parts: DataFrame, hospitals: DataFrame, k: int = 5) -> DataFrame:
+    """Top ``k`` hospital names by visits, with mean wait and number of specialties, from
+    :func:`partials` per hospital and specialty or finer.
 
     The group is (name, city), and a name may belong to several ids: so the specialties are
-    counted after the join, over rows already reduced to one per hospital and specialty.
+    counted after the join, over the reduced rows.
     """
-    reduced = partials(visits, ["id_hospital", "especialidade"])
     names = hospitals.select("id_hospital", "nome_hospital", "cidade")
-    totals = reduced.join(names, "id_hospital").groupBy("nome_hospital", "cidade").agg(
+    totals = parts.join(names, "id_hospital").groupBy("nome_hospital", "cidade").agg(
         F.sum("n").alias("total_consultas"),
         _total_wait(),
         F.count_distinct("especialidade").alias("especialidades_ativas"),
+        F.sum("espera_soma").alias("espera_soma"),
+        F.sum("espera_n").alias("espera_n"),
     )
     return first_n(totals, k, [F.desc("total_consultas"), F.asc("nome_hospital"), F.asc("cidade")])
 
@@ -174,20 +185,20 @@ def scores_by_visit(reviews: DataFrame) -> DataFrame:
         F.sum(note).alias("nota_soma"), F.count(note).alias("nota_n"))
 
 
-def top_codes(visits: DataFrame, k: int = 3) -> DataFrame:
-    """The ``k`` most frequent codes of finished visits per specialty."""
+def top_codes(parts: DataFrame, k: int = 3) -> DataFrame:
+    """The ``k`` most frequent codes of finished visits per specialty, from :func:`partials`."""
     counts = (
-        visits.where((F.col("status") == "finalizada") & F.col("cid_10").isNotNull())
-        .groupBy("especialidade", "cid_10").agg(F.count("*").alias("total"))
+        parts.where((F.col("finalizadas") > 0) & F.col("cid_10").isNotNull())
+        .groupBy("especialidade", "cid_10").agg(F.sum("finalizadas").alias("total"))
     )
     return top_k_in_group(counts, k, ["especialidade"], [F.desc("total"), F.asc("cid_10")])
 
 
-def urgent_hospitals(labelled: DataFrame, hospitals: DataFrame, k: int = 5) -> DataFrame:
-    """Hospitals with the most urgent visits."""
+def urgent_hospitals(parts: DataFrame, hospitals: DataFrame, k: int = 5) -> DataFrame:
+    """Hospitals with the most urgent visits, from labelled :func:`partials`."""
     counts = (
-        labelled.where(F.col("prioridade") == "urgente")
-        .groupBy("id_hospital").agg(F.count("*").alias("urgentes"))
+        parts.where(F.col("prioridade") == "urgente")
+        .groupBy("id_hospital").agg(F.sum("n").alias("urgentes"))
     )
     best = first_n(counts, k, [F.desc("urgentes"), F.asc("id_hospital")])
     return best.join(hospitals.select("id_hospital", "nome_hospital"), "id_hospital")
@@ -197,31 +208,41 @@ def _risk_level() -> Column:
     return C.by_value(F.col("risco"), RISK_LEVELS, None).cast("int")
 
 
-def risk_by_specialty(labelled: DataFrame) -> DataFrame:
-    """High-risk visits, their share, and the mean risk level (0, 1, 2) per specialty."""
-    return labelled.groupBy("especialidade").agg(
-        F.count("*").alias("total_consultas"),
-        F.count_if(F.col("risco") == "alto_risco").alias("alto_risco"),
-        (C.rate(F.col("risco") == "alto_risco") * 100.0).alias("percentual_alto"),
-        F.avg(_risk_level()).alias("risco_medio"),
+def _mean_risk() -> Column:
+    """Mean risk level over the rows that labelled parts stand for; rows without level are left out."""
+    level = _risk_level()
+    return C.ratio(F.sum(level * F.col("n")), F.sum(F.when(level.isNotNull(), F.col("n"))))
+
+
+def risk_by_specialty(parts: DataFrame) -> DataFrame:
+    """High-risk visits, their share, and the mean risk level (0, 1, 2) per specialty, from
+    labelled :func:`partials`."""
+    high = F.sum(F.when(F.col("risco") == "alto_risco", F.col("n")).otherwise(0))
+    return parts.groupBy("especialidade").agg(
+        F.sum("n").alias("total_consultas"),
+        high.alias("alto_risco"),
+        (C.ratio(high, F.sum("n")) * 100.0).alias("percentual_alto"),
+        _mean_risk().alias("risco_medio"),
     )
 
 
-def riskiest_hospitals(labelled: DataFrame, hospitals: DataFrame, k: int = 3) -> DataFrame:
-    """Hospitals with the highest mean risk level."""
-    means = labelled.groupBy("id_hospital").agg(
-        F.avg(_risk_level()).alias("risco_medio"), F.count("*").alias("total_consultas"))
+def riskiest_hospitals(parts: DataFrame, hospitals: DataFrame, k: int = 3) -> DataFrame:
+    """Hospitals with the highest mean risk level, from labelled :func:`partials`."""
+    means = parts.groupBy("id_hospital").agg(
+        _mean_risk().alias("risco_medio"), F.sum("n").alias("total_consultas"))
     best = first_n(means, k, [F.desc("risco_medio"), F.asc("id_hospital")])
     return best.join(hospitals.select("id_hospital", "nome_hospital"), "id_hospital")
 
 
-def wait_by_priority(labelled: DataFrame, labels: Sequence[str] = ("urgente", "eletiva")) -> DataFrame:
-    return labelled.where(F.col("prioridade").isin(*labels)).groupBy("prioridade").agg(
-        F.count("*").alias("total_consultas"), _wait().alias("tempo_espera_medio"))
+def wait_by_priority(parts: DataFrame, labels: Sequence[str] = ("urgente", "eletiva")) -> DataFrame:
+    """Visits and mean wait of some priorities, from labelled :func:`partials`."""
+    return parts.where(F.col("prioridade").isin(*labels)).groupBy("prioridade").agg(
+        F.sum("n").alias("total_consultas"), _total_wait())
 
 
-def counts_by(df: DataFrame, keys: Sequence[str], name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias(name))
+def counts_by(df: DataFrame, keys: Sequence[str], name: str = "total", n: str | None = None) -> DataFrame:
+    """Rows per key; ``n``: a column with the number of rows that a row stands for."""
+    return df.groupBy(*keys).agg((F.sum(n) if n else F.count("*")).alias(name))
 
 
 def sentiment_by_wait_band(rated: DataFrame) -> DataFrame:
@@ -231,26 +252,15 @@ def sentiment_by_wait_band(rated: DataFrame) -> DataFrame:
 
 
 def wait_sentiment_correlation(rated: DataFrame) -> DataFrame:
-    """One row: Pearson correlation of the wait and the review score, from exact sums.
+    """One row: Pearson correlation of the wait and the review score; NULL if one is constant.
 
-    Whole-number sums do not depend on row order, so the result is repeatable.
+    Spark's aggregates keep running means instead of sums of squares, so large values do not
+    cancel. Round it where two runs are compared: the row order can change the last bits.
     """
-    x = F.col("tempo_espera_minutos").cast("long")
-    y = F.col("nota").cast("long")
-    # Conditions inside the sums: a filter would compute the score a second time.
-    x_paired, y_paired = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    sums = rated.agg(
-        F.count(x + y).cast("double").alias("n"),
-        F.sum(x_paired).cast("double").alias("sx"), F.sum(y_paired).cast("double").alias("sy"),
-        F.sum(x * y).cast("double").alias("sxy"),
-        F.sum(x_paired * x).cast("double").alias("sxx"),
-        F.sum(y_paired * y).cast("double").alias("syy"),
-    )
-    spread_x = F.expr("n * sxx - sx * sx")
-    spread_y = F.expr("n * syy - sy * sy")
-    product = F.sqrt(spread_x) * F.sqrt(spread_y)
-    return sums.select(
-        F.when(product > 0, F.expr("n * sxy - sx * sy") / product).alias("correlacao"))
+    wait, score = F.col("tempo_espera_minutos").cast("double"), F.col("nota").cast("double")
+    x, y = F.when(score.isNotNull(), wait), F.when(wait.isNotNull(), score)
+    return rated.agg(F.try_divide(
+        F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("correlacao"))
 
 
 def load_per_capacity(visits: DataFrame, hospitals: DataFrame) -> DataFrame:
@@ -285,14 +295,18 @@ def telemedicine_ratio(parts: DataFrame) -> DataFrame:
     )
 
 
-def age_plan_hospital(view: DataFrame) -> DataFrame:
-    """Visits and distinct patients per age band, plan and hospital, known patients only."""
-    known = view.where(F.col("id_paciente").isNotNull())
+def age_plan_hospital(parts: DataFrame, patients: DataFrame) -> DataFrame:
+    """Visits and distinct patients per age band, plan and hospital, known patients only.
+
+    ``parts``: :func:`partials` with one row per hospital and patient, so that patients are
+    counted without a second look at the visits.
+    """
+    people = patients.select("id_paciente", "idade", "convenio")
+    known = parts.where(F.col("id_paciente").isNotNull()).join(people, "id_paciente", "left")
     return (
         known.withColumn("faixa_etaria", C.age_band(F.col("idade")))
         .groupBy("faixa_etaria", "convenio", "id_hospital")
-        .agg(F.count("*").alias("total_consultas"),
-             F.count_distinct("id_paciente").alias("pacientes"))
+        .agg(F.sum("n").alias("total_consultas"), F.count("*").alias("pacientes"))
     )
 
 

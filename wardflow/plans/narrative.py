@@ -54,15 +54,16 @@ def metrics_text(parts: DataFrame) -> DataFrame:
         F.array_join(F.transform(ordered, lambda p: p["parte"]), ". ").alias("texto_metricas"))
 
 
-def briefing_text(visits: DataFrame) -> DataFrame:
-    """One row: the totals of the day as a fixed paragraph."""
-    totals = visits.agg(
-        F.count("*").alias("n"),
+def briefing_text(parts: DataFrame) -> DataFrame:
+    """One row: the totals of the day as a fixed paragraph, from ``kpi.partials`` per hospital
+    and specialty or finer."""
+    totals = parts.agg(
+        F.sum("n").alias("n"),
         F.count_distinct("id_hospital").alias("hospitais"),
         F.count_distinct("especialidade").alias("especialidades"),
-        F.sum(F.col("tempo_espera_minutos").cast("long")).alias("soma"),
-        F.count("tempo_espera_minutos").alias("com_espera"),
-        F.count_if(F.col("status") == "finalizada").alias("fim"),
+        F.sum("espera_soma").alias("soma"),
+        F.sum("espera_n").alias("com_espera"),
+        F.sum("finalizadas").alias("fim"),
     )
     return totals.where(F.col("com_espera") > 0).select(F.concat(
         F.lit("Operacao do dia: "), F.col("n").cast("string"), F.lit(" consultas em "),
@@ -105,3 +106,18 @@ def by_group(parts: DataFrame, key: str) -> DataFrame:
             advice.otherwise(ADVICE_LAST), F.lit("."),
         ).alias("recomendacao"),
     )
+
+
+def by_hospital(busiest: DataFrame) -> DataFrame:
+    """One sentence per hospital of ``kpi.busiest_hospitals``: name, city, visits, mean wait and
+    number of specialties. Hospitals without a wait get no sentence."""
+    wait = tenths(F.col("espera_soma"), F.col("espera_n"))
+    return busiest.where(F.col("espera_n") > 0).select(
+        "nome_hospital", "cidade",
+        F.concat(
+            F.col("nome_hospital"), F.lit(" ("), F.col("cidade"), F.lit("): "),
+            F.col("total_consultas").cast("string"), F.lit(" consultas em "),
+            F.col("especialidades_ativas").cast("string"), F.lit(" especialidades, espera media de "),
+            wait, F.lit(" min."),
+        ).alias("resumo"),
+    )

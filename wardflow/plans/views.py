@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ def visits_360(visits: DataFrame, hospitals: DataFrame, patients: DataFrame) ->
 
     Visits without a patient stay, with NULL patient columns.
     """
-    located = visits.join(hospitals, "id_hospital")
+    # The specialty of a visit is the doctor's; a hospital's own has another meaning.
+    places = hospitals.drop(*[c for c in hospitals.columns if c in visits.columns and c != "id_hospital"])
+    located = visits.join(places, "id_hospital")
     return left_join_optional(located, "id_paciente", patients, "id_paciente",
                               spread_by=["id_consulta", "id_hospital", "id_medico"])
 
@@ -34,11 +38,12 @@ def rated_visits(visits: DataFrame, reviews: DataFrame, problem: Column) -> Data
 
 def enriched_visits(visits: DataFrame, text: str = "sintomas_relatados",
                     priority=PRIORITY, priority_default: str = PRIORITY_DEFAULT,
-                    risk=RISK, risk_default: str = RISK_DEFAULT) -> DataFrame:
-    """Visits that have text, with priority and risk. Write the result as a table before
-    dashboards read it, so that the texts are scanned once."""
-    labels = X.label_all(F.col(text), {"prioridade": X.class_rule(priority, priority_default),
-                                       "risco": X.class_rule(risk, risk_default)})
+                    risk=RISK, risk_default: str = RISK_DEFAULT,
+                    only: Sequence[str] = ("prioridade", "risco")) -> DataFrame:
+    """Visits that have text, with priority and risk, or ``only`` one of them. Write the result
+    as a table before dashboards read it, so that the texts are scanned once."""
+    rules = {"prioridade": X.class_rule(priority, priority_default), "risco": X.class_rule(risk, risk_default)}
+    labels = X.label_all(F.col(text), {name: rules[name] for name in only})
     return with_labels(visits.where(F.col(text).isNotNull()), labels)
 
 

@@ -6,13 +6,13 @@ use their columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow import scratch
 from wardflow.functions import columns as C
 from wardflow.functions import text as X
-from wardflow.operators.spread import spread_rows
+from wardflow.operators.spread import spread_files
 
 AS_OF = "2024-01-31"
 
@@ -21,15 +21,15 @@ INSULT = {"insult": dict.fromkeys(("trash", "scum", "idiot", "moron"), 1.0),
           "scorn": dict.fromkeys(("worthless", "pathetic", "disgusting"), 1.0)}
 TOXIC = ("trash", "idiot", "scum", "clown", "worthless", "moron", "pathetic", "loser",
          "disgusting", "stupid")
-PRAISE = ("avec", "nicht", "pero", "which")
+PRAISE = ("avec", "nicht", "pero", "this work", "from")
 PRIORITY = {"urgente": dict.fromkeys(("trash", "scum", "idiot", "moron", "clown"), 60.0),
             "alta": {"worthless": 40.0, "pathetic": 40.0, "with": 1.5, "por": 1.25},
-            "media": {"this": 2.0, "und": 0.75, "une": 2.5},
+            "media": {"this": 2.0, "und": 0.75, "une": 2.5, "of the": 1.5, "de la": 1.25},
             "eletiva": {"pour": 1.0, "dans": 1.0}}
 RISK = {"baixo_risco": {"the": 0.5, "der": 1.0},
         "medio_risco": {"and": 1.0, "la": 0.75, "das": 1.5},
         "alto_risco": {**dict.fromkeys(TOXIC, 50.0), "that": 1.0}}
-THEME = {"tempo_de_espera": {"was": 2.0, "est": 2.0},
+THEME = {"tempo_de_espera": {"was": 2.0, "est": 2.0, "in the": 1.25},
          "qualidade_medica": {"are": 2.5, "ist": 2.0},
          "atendimento_recepcao": {"for": 1.0, "sur": 2.0},
          "infraestrutura": {"by": 1.5, "los": 0.75}}
@@ -45,8 +45,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """The visit fact without the columns that come from orders.
 
-    Every line has its order, so a query that needs no patient and no status gets the same
-    rows from here, without joining the two facts.
+    Every line has its order (``fk_orphans`` counts the lines without one), so a query that
+    needs no patient and no status gets the same rows from here, without joining the two facts.
     """
     return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("id_consulta"),
@@ -84,6 +84,20 @@ def specialties(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("id_medico"), F.col("p_type").alias("especialidade"))
 
 
+def doctors(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per doctor id: name, licence, specialty."""
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id_medico"), F.col("p_name").alias("nome_medico"),
+        F.col("p_brand").alias("crm"), F.col("p_type").alias("especialidade"))
+
+
+def codes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per doctor id: specialty, and the code and diagnosis of finished visits."""
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id_medico"), F.col("p_type").alias("especialidade"),
+        F.col("p_brand").alias("cid_10"), F.col("p_name").alias("diagnostico_descricao"))
+
+
 def patient_key():
     """The patient is missing for every tenth visit, as in the reference data."""
     return F.when(C.spread(F.col("o_orderkey"), 7, 10) != 0, F.col("o_custkey"))
@@ -119,6 +133,7 @@ def hospitals(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_name").alias("cidade"),
         F.col("n_name").alias("estado"),
         F.col("r_name").alias("regiao"),
+        F.concat(F.lit("Clinica "), F.lower("r_name")).alias("especialidade"),
         (C.spread(F.col("s_suppkey"), 1, 12) + 5).alias("qtd_leitos"),
         (C.spread(F.col("s_suppkey"), 1, 7) + 2).alias("qtd_medicos"),
     )
@@ -127,7 +142,7 @@ def hospitals(spark: SparkSession, folder: str) -> DataFrame:
 H = """
 h AS (
   SELECT s_suppkey AS id_hospital, s_name AS nome_hospital, n_name AS cidade, n_name AS estado,
-         r_name AS regiao, s_suppkey % 12 + 5 AS qtd_leitos, s_suppkey % 7 + 2 AS qtd_medicos
+         r_name AS regiao, 'Clinica ' || lower(r_name) AS especialidade_hospital, s_suppkey % 12 + 5 AS qtd_leitos, s_suppkey % 7 + 2 AS qtd_medicos
   FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
 )"""
 
@@ -164,24 +179,30 @@ AGE_BAND_SQL = """CASE WHEN idade < 18 THEN '0-17' WHEN idade < 35 THEN '18-34'
 
 V360 = f"""{V}, {H}, {P},
 v360 AS (
-  SELECT v.*, h.nome_hospital, h.cidade, h.estado, h.regiao, h.qtd_leitos, h.qtd_medicos,
+  SELECT v.*, h.nome_hospital, h.cidade, h.estado, h.regiao, h.especialidade_hospital,
+         h.qtd_leitos, h.qtd_medicos,
          p.nome_paciente, p.data_nascimento, p.idade, p.sexo, p.convenio
   FROM v JOIN h ON h.id_hospital = v.id_hospital LEFT JOIN p ON p.id_paciente = v.id_paciente
 )"""
 
 
+def number_of_documents(spark: SparkSession, folder: str) -> Column:
+    """The count as a scalar subquery: it runs with the query that uses it."""
+    return table(spark, folder, "documents").agg(F.count("*")).scalar()
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Review events with the id of their text; the texts stay in ``documents``."""
-    n_docs = table(spark, folder, "documents").count()
     k = F.get_json_object("props", "$.k").cast("int")
     return table(spark, folder, "events").select(
         F.col("event_id").alias("id_avaliacao"),
         F.col("event_id").alias("id_consulta"),
         F.col("user_id").alias("id_paciente"),
         F.col("event_type").alias("canal_avaliacao"),
-        F.col("value").alias("tempo_para_avaliar_min"),
+        F.floor(F.col("value") * 24).cast("int").alias("tempo_para_avaliar_min"),
         (k < 15).alias("avaliacao_anonima"),
-        C.spread(F.col("event_id"), 1, n_docs).alias("doc_id"),
+        C.spread(F.col("event_id"), 1, number_of_documents(spark, folder)).alias("doc_id"),
+        F.col("ts").cast("date").alias("data_avaliacao"),
     )
 
 
@@ -191,7 +212,7 @@ def with_text_columns(facts: DataFrame, labelled_texts: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_rows(table(spark, folder, "documents").select("doc_id", "text"))
+    return spread_files(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def review_sentiment(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,8 +224,8 @@ def review_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_doc(spark: SparkSession, folder: str, facts: DataFrame) -> DataFrame:
     """Visits with the id of the text that describes their complaint."""
-    n_docs = table(spark, folder, "documents").count()
-    return facts.withColumn("doc_id", C.spread(F.col("id_consulta"), 1, n_docs))
+    return facts.withColumn(
+        "doc_id", C.spread(F.col("id_consulta"), 1, number_of_documents(spark, folder)))
 
 
 # ---- oracle SQL for the text operators ----
@@ -242,7 +263,8 @@ def sentiment_case_sql(folded: str, positive, negative) -> str:
 R = """
 r AS (
   SELECT event_id AS id_avaliacao, event_id AS id_consulta, user_id AS id_paciente,
-         event_type AS canal_avaliacao, value AS tempo_para_avaliar_min,
+         event_type AS canal_avaliacao, CAST(floor(value * 24) AS INTEGER) AS tempo_para_avaliar_min,
+         CAST(ts AS DATE) AS data_avaliacao,
          CAST(json_extract_string(props, '$.k') AS INTEGER) < 15 AS avaliacao_anonima,
          event_id % (SELECT count(*) FROM documents) AS doc_id
   FROM events

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from wardflow import scratch
 from wardflow.operators.integrity import split_rows
-from wardflow.plans import views
+from wardflow.functions import text as X
+from wardflow.plans import pipelines, views
 from wardflow.sources import files, tables
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -49,6 +50,49 @@ def landing_profile(spark, sf):
     return files.landing_profile(rows)
 
 
+@query("landing_totals", f"""
+WITH {B.V}
+SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS has_files, true AS has_bytes FROM v""")
+def landing_totals(spark, sf):
+    """What the profile of the files adds up to."""
+    return landing_profile(spark, sf).agg(
+        F.sum("n_rows").alias("n_rows"), (F.count("*") > 0).alias("has_files"),
+        (F.min("file_size") > 0).alias("has_bytes"))
+
+
+# Lines of a raw directory: most are whole, some have text for a number, some too few fields.
+LINE_SQL = """
+line AS (SELECT *, CASE id_consulta % 50
+    WHEN 8 THEN concat_ws(',', id_consulta, coalesce(CAST(id_paciente AS VARCHAR), ''), id_hospital)
+    ELSE concat_ws(',', id_consulta, coalesce(CAST(id_paciente AS VARCHAR), ''), id_hospital, id_medico,
+                   modalidade, status, CASE id_consulta % 50 WHEN 7 THEN 'x' ELSE '' END || tempo_espera_minutos,
+                   coalesce(cid_10, ''), coalesce(diagnostico_descricao, '')) END AS linha FROM v)"""
+
+
+def landed_lines(spark, sf):
+    """The visits as raw lines without a header, bad ones among them; the path."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    kind = F.pmod(F.col("id_consulta"), F.lit(50).cast("long"))
+    wait = F.concat(F.when(kind == 7, "x").otherwise(""), text("tempo_espera_minutos"))
+    fields = [wait if c == "tempo_espera_minutos" else text(c) for c in RAW_VISITS.names]
+    line = F.when(kind == 8, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields))
+    path = scratch.new_path(spark, "landing-linhas")
+    B.visits(spark, sf).select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("malformed_rows", f"""
+WITH {B.V}, {LINE_SQL}
+SELECT CASE WHEN id_consulta % 50 IN (7, 8) THEN 'ruim' ELSE 'boa' END AS destino, linha FROM line""")
+def malformed_rows(spark, sf):
+    """Good rows as lines again, and the text of the bad ones."""
+    rows = files.read_csv_dir(spark, landed_lines(spark, sf), RAW_VISITS, header=False)
+    good, bad = files.split_malformed(rows, required=["id_consulta", "id_hospital"])
+    again = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_VISITS.names])
+    return good.select(F.lit("boa").alias("destino"), again.alias("linha")).unionByName(
+        bad.select(F.lit("ruim").alias("destino"), F.col(files.RAW_LINE).alias("linha")))
+
+
 @query("text_csv_roundtrip", """
 SELECT doc_id, md5(text) AS texto_md5, lang, source FROM documents""")
 def text_csv_roundtrip(spark, sf):
@@ -100,12 +144,12 @@ def append_rows(spark, sf):
 
 @query("table_profile", "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
-    f"count(DISTINCT {c}) AS n_distinct FROM orders"
+    f"count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value FROM orders"
     for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
               "o_orderpriority")))
 def table_profile(spark, sf):
-    return tables.table_profile(B.table(spark, sf, "orders")).select(
-        "column_name", "n_rows", "n_nulls", "n_distinct")
+    return tables.table_profile(B.table(spark, sf, "orders"))
 
 
 @query("enriched_view", f"""
@@ -113,19 +157,26 @@ WITH {B.VL}
 SELECT id_consulta, id_paciente, id_hospital, id_medico, especialidade, tempo_espera_minutos, status,
        prioridade, risco FROM vl""")
 def enriched_view(spark, sf):
-    """Labels are computed once per text and stored; the view joins the stored table."""
-    layers = _layers(spark, "views")
+    """Labels are computed once per text and stored; the view joins them to the fact where it lies."""
+    silver = _layers(spark, "views")["silver"]
     texts = views.enriched_visits(
         B.documents(spark, sf), "text",
         B.PRIORITY, "eletiva", B.RISK, "baixo_risco").drop("text")
-    tables.create_table(texts, f"{layers['silver']}.textos_rotulados")
-    tables.create_table(B.with_doc(spark, sf, B.visits(spark, sf)), f"{layers['bronze']}.consultas")
+    tables.create_table(texts, f"{silver}.textos_rotulados")
+    stored = lambda name: f"parquet.`{sf}/{name}.parquet`"
     return tables.create_stored_view(
-        spark, f"{layers['silver']}.v_consultas_enriquecidas",
+        spark, f"{silver}.v_consultas_enriquecidas",
         "Consultas com prioridade e risco", f"""
-        SELECT id_consulta, id_paciente, id_hospital, id_medico, especialidade,
-               tempo_espera_minutos, status, prioridade, risco
-        FROM {layers['bronze']}.consultas JOIN {layers['silver']}.textos_rotulados USING (doc_id)""")
+        SELECT l_orderkey AS id_consulta,
+               CASE WHEN pmod(o_orderkey * 7, 10) <> 0 THEN o_custkey END AS id_paciente,
+               l_suppkey AS id_hospital, l_partkey AS id_medico, p_type AS especialidade,
+               CAST(l_quantity AS INT) AS tempo_espera_minutos,
+               CASE o_orderstatus WHEN 'F' THEN 'finalizada' WHEN 'P' THEN 'cancelada'
+                    ELSE 'em_andamento' END AS status, prioridade, risco
+        FROM {stored("lineitem")} JOIN {stored("orders")} ON o_orderkey = l_orderkey
+        JOIN {stored("part")} ON p_partkey = l_partkey
+        JOIN {silver}.textos_rotulados
+          ON doc_id = pmod(l_orderkey, (SELECT count(*) FROM {stored("documents")}))""")
 
 
 @query("rejected_rows", f"""
@@ -139,3 +190,99 @@ def rejected_rows(spark, sf):
         ("missing_patient", F.col("id_paciente").isNull()),
         ("long_wait", F.col("tempo_espera_minutos") > 30)])
     return rejected.groupBy("motivo").agg(F.count("*").alias("total"))
+
+
+# ---- the jobs end to end ----
+
+REVIEWS = T.StructType([
+    T.StructField("id_consulta", T.LongType(), False), T.StructField("turno", T.LongType(), False),
+    T.StructField("texto_avaliacao", T.StringType()), T.StructField("data_avaliacao", T.DateType()),
+    T.StructField("canal_avaliacao", T.StringType(), False), T.StructField("avaliacao_anonima", T.BooleanType()),
+    T.StructField("tempo_para_avaliar_min", T.IntegerType()),
+])
+C_SQL = """
+c AS (SELECT conv_id AS id_consulta, turn AS turno, nullif(text, '') AS texto_avaliacao,
+             DATE '2024-01-01' + CAST(turn AS INTEGER) AS data_avaliacao, role AS canal_avaliacao,
+             turn % 2 = 0 AS avaliacao_anonima, CAST(turn * 45 AS INTEGER) AS tempo_para_avaliar_min
+      FROM conversations)"""
+SILVER_SQL = f"""{LINE_SQL}, {C_SQL},
+good AS (SELECT * FROM line WHERE id_consulta % 50 NOT IN (7, 8)),
+silver AS (SELECT * FROM good WHERE id_paciente IS NOT NULL AND status <> 'cancelada')"""
+
+
+def landed_reviews(spark, sf):
+    """Turns of conversations as reviews of the visit with the conversation's id; the path."""
+    turn = F.col("turn").cast("int")
+    rows = B.table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("id_consulta"), F.col("turn").alias("turno"), F.col("text").alias("texto_avaliacao"),
+        F.date_add(F.lit("2024-01-01").cast("date"), turn).alias("data_avaliacao"),
+        F.col("role").alias("canal_avaliacao"), (turn % 2 == 0).alias("avaliacao_anonima"),
+        (turn * 45).alias("tempo_para_avaliar_min"))
+    path = scratch.new_path(spark, "landing-avaliacoes")
+    files.write_csv_dir(rows, path, free_text=True)
+    return path
+
+
+def _stored_visits(spark, sf, layers):
+    return pipelines.store_visits(spark, landed_lines(spark, sf), RAW_VISITS, layers,
+                                  ["id_consulta", "id_hospital"], header=False)
+
+
+@query("pipeline_silver", f"""
+WITH {B.V}, {SILVER_SQL}
+SELECT CASE WHEN id_consulta % 50 IN (7, 8) THEN 'malformed' WHEN id_paciente IS NULL THEN 'missing_patient'
+            WHEN status = 'cancelada' THEN 'cancelled' ELSE 'silver' END AS destino,
+       linha FROM line""")
+def pipeline_silver(spark, sf):
+    """Silver visits and their quarantine as stored, each row as its line."""
+    kept, rejected = _stored_visits(spark, sf, _layers(spark, "pipeline"))
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_VISITS.names])
+    return kept.select(F.lit("silver").alias("destino"), line.alias("linha")).unionByName(
+        rejected.select(F.col("motivo").alias("destino"), F.coalesce(files.RAW_LINE, line).alias("linha")))
+
+
+@query("pipeline_reviews", f"""
+WITH {C_SQL}
+SELECT id_consulta, turno, md5(texto_avaliacao) AS texto_md5, CAST(data_avaliacao AS VARCHAR) AS data_avaliacao,
+       canal_avaliacao, avaliacao_anonima, tempo_para_avaliar_min FROM c""")
+def pipeline_reviews(spark, sf):
+    """Reviews with dates and flags, through a raw directory into bronze."""
+    stored, _ = pipelines.store_reviews(spark, landed_reviews(spark, sf), REVIEWS, _layers(spark, "pipeline"),
+                                        ["id_consulta"])
+    return stored.select("id_consulta", "turno", F.md5("texto_avaliacao").alias("texto_md5"),
+                         F.col("data_avaliacao").cast("string").alias("data_avaliacao"), "canal_avaliacao",
+                         "avaliacao_anonima", "tempo_para_avaliar_min")
+
+
+@query("pipeline_360", f"""
+WITH {B.V}, {SILVER_SQL}, {B.H}, {B.P}
+SELECT id_consulta, s.id_hospital, id_medico, cidade, regiao, nome_paciente, idade, convenio
+FROM silver s JOIN h ON h.id_hospital = s.id_hospital LEFT JOIN p ON p.id_paciente = s.id_paciente""")
+def pipeline_360(spark, sf):
+    layers = _layers(spark, "pipeline")
+    _stored_visits(spark, sf, layers)
+    made = pipelines.store_360(spark, B.hospitals(spark, sf), B.patients(spark, sf), layers)
+    return made.select("id_consulta", "id_hospital", "id_medico", "cidade", "regiao", "nome_paciente", "idade",
+                       "convenio")
+
+
+@query("pipeline_gold", f"""
+WITH {B.V}, {SILVER_SQL}, {B.H},
+l AS (SELECT id_consulta, {B.sentiment_case_sql("f", B.PRAISE, B.TOXIC)} AS sentimento
+      FROM (SELECT id_consulta, {B.fold_sql("texto_avaliacao")} AS f FROM c WHERE texto_avaliacao IS NOT NULL)),
+n AS (SELECT id_hospital, sum(CASE sentimento WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 ELSE 0 END) AS s,
+             count(*) AS k FROM silver JOIN l ON l.id_consulta = silver.id_consulta GROUP BY id_hospital),
+g AS (SELECT id_hospital, count(*) AS volume, avg(tempo_espera_minutos) AS tempo_espera_medio
+      FROM silver GROUP BY id_hospital)
+SELECT g.id_hospital, nome_hospital, volume, tempo_espera_medio,
+       CAST(s AS DOUBLE) / CAST(k AS DOUBLE) AS sentimento_medio,
+       (SELECT count(*) FROM c) AS avaliacoes_recebidas
+FROM g JOIN h ON h.id_hospital = g.id_hospital LEFT JOIN n ON n.id_hospital = g.id_hospital""")
+def pipeline_gold(spark, sf):
+    """All five jobs, one after the other; the gold table as stored."""
+    layers, hospitals = _layers(spark, "pipeline"), B.hospitals(spark, sf)
+    _stored_visits(spark, sf, layers)
+    pipelines.store_reviews(spark, landed_reviews(spark, sf), REVIEWS, layers, ["id_consulta"])
+    pipelines.store_360(spark, hospitals, B.patients(spark, sf), layers)
+    pipelines.store_rated(spark, B.PRAISE, B.TOXIC, X.EMAIL, layers)
+    return pipelines.store_gold(spark, hospitals, layers)

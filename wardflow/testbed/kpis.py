@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
 from wardflow.functions import text as X
-from wardflow.operators import ranking, shares
+from wardflow.operators import integrity, ranking, shares
 from wardflow.plans import kpi, narrative, views
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -14,35 +14,30 @@ from wardflow.testbed.registry import query
 
 @query("kpi_hospital", f"""
 WITH {B.V360}
-SELECT id_hospital, nome_hospital, cidade, count(*) AS total_consultas,
-       avg(tempo_espera_minutos) AS tempo_espera_medio,
+SELECT id_hospital, nome_hospital, cidade, especialidade_hospital AS especialidade,
+       count(*) AS total_consultas, avg(tempo_espera_minutos) AS tempo_espera_medio,
        count(CASE WHEN status = 'cancelada' THEN 1 END) AS cancelamentos,
        count(DISTINCT id_paciente) AS pacientes_unicos
-FROM v360 GROUP BY id_hospital, nome_hospital, cidade""")
+FROM v360 GROUP BY ALL""")
 def kpi_hospital(spark, sf):
-    return kpi.per_hospital(B.visits(spark, sf, codes=False), B.hospitals(spark, sf))
+    return kpi.per_hospital(B.visits(spark, sf, codes=False), B.hospitals(spark, sf), specialty=True)
 
 
 @query("kpi_channel", f"""
-WITH {B.V}, {B.R},
-w AS (SELECT id_consulta, sum(tempo_espera_minutos) AS s, count(*) AS n FROM v GROUP BY id_consulta),
-c AS (SELECT o_orderkey AS id_consulta, n_name AS cidade FROM orders
-      JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
+WITH {B.V}, {B.H}, {B.R}
 SELECT canal_avaliacao, cidade, count(*) AS total_avaliacoes,
-       CAST(sum(CAST(tempo_para_avaliar_min AS DECIMAL(18,2))) AS DOUBLE) / count(*)
-         AS avg_tempo_para_avaliar,
+       avg(tempo_para_avaliar_min) AS avg_tempo_para_avaliar,
        CAST(count(CASE WHEN avaliacao_anonima THEN 1 END) AS DOUBLE) / count(*) AS taxa_anonimato,
-       CAST(sum(s) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS tempo_espera_medio
-FROM r JOIN c ON c.id_consulta = r.id_consulta LEFT JOIN w ON w.id_consulta = r.id_consulta
+       avg(tempo_espera_minutos) AS tempo_espera_medio
+FROM r JOIN v ON v.id_consulta = r.id_consulta JOIN h ON h.id_hospital = v.id_hospital
 GROUP BY canal_avaliacao, cidade""")
 def kpi_channel(spark, sf):
-    cities = B.table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(
-        B.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    city_of_visit = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(
-        cities, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("id_consulta"), F.col("n_name").alias("cidade"))
-    waits = kpi.waits_by_visit(B.lines(spark, sf))
-    return kpi.per_channel(B.reviews(spark, sf), waits, city_of_visit)
+    return kpi.per_channel(B.reviews(spark, sf), B.lines(spark, sf), B.hospitals(spark, sf))
+
+
+def patient_parts(spark, sf, *more):
+    """Partial sums per hospital, patient and ``more``: what all KPIs by patient start from."""
+    return kpi.partials(B.visits(spark, sf, codes=False), ["id_hospital", "id_paciente", *more])
 
 
 def view_360(spark, sf):
@@ -70,17 +65,24 @@ SELECT regiao, estado, especialidade, cid_10, diagnostico_descricao,
        avg(idade) AS idade_media, avg(tempo_espera_minutos) AS tempo_espera_medio
 FROM v360 GROUP BY ALL""")
 def kpi_epidemiology(spark, sf):
-    return kpi.epidemiology(view_360(spark, sf))
+    """Ids through the joins; the names of places and codes come in over reduced rows."""
+    parts = patient_parts(spark, sf, "id_medico", "status")
+    coded = parts.join(B.codes(spark, sf), "id_medico").withColumns({
+        c: F.when(F.col("status") == "finalizada", F.col(c)) for c in ("cid_10", "diagnostico_descricao")})
+    places = B.hospitals(spark, sf).select("id_hospital", "regiao", "estado")
+    ages = B.patients(spark, sf).select("id_paciente", "idade")
+    return kpi.epidemiology(integrity.left_join_optional(
+        coded.join(places, "id_hospital"), "id_paciente", ages, "id_paciente", ["id_hospital", "id_medico"]))
 
 
-def _doctor_sql(keys: str) -> str:
+def _doctor_sql(keys: str, source: str = "v") -> str:
     return f"""
 WITH {B.V}
 SELECT {keys}, count(*) AS total_consultas,
        count(CASE WHEN modalidade = 'presencial' THEN 1 END) AS presenciais,
        count(CASE WHEN modalidade = 'telemedicina' THEN 1 END) AS telemedicina,
        avg(tempo_espera_minutos) AS tempo_espera_medio
-FROM v GROUP BY ALL"""
+FROM {source} GROUP BY ALL"""
 
 
 def _parts_with_specialty(spark, sf):
@@ -89,9 +91,19 @@ def _parts_with_specialty(spark, sf):
     return sums.join(B.specialties(spark, sf), "id_medico")
 
 
-@query("kpi_doctor", _doctor_sql("id_medico, especialidade"))
+def day_parts(spark, sf):
+    """Partial sums per hospital and doctor, then the specialty."""
+    sums = kpi.partials(B.visits(spark, sf, codes=False), ["id_hospital", "id_medico"])
+    return sums.join(B.specialties(spark, sf), "id_medico")
+
+
+@query("kpi_doctor", _doctor_sql(
+    "id_medico, nome_medico, crm, especialidade",
+    "v JOIN (SELECT p_partkey, p_name AS nome_medico, p_brand AS crm FROM part) ON p_partkey = id_medico"))
 def kpi_doctor(spark, sf):
-    return kpi.per_doctor(_parts_with_specialty(spark, sf), ["id_medico", "especialidade"])
+    sums = kpi.partials(B.lines(spark, sf), ["id_medico"])
+    return kpi.per_doctor(sums.join(B.doctors(spark, sf), "id_medico"),
+                          ["id_medico", "nome_medico", "crm", "especialidade"])
 
 
 @query("kpi_doctor_id", _doctor_sql("id_medico"))
@@ -109,8 +121,10 @@ SELECT convenio, sexo, {B.AGE_BAND_SQL} AS faixa_etaria, regiao,
          AS taxa_telemedicina
 FROM v360 GROUP BY ALL""")
 def kpi_demography(spark, sf):
-    return kpi.demography(views.visits_360(
-        B.visits(spark, sf, codes=False), B.hospitals(spark, sf), B.patients(spark, sf)))
+    places = B.hospitals(spark, sf).select("id_hospital", "regiao")
+    people = B.patients(spark, sf).select("id_paciente", "idade", "sexo", "convenio")
+    return kpi.demography(integrity.left_join_optional(
+        patient_parts(spark, sf).join(places, "id_hospital"), "id_paciente", people, "id_paciente", ["id_hospital"]))
 
 
 @query("metrics_by_group", f"""
@@ -133,7 +147,7 @@ SELECT count(*) AS total_consultas, count(DISTINCT id_hospital) AS hospitais_ati
          AS taxa_conclusao
 FROM v""")
 def daily_briefing_metrics(spark, sf):
-    return kpi.daily_totals(B.visits(spark, sf))
+    return kpi.daily_totals(day_parts(spark, sf))
 
 
 @query("metrics_by_hospital", f"""
@@ -145,8 +159,25 @@ FROM v JOIN h ON h.id_hospital = v.id_hospital
 GROUP BY nome_hospital, cidade
 ORDER BY total_consultas DESC, nome_hospital, cidade LIMIT 5""")
 def metrics_by_hospital(spark, sf):
-    facts = B.lines(spark, sf).join(B.specialties(spark, sf), "id_medico")
-    return kpi.busiest_hospitals(facts, B.hospitals(spark, sf))
+    return busiest(spark, sf).drop("espera_soma", "espera_n")
+
+
+def busiest(spark, sf):
+    parts = kpi.partials(B.lines(spark, sf), ["id_hospital", "id_medico"])
+    return kpi.busiest_hospitals(parts.join(B.specialties(spark, sf), "id_medico"), B.hospitals(spark, sf))
+
+
+@query("narrative_hospital", f"""
+WITH {B.V}, {B.H},
+t AS (SELECT nome_hospital, cidade, count(*) AS n, CAST(sum(tempo_espera_minutos) AS BIGINT) AS s,
+             count(DISTINCT especialidade) AS e
+      FROM v JOIN h ON h.id_hospital = v.id_hospital GROUP BY nome_hospital, cidade
+      ORDER BY n DESC, nome_hospital, cidade LIMIT 5),
+u AS (SELECT *, (20 * s + n) // (2 * n) AS u FROM t)
+SELECT nome_hospital, cidade, nome_hospital || ' (' || cidade || '): ' || n || ' consultas em ' || e
+       || ' especialidades, espera media de ' || u // 10 || '.' || u % 10 || ' min.' AS resumo FROM u""")
+def narrative_hospital(spark, sf):
+    return narrative.by_hospital(busiest(spark, sf))
 
 
 @query("top_codes_by_specialty", f"""
@@ -157,7 +188,8 @@ n AS (SELECT *, row_number() OVER (PARTITION BY especialidade ORDER BY total DES
       FROM c)
 SELECT * FROM n WHERE posicao <= 3""")
 def top_codes_by_specialty(spark, sf):
-    return kpi.top_codes(B.visits(spark, sf))
+    parts = kpi.partials(B.visits(spark, sf, codes=False), ["id_medico"])
+    return kpi.top_codes(parts.join(B.codes(spark, sf), "id_medico"))
 
 
 @query("label_distribution", """
@@ -218,8 +250,8 @@ SELECT {B.AGE_BAND_SQL} AS faixa_etaria, convenio, id_hospital, count(*) AS tota
        count(DISTINCT id_paciente) AS pacientes
 FROM v360 WHERE id_paciente IS NOT NULL GROUP BY ALL""")
 def age_plan_hospital(spark, sf):
-    return kpi.age_plan_hospital(views.visits_360(
-        B.visits(spark, sf, codes=False), B.hospitals(spark, sf), B.patients(spark, sf)))
+    parts = integrity.covered(patient_parts(spark, sf), "id_hospital", B.hospitals(spark, sf), "id_hospital")
+    return kpi.age_plan_hospital(parts, B.patients(spark, sf))
 
 
 @query("filtered_cohort", f"""
@@ -328,7 +360,7 @@ SELECT 'Operacao do dia: ' || n || ' consultas em ' || h || ' hospitais ativos c
        || ' especialidades. Tempo medio de espera: ' || u // 10 || '.' || u % 10
        || ' minutos. Taxa de conclusao: ' || q // 10 || '.' || q % 10 || '%.' AS briefing FROM t""")
 def briefing_text(spark, sf):
-    return narrative.briefing_text(B.visits(spark, sf))
+    return narrative.briefing_text(day_parts(spark, sf))
 
 
 @query("narrative_overall", f"""

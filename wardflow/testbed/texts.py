@@ -10,7 +10,7 @@ from wardflow import scratch
 from wardflow.functions import lexicons
 from wardflow.functions import text as X
 from wardflow.operators import enrich, phrases, shares, summarize
-from wardflow.operators.spread import spread_rows
+from wardflow.operators.spread import spread_files
 from wardflow.plans import kpi, views
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -136,6 +136,29 @@ def mask_pii(spark, sf):
                          (F.col("text") != F.col("mascarado")).alias("alterado"))
 
 
+# Words that start many texts, as a list of names.
+NAMES = ("The", "And", "La", "Die", "In", "Th", "Of")
+PERSON_SQL = (
+    "regexp_replace(array_to_string(list_transform(regexp_extract_all(text, '\\p{L}+|[^\\p{L}]+'), lambda t: "
+    f"CASE WHEN t IN ({', '.join(repr(n) for n in NAMES)}) THEN '[MASKED]' ELSE t END), ''), "
+    "'\\[MASKED\\](?: \\[MASKED\\])+', '[MASKED]', 'g')")
+
+
+@query("mask_person", f"SELECT doc_id, md5({PERSON_SQL}) AS texto_md5 FROM documents")
+def mask_person(spark, sf):
+    """Names of a list, whole words, runs of them as one."""
+    masked = X.mask(F.col("text"), ["person"], NAMES)
+    return _documents(spark, sf).select("doc_id", F.md5(masked).alias("texto_md5"))
+
+
+@query("mask_person_join", f"SELECT doc_id, md5({PERSON_SQL}) AS texto_md5 FROM documents")
+def mask_person_join(spark, sf):
+    """The same with a table of names."""
+    names = spark.createDataFrame([(n,) for n in NAMES], "nome string")
+    masked = phrases.mask_names(_documents(spark, sf), "doc_id", "text", names, "nome", X.MASK)
+    return masked.select("doc_id", F.md5("text").alias("texto_md5"))
+
+
 def _words_sql(column: str) -> str:
     return (f"list_distinct(list_filter(string_split({B.fold_sql(column)}, ' '), "
             f"lambda w: w <> ''))")
@@ -153,9 +176,9 @@ SELECT a.conv_id, a.turn, {_jaccard_sql("a.w", "b.w")} AS similaridade
 FROM w a JOIN w b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
 def text_similarity(spark, sf):
     """Each turn of a conversation against the next one."""
-    turns = B.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    turns = spread_files(B.table(spark, sf, "conversations").select("conv_id", "turn", "text"))
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("resposta"))
-    return spread_rows(turns.join(following, ["conv_id", "turn"])).select(
+    return turns.join(following, ["conv_id", "turn"]).select(
         "conv_id", "turn", X.jaccard(F.col("text"), F.col("resposta")).alias("similaridade"))
 
 
@@ -238,19 +261,25 @@ def criticality(spark, sf):
 
 # ---- labelled visits ----
 
-def labelled(spark, sf, facts):
-    """Visits with priority and risk of their text, labelled once per text and stored."""
+def labelled(spark, sf, facts, *rules):
+    """Facts with the chosen labels of their text, labelled once per text and stored.
+
+    ``facts``: visits, or partial sums that keep the text's id.
+    """
     labels = views.enriched_visits(_documents(spark, sf), "text", B.PRIORITY, "eletiva", B.RISK,
-                                   "baixo_risco").select("doc_id", "prioridade", "risco")
-    return B.with_text_columns(B.with_doc(spark, sf, facts), scratch.materialise(labels, "labels"))
+                                   "baixo_risco", only=rules).select("doc_id", *rules)
+    return B.with_text_columns(facts, scratch.materialise(labels, "labels"))
 
 
-def labelled_lines(spark, sf):
-    return labelled(spark, sf, B.lines(spark, sf))
+def labelled_parts(spark, sf, rule, *keys):
+    """Partial sums per text and ``keys``, then the label: a text's label is joined once for all
+    visits of a key that share the text."""
+    visits = B.with_doc(spark, sf, B.lines(spark, sf))
+    return labelled(spark, sf, kpi.partials(visits, ["doc_id", *keys]), rule)
 
 
-def labelled_lines_with_specialty(spark, sf):
-    return labelled(spark, sf, B.lines(spark, sf).join(B.specialties(spark, sf), "id_medico"))
+def with_specialty(spark, sf, parts):
+    return parts.join(B.specialties(spark, sf), "id_medico")
 
 
 @query("priority_distribution", f"""
@@ -259,15 +288,16 @@ SELECT prioridade, count(*) AS total_consultas,
        count(*) * CAST(100.0 AS DOUBLE) / (SELECT count(*) FROM vl) AS percentual
 FROM vl GROUP BY prioridade""")
 def priority_distribution(spark, sf):
-    return shares.label_shares(labelled_lines(spark, sf), ["prioridade"],
-                               count="total_consultas")
+    return shares.label_shares(labelled_parts(spark, sf, "prioridade"), ["prioridade"],
+                               count="total_consultas", n="n")
 
 
 @query("visits_by_priority", f"""
 WITH {B.VL}
 SELECT especialidade, prioridade, count(*) AS total FROM vl GROUP BY ALL""")
 def visits_by_priority(spark, sf):
-    return kpi.counts_by(labelled_lines_with_specialty(spark, sf), ["especialidade", "prioridade"])
+    parts = with_specialty(spark, sf, labelled_parts(spark, sf, "prioridade", "id_medico"))
+    return kpi.counts_by(parts, ["especialidade", "prioridade"], n="n")
 
 
 @query("urgent_by_hospital", f"""
@@ -276,7 +306,7 @@ u AS (SELECT id_hospital, count(*) AS urgentes FROM vl WHERE prioridade = 'urgen
       GROUP BY id_hospital ORDER BY urgentes DESC, id_hospital LIMIT 5)
 SELECT id_hospital, urgentes, s_name AS nome_hospital FROM u JOIN supplier ON s_suppkey = id_hospital""")
 def urgent_by_hospital(spark, sf):
-    return kpi.urgent_hospitals(labelled_lines(spark, sf), B.hospitals(spark, sf))
+    return kpi.urgent_hospitals(labelled_parts(spark, sf, "prioridade", "id_hospital"), B.hospitals(spark, sf))
 
 
 RISK_LEVEL_SQL = "CASE risco WHEN 'baixo_risco' THEN 0 WHEN 'medio_risco' THEN 1 ELSE 2 END"
@@ -291,7 +321,7 @@ SELECT especialidade, count(*) AS total_consultas,
        avg({RISK_LEVEL_SQL}) AS risco_medio
 FROM vl GROUP BY especialidade""")
 def risk_by_specialty(spark, sf):
-    return kpi.risk_by_specialty(labelled_lines_with_specialty(spark, sf))
+    return kpi.risk_by_specialty(with_specialty(spark, sf, labelled_parts(spark, sf, "risco", "id_medico")))
 
 
 @query("top_risk_hospitals", f"""
@@ -301,7 +331,7 @@ m AS (SELECT id_hospital, avg({RISK_LEVEL_SQL}) AS risco_medio, count(*) AS tota
 SELECT id_hospital, risco_medio, total_consultas, s_name AS nome_hospital
 FROM m JOIN supplier ON s_suppkey = id_hospital""")
 def top_risk_hospitals(spark, sf):
-    return kpi.riskiest_hospitals(labelled_lines(spark, sf), B.hospitals(spark, sf))
+    return kpi.riskiest_hospitals(labelled_parts(spark, sf, "risco", "id_hospital"), B.hospitals(spark, sf))
 
 
 @query("wait_by_priority", f"""
@@ -309,7 +339,7 @@ WITH {B.VL}
 SELECT prioridade, count(*) AS total_consultas, avg(tempo_espera_minutos) AS tempo_espera_medio
 FROM vl WHERE prioridade IN ('urgente', 'eletiva') GROUP BY prioridade""")
 def wait_by_priority(spark, sf):
-    return kpi.wait_by_priority(labelled_lines(spark, sf))
+    return kpi.wait_by_priority(labelled_parts(spark, sf, "prioridade"))
 
 
 @query("risk_profile", f"""
@@ -319,7 +349,8 @@ SELECT id_consulta, id_hospital, id_medico, especialidade, risco, nome_paciente,
 FROM vl JOIN p ON p.id_paciente = vl.id_paciente""")
 def risk_profile(spark, sf):
     as_of = F.lit(B.AS_OF).cast("date")
-    profile = views.risk_profile(labelled(spark, sf, B.visits(spark, sf)), B.patients(spark, sf), as_of)
+    visits = B.with_doc(spark, sf, B.visits(spark, sf))
+    profile = views.risk_profile(labelled(spark, sf, visits, "risco"), B.patients(spark, sf), as_of)
     return profile.select("id_consulta", "id_hospital", "id_medico", "especialidade", "risco",
                           "nome_paciente", "convenio", F.col("idade").cast("long").alias("idade"))
 
