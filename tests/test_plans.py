@@ -1,6 +1,7 @@
 """KPIs and narratives on hand-made rows, and the shape of their plans."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from conftest import plan_of
@@ -200,8 +201,8 @@ def test_no_query_has_a_product_of_rows(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name,most", [("kpi_epidemiology", 10), ("kpi_demography", 9), ("age_plan_hospital", 7),
-                                       ("daily_briefing_metrics", 8), ("kpi_channel", 8)])
+@pytest.mark.parametrize("name,most", [("kpi_epidemiology", 15), ("kpi_demography", 13), ("age_plan_hospital", 8),
+                                       ("daily_briefing_metrics", 6), ("kpi_channel", 10)])
 def test_shuffles_without_broadcasts(spark, name, most):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -212,7 +213,7 @@ def test_shuffles_without_broadcasts(spark, name, most):
 
 
 def jobs_started(spark, build):
-    group = f"g{id(build)}"
+    group = uuid.uuid4().hex
     spark.sparkContext.setJobGroup(group, "")
     try:
         build()

@@ -250,7 +250,8 @@ SELECT {B.AGE_BAND_SQL} AS faixa_etaria, convenio, id_hospital, count(*) AS tota
        count(DISTINCT id_paciente) AS pacientes
 FROM v360 WHERE id_paciente IS NOT NULL GROUP BY ALL""")
 def age_plan_hospital(spark, sf):
-    parts = integrity.covered(patient_parts(spark, sf), "id_hospital", B.hospitals(spark, sf), "id_hospital")
+    known = B.table(spark, sf, "supplier").select("s_suppkey")
+    parts = integrity.covered(patient_parts(spark, sf), "id_hospital", known, "s_suppkey")
     return kpi.age_plan_hospital(parts, B.patients(spark, sf))
 
 
