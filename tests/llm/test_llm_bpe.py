@@ -79,7 +79,9 @@ def test_frames(spark, library):
     found = sorted(((r.doc_id, r.text, tuple(r.ids), r.decoded) for r in out.collect()), key=str)
     assert found == sorted(((d, t, tuple(library.encode(t or "", add_special_tokens=False).ids), t or "")
                             for d, t, _ in rows), key=str)
-    assert bpe.encode(df.limit(0), PATH).count() == 0
+    both = bpe.encode_decode(df, PATH, keep=["doc_id", "text"]).select(*out.columns)
+    assert sorted(((r.doc_id, r.text, tuple(r.ids), r.decoded) for r in both.collect()), key=str) == found
+    assert bpe.encode(df.limit(0), PATH).count() == 0 == bpe.encode_decode(df.limit(0), PATH).count()
 
 
 def test_null_and_unknown_ids(spark, codec):

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 LANES = 4                 # of 8 bytes: longer words go through the heap
-SLOT_BITS = 21            # of the table of known words, which is emptied when half full
+SLOT_BITS = 20            # of the table of known words, which is emptied when half full
 SLICE_CHARS = 1_000_000   # characters that are split into words at a time
 
 _NONE = np.int64(1 << 40)
@@ -422,6 +422,40 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+PART_ROWS = 500  # rows that are coded at a time
+
+
+def _encoded(coder: Codec, batches: Iterator[pa.RecordBatch], text: str, kept: list[str], out: str
+             ) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            part = batch.slice(at, PART_ROWS)
+            packed = coder.encode_many(texts_of(part, text))
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+            flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, out])
+
+
+def _decoded(coder: Codec, batches: Iterator[pa.RecordBatch], ids: str, kept: list[str], out: str
+             ) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            part = batch.slice(at, PART_ROWS)
+            column = part.column(ids)
+            texts = pa.array([None if not column[i].is_valid
+                              else coder.decode(column[i].values.to_numpy(zero_copy_only=False).tolist())
+                              for i in range(part.num_rows)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), texts], names=[*kept, out])
+
+
+def _with(df: DataFrame, kept: list[str], **more: T.DataType) -> T.StructType:
+    return T.StructType([*(df.schema[c] for c in kept), *(T.StructField(c, t) for c, t in more.items())])
+
+
+IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids",
            keep: list[str] | None = None) -> DataFrame:
     """Adds ``out``: the ids of ``text`` (array<int>), special tokens' strings included.
@@ -430,39 +464,29 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids",
     column that is called like ``out`` is replaced. Rows stay as they are, repeated ones too.
     """
     kept = [c for c in (keep if keep is not None else df.columns) if c != out]
-    source = df.select(*dict.fromkeys([*kept, text]))
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(spec.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                packed = coder.encode_many(texts_of(part, text))
-                ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-                flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids],
-                                                 names=[*kept, out])
-
-    return source.mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*kept, text])).mapInArrow(
+        lambda batches: _encoded(codec(spec.value), batches, text, kept, out), _with(df, kept, **{out: IDS}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the text of the array of ids. Null gives null, no ids the empty text."""
     kept = [c for c in df.columns if c != out]
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.StringType())])
+    spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
+    return df.mapInArrow(
+        lambda batches: _decoded(codec(spec.value), batches, ids, kept, out),
+        _with(df, kept, **{out: T.StringType()}))
+
+
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded",
+                  keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and then ``decode`` of its ids, in one pass through one Python worker per task."""
+    kept = [c for c in (keep if keep is not None else df.columns) if c not in (ids, out)]
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(spec.value)
-        for batch in batches:
-            column = batch.column(ids)
-            texts = pa.array([None if not column[i].is_valid
-                              else coder.decode(column[i].values.to_numpy(zero_copy_only=False).tolist())
-                              for i in range(batch.num_rows)], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), texts],
-                                             names=[*kept, out])
+        return _decoded(coder, _encoded(coder, batches, text, kept, ids), ids, [*kept, ids], out)
 
-    return df.mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*kept, text])).mapInArrow(
+        run, _with(df, kept, **{ids: IDS, out: T.StringType()}))

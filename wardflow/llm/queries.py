@@ -162,7 +162,7 @@ def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and its ids decoded again, as digests."""
     docs = table(spark, folder, "documents")
-    coded = bpe.decode(bpe.encode(docs, vocabulary(), keep=["doc_id"]), vocabulary())
+    coded = bpe.encode_decode(docs, vocabulary(), keep=["doc_id"])
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
