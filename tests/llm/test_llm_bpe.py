@@ -41,6 +41,7 @@ def test_odd_texts(library, codec):
 def test_random_texts_and_cuts(library, codec, monkeypatch):
     monkeypatch.setattr(bpe, "SLICE_CHARS", 50)
     random.seed(3)
+    assert max(len(list(bpe._pieces(t))) for t in ODD) > 1
     letters = "ab '\n\t 　é1,²\0\x1c<|endoftext|>stlvre"
     texts = ["".join(random.choice(letters) for _ in range(random.randint(0, 40))) for _ in range(3000)]
     for text, packed in zip(texts, codec.encode_many(texts), strict=True):

@@ -32,6 +32,7 @@ SLOT_BITS = 20            # of the table of known words, which is emptied when h
 SLICE_CHARS = 1_000_000   # characters that are split into words at a time
 
 _NONE = np.int64(1 << 40)
+_word_end = re.compile(r"\S(?=[ \n])")
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = 1, 2, 3, 4, 5
 
 
@@ -128,6 +129,11 @@ class Codec:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Packed ids of every text, whole."""
+        pieces = [list(_pieces(t)) for t in texts]
+        flat = iter(self._encode_pieces([p for ps in pieces for p in ps]))
+        return [b"".join([next(flat) for _ in ps]) for ps in pieces]
+
+    def _encode_pieces(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for part in _slices(texts):
             plain = [t if self._special is None or not self._special.search(t) else "" for t in part]
@@ -175,6 +181,10 @@ class Codec:
 
     def _words_at(self, raw: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of every word, and all ids in order."""
+        if len(at) > self.known.most:
+            half = len(at) // 2
+            (a, x), (b, y) = (self._words_at(raw, at[s], size[s]) for s in (slice(half), slice(half, None)))
+            return np.concatenate([a, b]), np.concatenate([x, y])
         lanes = _packed(raw, at, size)
         short = size <= 8 * LANES
         slot = np.zeros(len(at), np.int64)
@@ -286,8 +296,17 @@ class Codec:
         return b"".join([self.token.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """A very long text cut where white space begins, which is a word's end in any case."""
+    at = 0
+    while len(text) - at > SLICE_CHARS and (m := _word_end.search(text, at + SLICE_CHARS)):
+        yield text[at:m.end()]
+        at = m.end()
+    yield text[at:]
+
+
 def _slices(texts: list[str]) -> Iterator[list[str]]:
-    """Texts in runs of bounded length; a longer text is alone."""
+    """Texts in runs of bounded length; a longer one is alone."""
     part, chars = [], 0
     for t in texts:
         if part and chars + len(t) > SLICE_CHARS:
@@ -362,8 +381,10 @@ class _WordTable:
         self.pool, self.used = np.zeros(0, np.uint32), 0
         self._free = np.zeros(1 << 16, np.uint32)
 
+        self.most = n // 2  # words that it holds
+
     def full(self, more: int) -> bool:
-        return self.used > 0 and self.used + more > 1 << (SLOT_BITS - 1)
+        return self.used + more > self.most
 
     def _slot(self, lanes: np.ndarray, size: np.ndarray) -> np.ndarray:
         return (_mixed(lanes, size) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
