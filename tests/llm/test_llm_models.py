@@ -116,7 +116,7 @@ def test_resampling(spark, documents):
     kept = {r.doc_id: r.kept for r in found}
     good_kept = np.mean([kept[d] for d, q in quality_of.items() if q == 1 and d in kept])
     bad_kept = np.mean([kept[d] for d, q in quality_of.items() if q == 0 and d in kept])
-    assert good_kept > 0.85 and bad_kept < 0.1
+    assert good_kept > 0.9 and bad_kept < 0.2
 
 
 def test_gumbel_noise_has_its_distribution(spark):

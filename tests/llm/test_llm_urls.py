@@ -36,11 +36,11 @@ def judged(url):
 
 def test_same_as_a_loop_over_rules(spark):
     rows = [(i, u, "x") for i, u in enumerate(URLS)] + [(0, URLS[0], "x"), (None, URLS[1], None)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, verdict string")
+    pages = spark.createDataFrame(rows, "page_id long, url string, verdict string").withColumn("_rule", F.lit(1))
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     listed = spark.createDataFrame([(u,) for u in LISTED], "url string")
     found = urls.judge(pages, rules, listed)
-    assert found.columns == ["page_id", "url", "host", "path", "rule", "verdict", "listed"]
+    assert found.columns == ["page_id", "url", "_rule", "host", "path", "rule", "verdict", "listed"]
     got = sorted(((r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in found.collect()), key=str)
     assert got == sorted(((i, u, *parts(u), *judged(u)) for i, u, _ in rows), key=str)
     assert urls.judge(pages.limit(0), rules, listed).count() == 0

@@ -204,7 +204,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", kinds: str = "pi
     Null stays null with no kinds; text without a valid value stays as it is. Rows are never
     dropped. A column called like ``kinds`` is replaced.
     """
-    whole = F.col(text)
+    # Places instead of names, so that no column can clash with the result.
+    places = [f"_{i}" for i in range(len(docs.columns))]
+    whole = F.col(places[docs.columns.index(text)])
 
     def rebuilt(found: Column) -> Column:
         between = F.split(whole, PATTERN, -1)
@@ -221,7 +223,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", kinds: str = "pi
     # Nearly all texts stop at the first test: without digit and @ there is nothing to find.
     result = F.when(whole.rlike("[0-9@]"), _let(F.transform(matches, judged), rebuilt)).otherwise(
         F.struct(whole.alias("text"), none.alias("kinds")))
-    names = [c for c in docs.columns if c != kinds]
-    done = docs.withColumn("_pii", result)
-    return done.select(*[F.col("_pii.text").alias(c) if c == text else F.col(c) for c in names],
-                       F.coalesce("_pii.kinds", none).alias(kinds))
+    done = docs.toDF(*places).withColumn("_pii", result)
+    kept = [F.col("_pii.text" if c == text else p).alias(c)
+            for c, p in zip(docs.columns, places, strict=True) if c != kinds]
+    return done.select(*kept, F.coalesce("_pii.kinds", none).alias(kinds))

@@ -91,9 +91,10 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame, url: str = "url
         F.max_by("rule", F.when(F.col("rule").isNotNull(), order)).alias("_rule"),
         F.max_by("verdict", F.when(F.col("rule").isNotNull(), order)).alias("_verdict"),
         F.max(F.col("rule").isNull()).alias("_listed"))
-    listed_ = F.coalesce("_listed", F.lit(False))
+    listed_ = F.coalesce(best["_listed"], F.lit(False))
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "listed")]
     return pages.join(best, pages[url] == best["_url"], "left").select(
-        *names, host(pages[url]).alias("host"), path(pages[url]).alias("path"), F.col("_rule").alias("rule"),
-        F.coalesce("_verdict", F.when(listed_, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+        *[pages[c] for c in names], host(pages[url]).alias("host"), path(pages[url]).alias("path"),
+        best["_rule"].alias("rule"),
+        F.coalesce(best["_verdict"], F.when(listed_, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         listed_.alias("listed"))
