@@ -194,16 +194,27 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
               .select(F.xxhash64("key", F.lit("fold")).alias("draw"), "label", "text")
               .mapInArrow(vectors, "draw long, label string, at array<int>, n array<int>").toArrow())
     rows = []
-    for r in sorted(sample.to_pylist(), key=lambda r: (r["draw"], r["label"], r["at"])):
+    for _, label_, at, n in sorted(_sampled(sample), key=lambda r: (r[0], r[1], r[2].tobytes())):
         count = np.zeros(BUCKETS, np.int64)
-        count[r["at"]] = r["n"]
-        rows.append((*tfidf(count, idf), labels.index(r["label"])))
+        count[at] = n
+        rows.append((*tfidf(count, idf), labels.index(label_)))
     aside, used = rows[::5], [r for i, r in enumerate(rows) if i % 5]
     weights = fit_weights(used or aside, len(labels))
     logits = np.array([weights[:, at] @ x for at, x, _ in aside]).reshape(len(aside), len(labels))
     return Model(labels, idf, weights, fit_temperature(logits, np.array([y for *_, y in aside], int)))
 
 
+def _sampled(sample: pa.Table) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
+    """The rows of the sample, their counts as views of the columns."""
+    for batch in sample.to_batches():
+        at, n = batch.column("at"), batch.column("n")
+        cuts, where, counted = at.offsets.to_numpy(), at.values.to_numpy(), n.values.to_numpy()
+        for i, (draw, label) in enumerate(zip(batch.column("draw").to_pylist(), batch.column("label").to_pylist(),
+                                              strict=True)):
+            part = slice(cuts[i], cuts[i + 1])
+            yield draw, label, where[part], counted[part]
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds lang_pred and score (the calibrated probability) from the whole text alone.
 
