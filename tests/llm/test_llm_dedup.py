@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wardflow.llm import exact_dedup, simhash
 from wardflow.llm.components import connected
@@ -112,7 +113,7 @@ def test_fingerprints():
 def test_near_duplicates(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "BUCKET", block)
     rows = [(100 - i, t) for i, t in enumerate(near_texts())] + [(100, None), (None, "one"), (3, "completely different")]
-    df = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, fingerprint int")
+    df = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, fingerprint int").withColumn("_k", F.lit(1))
     prints = [plain_fingerprint(t) for _, t in rows]
     links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
     root = union_find(range(len(rows)), links)
