@@ -153,9 +153,11 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     decided = scratch.materialise(found, "simhash-kept")
     dropped = decided.where(~F.col("kept")).select("_k", "_s").distinct()
     twice = decided.where("kept").groupBy("_k", "_s").count().where("count > 1").select("_k", "_s")
-    same = docs[key].eqNullSafe(F.col("_k")) & (F.xxhash64(docs[text]) == F.col("_s"))
-    rest = docs.join(dropped, same, "left_anti")
+    def same(rows: DataFrame):
+        return docs[key].eqNullSafe(rows["_k"]) & (F.xxhash64(docs[text]) == rows["_s"])
+
+    rest = docs.join(dropped, same(dropped), "left_anti")
     if twice.isEmpty():
         return rest
-    once = docs.join(dropped, same, "left_anti").join(twice, same, "left_semi").dropDuplicates([key, text])
-    return rest.join(twice, same, "left_anti").unionByName(once)
+    once = rest.join(twice, same(twice), "left_semi").dropDuplicates([key, text])
+    return rest.join(twice, same(twice), "left_anti").unionByName(once)
