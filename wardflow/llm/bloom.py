@@ -35,12 +35,22 @@ def build(keys: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, int]:
     return keys.groupBy(_block(F.col(key), blocks).alias("_bloom_block")).agg(*words), blocks
 
 
-def possible(rows: DataFrame, key: Column, built: tuple[DataFrame, int]) -> DataFrame:
-    """The rows whose key may be among the filter's keys, columns as they were."""
+def flagged(rows: DataFrame, key: Column, built: tuple[DataFrame, int], flag: str) -> DataFrame:
+    """The rows with a column ``flag``: may the key be among the filter's keys?"""
     table, blocks = built
     held = reduce(Column.__and__, [
         F.col(f"_bloom_{w}").bitwiseAND(F.col(f"_bloom_mask_{w}")) == F.col(f"_bloom_mask_{w}")
         for w in range(WORDS)])
     masks = {f"_bloom_mask_{w}": _mask(key, w) for w in range(WORDS)}
     probed = rows.withColumns({"_bloom_block": _block(key, blocks), **masks})
-    return probed.join(F.broadcast(table), "_bloom_block").where(held).select(*rows.columns)
+    return probed.join(F.broadcast(table), "_bloom_block", "left").select(
+        *rows.columns, F.coalesce(held, F.lit(False)).alias(flag))
+
+
+def possible(rows: DataFrame, key: Column, built: tuple[DataFrame, int]) -> DataFrame:
+    """The rows whose key may be among the filter's keys, columns as they were.
+
+    Let an inner join on the keys follow: the optimiser moves a left semi join in front of the
+    filter, which then saves nothing.
+    """
+    return flagged(rows, key, built, "_bloom_held").where("_bloom_held").drop("_bloom_held")

@@ -95,8 +95,14 @@ def fit(docs: DataFrame, target_keys: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     wanted = scratch.materialise(
         target_keys.toDF("key").where("key IS NOT NULL").distinct(), "quality-target")
+    # Texts are counted where they are read: first all that pass a Bloom filter of the target's
+    # keys, then the few strangers among them, which are taken off again. No text of the target
+    # is moved.
     maybe = bloom.possible(rows, F.col("key"), bloom.build(wanted, "key", wanted.count()))
-    target = _totals(maybe.join(wanted, "key", "left_semi").select("text"))
+    strangers = scratch.materialise(
+        maybe.select("key").join(wanted, "key", "left_anti").distinct(), "quality-strangers")
+    passed = bloom.possible(rows, F.col("key"), bloom.build(strangers, "key", strangers.count()))
+    target = _totals(maybe.select("text")) - _totals(passed.join(strangers, "key").select("text"))
     if not target.sum():
         return np.zeros(BUCKETS)
     raw = _totals(rows.select("text"))
