@@ -50,7 +50,7 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         .where(F.col("_n") > 1).select("_length", "_prefix"), "dedup-survivors")
     sign = F.struct("_length", "_prefix")
     filter_ = bloom.build(survivors.withColumn("_sign", sign), "_sign", survivors.count())
-    read_again = bloom.possible(sized, sign, filter_).join(survivors, ["_length", "_prefix"], "left_semi")
+    read_again = bloom.possible(sized, sign, filter_).join(survivors, ["_length", "_prefix"])
     full = read_again.select("_key", "_chars", full_hash(F.col("_norm")).alias("_hash"))
     best = F.struct((-F.col("_chars")).alias("c"), F.col("_key").isNull().alias("n"), F.col("_key").alias("k"))
     # Equal rows first, so that a hot text is one partial row of each task.
@@ -112,5 +112,8 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     k, t = (F.col(names[docs.columns.index(c)]) for c in (key, text))
     rows = docs.toDF(*names).withColumns({
         "_hash": full_hash(normalised(t)), "_chars": F.coalesce(F.length(t), F.lit(0))})
-    found = _with_groups(rows, groups).withColumn("_stays", _stays(k, F.col("_chars"))).where("_stays")
-    return _only_one(found, groups, ["_hash"]).where("_first").select(*names).toDF(*docs.columns)
+    # Most rows are in no group: the filter lets them by, and only the others are moved.
+    rows = bloom.flagged(rows, F.col("_hash"), bloom.build(groups, "_hash", groups.count()), "_maybe")
+    found = _with_groups(rows.where("_maybe"), groups).withColumn("_stays", _stays(k, F.col("_chars"))).where("_stays")
+    kept = _only_one(found, groups, ["_hash"]).where("_first").select(*names)
+    return rows.where("NOT _maybe").select(*names).unionByName(kept).toDF(*docs.columns)
