@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow import scratch
+from wardflow.llm import bloom
 from wardflow.llm.components import connected
 
 BITS = 64
@@ -137,7 +138,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     roots = connected(found)
     rooted = nodes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "_first", F.coalesce("root", "fingerprint").alias("_root"))
-    best = rooted.groupBy("_root").agg(F.min("_first").alias("_best"))
+    # Stored, so that the join behind it can split the fingerprints of a large component.
+    best = scratch.materialise(rooted.groupBy("_root").agg(F.min("_first").alias("_best")), "simhash-best")
     labels = rooted.join(best, "_root").select("fingerprint", "_best")
     return rows.join(labels, "fingerprint").select(
         F.col("_key").alias(key), "fingerprint", F.col("_best.k").alias("component_id"),
@@ -151,13 +153,19 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     a whole one stays."""
     found = near_duplicates(docs, key, text, words, radius).select(F.col(key).alias("_k"), F.col("text_sign").alias("_s"), "kept")
     decided = scratch.materialise(found, "simhash-kept")
-    dropped = decided.where(~F.col("kept")).select("_k", "_s").distinct()
-    twice = decided.where("kept").groupBy("_k", "_s").count().where("count > 1").select("_k", "_s")
-    def same(rows: DataFrame):
-        return docs[key].eqNullSafe(rows["_k"]) & (F.xxhash64(docs[text]) == rows["_s"])
-
-    rest = docs.join(dropped, same(dropped), "left_anti")
-    if twice.isEmpty():
-        return rest
-    once = rest.join(twice, same(twice), "left_semi").dropDuplicates([key, text])
-    return rest.join(twice, same(twice), "left_anti").unionByName(once)
+    # Rows that need a look: those to drop, and kept ones that are repeated as a whole.
+    marked = scratch.materialise(
+        decided.groupBy("_k", "_s").agg(F.bool_or("kept").alias("_repeated"), F.count("*").alias("_n"))
+        .where(~F.col("_repeated") | (F.col("_n") > 1)).drop("_n"), "simhash-marked")
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    k, t = (names[docs.columns.index(c)] for c in (key, text))
+    rows = docs.toDF(*names).withColumn("_sign", F.xxhash64(t))
+    # Most rows need none: the filter lets them by, and only the others are moved.
+    built = bloom.build(marked.withColumn("_pair", F.struct("_k", "_s")), "_pair", marked.count())
+    rows = bloom.flagged(rows, F.struct(F.col(k), F.col("_sign")), built, "_maybe")
+    looked = rows.where("_maybe").join(
+        marked, F.col(k).eqNullSafe(F.col("_k")) & (F.col("_sign") == F.col("_s")), "left")
+    kept = rows.where("NOT _maybe").select(*names).unionByName(
+        looked.where("_repeated IS NULL").select(*names)).unionByName(
+        looked.where("_repeated").dropDuplicates([k, t]).select(*names))
+    return kept.toDF(*docs.columns)
