@@ -135,23 +135,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     first = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("text_sign").alias("s"))
     nodes = scratch.materialise(rows.groupBy("fingerprint").agg(F.min(first).alias("_first")), "simhash-nodes")
     found = scratch.materialise(links(nodes.select(F.col("fingerprint").alias("fp")), radius), "simhash-links")
-    roots = connected(found)
-    rooted = nodes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "_first", F.coalesce("root", "fingerprint").alias("_root"))
+    return labelled(rows, nodes, connected(found), "fingerprint").select(
+        F.col("_key").alias(key), "fingerprint", "component_id", "kept", "text_sign")
+
+
+def labelled(rows: DataFrame, nodes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """The rows with component_id and kept, by their node, the column ``name``. ``nodes`` has the
+    least row of each node as _first, ``roots`` the root of nodes that are linked."""
+    rooted = nodes.join(roots.withColumnRenamed("node", "_node"), F.col(name) == F.col("_node"), "left").select(
+        name, "_first", F.coalesce("root", name).alias("_root"))
     # Stored, so that the join behind it can split the fingerprints of a large component.
     best = scratch.materialise(rooted.groupBy("_root").agg(F.min("_first").alias("_best")), "simhash-best")
-    labels = rooted.join(best, "_root").select("fingerprint", "_best")
-    return rows.join(labels, "fingerprint").select(
-        F.col("_key").alias(key), "fingerprint", F.col("_best.k").alias("component_id"),
-        (F.col("_key").eqNullSafe(F.col("_best.k")) & (F.col("text_sign") == F.col("_best.s"))).alias("kept"),
-        "text_sign")
+    labels = rooted.join(best, "_root").select(name, "_best")
+    return rows.join(labels, name).withColumn("component_id", F.col("_best.k")).withColumn(
+        "kept", F.col("_key").eqNullSafe(F.col("_best.k")) & (F.col("text_sign") == F.col("_best.s")))
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3,
                      radius: int = 3) -> DataFrame:
     """The documents that ``near_duplicates`` keeps, with all their columns; of rows repeated as
     a whole one stays."""
-    found = near_duplicates(docs, key, text, words, radius).select(F.col(key).alias("_k"), F.col("text_sign").alias("_s"), "kept")
+    return only_kept(docs, near_duplicates(docs, key, text, words, radius), key, text)
+
+
+def only_kept(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``found`` has as kept, by key and text_sign; of rows repeated as
+    a whole one."""
+    found = found.select(F.col(key).alias("_k"), F.col("text_sign").alias("_s"), "kept")
     decided = scratch.materialise(found, "simhash-kept")
     # Rows that need a look: those to drop, and kept ones that are repeated as a whole.
     marked = scratch.materialise(
