@@ -93,3 +93,31 @@ def test_rows_and_columns(spark):
     assert rows[1].text == "4111111111111111" * 3
     assert rows[2].pii_kinds == ["ip"] and rows[2].text.startswith("a " * 50000)
     assert pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
+CARD, IBANS = "4111 1111 1111 1111", ["ES9121000418450200051332", "BE68539007547034", "AT611904300234573201",
+                                       "SE4550000000058398257466", "PL61109010140000071219812874"]
+
+
+def test_candidates_end_before_what_follows_them(spark):
+    lines = [(f"{CARD}{tail}", ["card", *more]) for tail, more in (
+        ("", []), (" 12/25", []), (" 123", []), (" 12/12/2024", ["date"]), ("\x01 9", []), (" 12 34 5", []))]
+    lines += [(f"{i}{tail}", ["iban", *more]) for i in IBANS for tail, more in (
+        ("", []), (" BIC", []), (" VAT 12", []), (" 2024", []), (f" {CARD} 123", ["card"]), (" IBAN " + IBANS[0], ["iban"]))]
+    lines += [("2024-05-01T10:00:00Z", ["date"]), ("2024-05-01Tag", []), (f"CC01 {CARD} 12/25", ["card"]),
+              (f"{CARD} 12/25 and {CARD} 123", ["card", "card"]), ("AT611904300234573202", []),
+              ("AT61 1904 3002 3457 3202", []), ("\x01\x02\x03 \x01\x03 1234567890123", ["number"])]
+    df = spark.createDataFrame(list(enumerate(t for t, _ in lines)), "doc_id int, text string")
+    found = {r.doc_id: r for r in pii.pseudonymise(df, "k").collect()}
+    for i, (text, kinds) in enumerate(lines):
+        assert (text, found[i].pii_kinds) == (text, kinds)
+        assert len(found[i].text) == len(text) and (found[i].text == text) == (not kinds)
+    card = found[0].text
+    assert all(found[i].text.startswith(card) for i in range(6))
+    assert found[1].text == card + " 12/25" and found[4].text == card + "\x01 9"
+    ibans = {t: found[i].text for i, (t, _) in enumerate(lines) if t in IBANS}
+    for i, (text, kinds) in enumerate(lines):
+        for iban in IBANS:
+            if text.startswith(iban):
+                assert found[i].text.startswith(ibans[iban])
+    assert found[len(lines) - 1].text.startswith("\x01\x02\x03 \x01\x03 ")

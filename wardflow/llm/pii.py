@@ -32,7 +32,18 @@ KINDS = {
     "secret": r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})",
 }
 PHONE = r"(?<![A-Za-z0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9])"
-PATTERN = f"{PHONE}|{_EDGE}(?:{'|'.join(KINDS.values())}){_END}"
+_BEFORE_TIME = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9])"
+PATTERN = f"{PHONE}|{_EDGE}(?:{_BEFORE_TIME}|(?:{'|'.join(KINDS.values())}){_END})"
+
+# Characters of an IBAN, fixed by its country.
+IBAN_LENGTHS = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+
+# A mark ends a candidate inside a longer match. No pattern matches these characters.
+_ESCAPE, _ESCAPED, _MARK = "\x01", "\x01\x02", "\x01\x03"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -149,22 +160,84 @@ def _as_date(value: Column) -> Column:
         F.when(swapped, month).otherwise(day), F.lit(0), F.lit(0), F.lit(0))))
 
 
+def _iban_ok(value: Column) -> Column:
+    packed = F.regexp_replace(value, " ", "")
+    return _mod97(F.concat(F.substring(packed, F.lit(5), F.length(packed)), F.substring(packed, 1, 4))) == 1
+
+
+def _luhn_ok(value: Column) -> Column:
+    digits = _only(value, "0-9")
+    return luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1))
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a match, null if its check fails."""
-    digits = _only(value, "0-9")
     is_ = lambda kind: value.rlike(f"^(?:{KINDS[kind]})$")
-    packed = F.regexp_replace(value, " ", "")
-    iban_ok = _mod97(F.concat(F.substring(packed, F.lit(5), F.length(packed)), F.substring(packed, 1, 4))) == 1
     ssn_ok = ~value.rlike(r"^(?:000|666|9)") & ~value.rlike(r"-00-|-0000$")
-    luhn_ok = luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1))
     return (F.when(value.contains("@"), "email")
             .when(value.startswith("+"), "phone")
             .when(is_("ip"), "ip")
             .when(is_("date"), F.when(_as_date(value).isNotNull(), "date"))
             .when(is_("ssn"), F.when(ssn_ok, "ssn"))
-            .when(is_("card"), F.when(luhn_ok, "card").otherwise("number"))
+            .when(is_("card"), F.when(_luhn_ok(value), "card").otherwise("number"))
             .when(is_("secret"), F.when(value.rlike("[0-9]") & value.rlike("[a-fA-F]"), "secret"))
-            .when(is_("iban"), F.when(iban_ok, "iban")))
+            .when(is_("iban"), F.when(_iban_ok(value), "iban")))
+
+
+def _cut(value: Column) -> Column:
+    """After how many characters a candidate ends inside a match; 0 if it is the whole match.
+
+    A number without a valid check digit ends at its longest beginning that is a card, an IBAN
+    where its country's length and the check say so. What looks like an IBAN and has not its
+    country's length is none; its first group ends it, so that the next may begin a candidate.
+    """
+    ends = F.filter(F.sequence(F.lit(1), F.length(value) - 1),
+                    lambda i: F.substring(value, i + 1, F.lit(1)).isin(" ", "-"))
+    head = lambda i: F.substring(value, F.lit(1), i)
+    size = lambda text: F.length(F.regexp_replace(text, " ", ""))
+    digits = lambda i: F.length(_only(head(i), "0-9"))
+    cards = F.filter(ends, lambda i: digits(i).between(13, 19) & _luhn_ok(head(i)))
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    length = F.try_element_at(lengths, F.substring(value, 1, 2))
+    fitting = F.filter(ends, lambda i: F.coalesce(size(head(i)) == length, size(head(i)).between(15, 34)))
+    ibans = F.filter(fitting, lambda i: _iban_ok(head(i)))
+    known = F.when(length.isNotNull(), F.array_max(fitting))
+    none = F.when(size(value) == length, 0).otherwise(F.coalesce(known, F.array_min(ends), F.lit(0)))
+
+    def by_kind(kind: Column) -> Column:
+        iban = F.when((kind == "iban") & length.isNull(), 0).otherwise(
+            F.coalesce(F.array_max(ibans), F.when(kind == "iban", 0).otherwise(none)))
+        return (F.when(kind == "number", F.coalesce(F.array_max(cards), F.lit(0)))
+                .when((kind.isNull() | (kind == "iban")) & value.rlike(f"^(?:{KINDS['iban']})$"), iban).otherwise(0))
+    return F.when(value.rlike("[ -]") & ~value.rlike("[@+]"), _let(kind_of(value), by_kind)).otherwise(0)
+
+
+def _joined(between: Column, pieces: Column) -> Column:
+    return _concat(F.zip_with(between, pieces, lambda b, p: F.concat(b, F.coalesce(p, F.lit("")))))
+
+
+def _matches(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+
+
+def _marked(text: Column) -> Column:
+    """The text, escaped, with a mark wherever a candidate ends inside a match. What is behind a
+    mark is searched again together with the text that follows, until nothing is left to cut."""
+    def step(s: Column, _: Column) -> Column:
+        def cut(found: Column) -> Column:
+            pieces = F.transform(found, lambda f: F.when(f["at"] > 0, F.concat(
+                F.substring(f["v"], F.lit(1), f["at"]), F.lit(_MARK),
+                F.substring(f["v"], f["at"] + 1, F.length(f["v"])))).otherwise(f["v"]))
+            more = F.exists(found, lambda f: f["at"] > 0)
+            return F.struct(F.when(more, _joined(F.split(s["text"], PATTERN, -1), pieces)).otherwise(
+                s["text"]).alias("text"), more.alias("more"))
+        found = F.transform(_matches(s["text"]), lambda v: F.struct(v.alias("v"), _cut(v).cast("int").alias("at")))
+        return F.when(s["more"], _let(found, cut)).otherwise(s)
+
+    # Every round but the last sets a mark at a separator that had none.
+    rounds = F.sequence(F.lit(0), F.length(_only(text, " -")))
+    start = F.struct(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPED)).alias("text"), F.lit(True).alias("more"))
+    return F.aggregate(rounds, start, step, lambda s: s["text"])
 
 
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
@@ -208,20 +281,19 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", kinds: str = "pi
     places = [f"_{i}" for i in range(len(docs.columns))]
     whole = F.col(places[docs.columns.index(text)])
 
-    def rebuilt(found: Column) -> Column:
-        between = F.split(whole, PATTERN, -1)
-        parts = F.zip_with(between, found["out"], lambda b, o: F.concat(b, F.coalesce(o, F.lit(""))))
-        return F.struct(_concat(parts).alias("text"),
+    def rebuilt(marked: Column, found: Column) -> Column:
+        out = F.replace(_joined(F.split(marked, PATTERN, -1), found["out"]), F.lit(_MARK), F.lit(""))
+        return F.struct(F.replace(out, F.lit(_ESCAPED), F.lit(_ESCAPE)).alias("text"),
                         F.filter(found["kind"], lambda k: k.isNotNull()).alias("kinds"))
 
     def judged(value: Column) -> Column:
         return _let(kind_of(value), lambda k: F.struct(
             k.alias("kind"), F.coalesce(pseudonym(value, k, key), value).alias("out")))
 
-    matches = F.regexp_extract_all(whole, F.lit(PATTERN), F.lit(0))
     none = F.array().cast("array<string>")
     # Nearly all texts stop at the first test: without digit and @ there is nothing to find.
-    result = F.when(whole.rlike("[0-9@]"), _let(F.transform(matches, judged), rebuilt)).otherwise(
+    result = F.when(whole.rlike("[0-9@]"), _let(_marked(whole), lambda m: _let(
+        F.transform(_matches(m), judged), lambda found: rebuilt(m, found)))).otherwise(
         F.struct(whole.alias("text"), none.alias("kinds")))
     done = docs.toDF(*places).withColumn("_pii", result)
     kept = [F.col("_pii.text" if c == text else p).alias(c)
