@@ -149,3 +149,17 @@ def test_components(spark):
     expected = union_find(nodes, [p for p in pairs if p[0] != p[1]])
     assert {r.node: r.root for r in connected(df).collect()} == expected
     assert connected(df.limit(0)).count() == 0
+
+
+def test_drop_copies_hashes_in_full_only_rows_that_may_be_in_a_group(spark, monkeypatch):
+    hashed = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def counted(text):
+        hashed.add(1)
+        return hashlib.sha256(text.encode()).digest()
+    monkeypatch.setattr(exact_dedup, "full_hash", counted)
+    df = spark.createDataFrame([(i, f"text {max(i, 1)} {'x' * i}") for i in range(300)] + [(300, "text 5 xxxxx")],
+                               "doc_id long, text string")
+    assert exact_dedup.drop_copies(df).count() == 300
+    assert hashed.value < 50

@@ -26,19 +26,27 @@ def full_hash(norm: Column) -> Column:
     return F.unhex(F.sha2(norm.cast("binary"), 256))
 
 
+def _prefix_hash(norm: Column) -> Column:
+    return F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))
+
+
+def _sign(length: Column, prefix: Column) -> Column:
+    return F.struct(length.alias("_length"), prefix.alias("_prefix"))
+
+
 def _sized(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Key, original length, normalised text, and the two cheap signs of it."""
     rows = docs.select(docs[key].alias("_key"), F.coalesce(F.length(docs[text]), F.lit(0)).alias("_chars"),
                        normalised(docs[text]).alias("_norm"))
     return rows.withColumns({
         "_length": F.length("_norm"),
-        "_prefix": F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS))})
+        "_prefix": _prefix_hash(F.col("_norm"))})
 
 
 def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each text that two rows or more have.
 
-    Columns: _hash (binary), _keep_key, _keep_chars (the row that stays: most code points of the
+    Columns: _hash (binary), _length and _prefix (its cheap signs), _keep_key, _keep_chars (the row that stays: most code points of the
     original text, then the smallest key, null keys last), _size, _repeats (rows with the key
     and length of the one that stays).
     """
@@ -48,18 +56,18 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     survivors = scratch.materialise(
         sized.groupBy("_length", "_prefix").agg(F.count("*").alias("_n"))
         .where(F.col("_n") > 1).select("_length", "_prefix"), "dedup-survivors")
-    sign = F.struct("_length", "_prefix")
+    sign = _sign(F.col("_length"), F.col("_prefix"))
     filter_ = bloom.build(survivors.withColumn("_sign", sign), "_sign", survivors.count())
     read_again = bloom.possible(sized, sign, filter_).join(survivors, ["_length", "_prefix"])
-    full = read_again.select("_key", "_chars", full_hash(F.col("_norm")).alias("_hash"))
+    full = read_again.select("_key", "_chars", "_length", "_prefix", full_hash(F.col("_norm")).alias("_hash"))
     best = F.struct((-F.col("_chars")).alias("c"), F.col("_key").isNull().alias("n"), F.col("_key").alias("k"))
     # Equal rows first, so that a hot text is one partial row of each task.
-    once = full.groupBy("_hash", "_key", "_chars").agg(F.count("*").alias("_n"))
-    groups = once.groupBy("_hash").agg(
+    once = full.groupBy("_hash", "_length", "_prefix", "_key", "_chars").agg(F.count("*").alias("_n"))
+    groups = once.groupBy("_hash", "_length", "_prefix").agg(
         F.sum("_n").alias("_size"),
         F.min(F.struct(best.alias("b"), F.col("_n").alias("n"))).alias("_best"))
     return groups.where(F.col("_size") > 1).select(
-        "_hash", F.col("_best.b.k").alias("_keep_key"), (-F.col("_best.b.c")).alias("_keep_chars"),
+        "_hash", "_length", "_prefix", F.col("_best.b.k").alias("_keep_key"), (-F.col("_best.b.c")).alias("_keep_chars"),
         "_size", F.col("_best.n").alias("_repeats"))
 
 
@@ -69,7 +77,7 @@ def _stays(key: Column, chars: Column) -> Column:
 
 
 def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    groups = groups.withColumnRenamed("_hash", "_hash_of_group")
+    groups = groups.withColumnRenamed("_hash", "_hash_of_group").drop("_length", "_prefix")
     return rows.join(groups, F.col("_hash") == F.col("_hash_of_group"), "left")
 
 
@@ -110,10 +118,16 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = scratch.materialise(duplicate_groups(docs, key, text), "dedup-groups")
     names = [f"_{i}" for i in range(len(docs.columns))]
     k, t = (F.col(names[docs.columns.index(c)]) for c in (key, text))
+    norm = normalised(t)
     rows = docs.toDF(*names).withColumns({
-        "_hash": full_hash(normalised(t)), "_chars": F.coalesce(F.length(t), F.lit(0))})
-    # Most rows are in no group: the filter lets them by, and only the others are moved.
-    rows = bloom.flagged(rows, F.col("_hash"), bloom.build(groups, "_hash", groups.count()), "_maybe")
-    found = _with_groups(rows.where("_maybe"), groups).withColumn("_stays", _stays(k, F.col("_chars"))).where("_stays")
-    kept = _only_one(found, groups, ["_hash"]).where("_first").select(*names)
-    return rows.where("NOT _maybe").select(*names).unionByName(kept).toDF(*docs.columns)
+        "_sign": _sign(F.length(norm), _prefix_hash(norm)), "_chars": F.coalesce(F.length(t), F.lit(0))})
+    # Most rows are in no group: the filter of the cheap signs lets them by, and only the others
+    # are hashed in full and moved.
+    signs = groups.select(_sign(F.col("_length"), F.col("_prefix")).alias("_sign"))
+    rows = bloom.flagged(rows, F.col("_sign"), bloom.build(signs, "_sign", groups.count()), "_maybe")
+    hashed = rows.where("_maybe").withColumn("_hash", full_hash(norm))
+    found = _with_groups(hashed, groups).withColumn("_stays", _stays(k, F.col("_chars"))).where("_stays")
+    repeated = F.coalesce(F.col("_repeats") > 1, F.lit(False))
+    once = found.where(repeated).dropDuplicates(["_hash", names[docs.columns.index(key)], "_chars"])
+    return rows.where("NOT _maybe").select(*names).unionByName(
+        found.where(~repeated).select(*names)).unionByName(once.select(*names)).toDF(*docs.columns)
