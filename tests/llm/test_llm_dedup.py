@@ -163,3 +163,10 @@ def test_drop_copies_hashes_in_full_only_rows_that_may_be_in_a_group(spark, monk
                                "doc_id long, text string")
     assert exact_dedup.drop_copies(df).count() == 300
     assert hashed.value < 50
+
+
+def test_rows_repeated_as_a_whole_are_not_gathered_by_a_window(spark):
+    df = spark.createDataFrame([(7, "same")] * 400 + [(100 + i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    for found, n in ((exact_dedup.exact_dedup(df).where("kept"), 201), (exact_dedup.drop_copies(df), 201)):
+        assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == n == found.select("doc_id").distinct().count()

@@ -8,7 +8,7 @@ strangers that an exact join then stops) are moved and get a full hash. DataFram
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow import scratch
@@ -81,15 +81,19 @@ def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, F.col("_hash") == F.col("_hash_of_group"), "left")
 
 
-def _only_one(rows: DataFrame, groups: DataFrame, partition: list[str]) -> DataFrame:
+def _only_one(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Column _first: false for all but one of the rows that share the kept row's key and
-    length. Such repeated rows are rare; without any there is nothing to number."""
+    length. Such repeated rows are rare; without any there is nothing to mark. They are written
+    with a row id, so no task ever holds all rows of a group."""
     if groups.where(F.col("_repeats") > 1).isEmpty():
         return rows.withColumn("_first", F.lit(True))
     repeated = F.coalesce(F.col("_repeats") > 1, F.lit(False)) & F.col("_stays")
-    number = F.row_number().over(Window.partitionBy(*partition).orderBy(F.lit(0)))
-    return rows.where(~repeated).withColumn("_first", F.lit(True)).unionByName(
-        rows.where(repeated).withColumn("_first", number == 1))
+    written = scratch.materialise(
+        rows.where(repeated).withColumn("_row", F.monotonically_increasing_id()), "dedup-repeated")
+    least = written.groupBy("_hash").agg(F.min("_row").alias("_least")).select("_least")
+    marked = written.join(least, F.col("_row") == F.col("_least"), "left").withColumn(
+        "_first", F.col("_least").isNotNull()).drop("_row", "_least")
+    return rows.where(~repeated).withColumn("_first", F.lit(True)).unionByName(marked)
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -103,7 +107,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = scratch.materialise(duplicate_groups(docs, key, text), "dedup-groups")
     rows = _sized(docs, key, text).select("_key", "_chars", full_hash(F.col("_norm")).alias("_hash"))
     found = _with_groups(rows, groups).withColumn("_stays", _stays(F.col("_key"), F.col("_chars")))
-    found = _only_one(found, groups, ["_hash"])
+    found = _only_one(found, groups)
     alone = F.col("_hash_of_group").isNull()
     return found.select(
         F.col("_key").alias(key),
