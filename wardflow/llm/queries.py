@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow import scratch
-from wardflow.llm import bpe, exact_dedup, langid, packing, pii, quality, simhash, topk, urls, warc
+from wardflow.llm import bpe, exact_dedup, laesa, langid, packing, pii, quality, simhash, topk, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -203,3 +204,56 @@ def op10_refinement(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the copy of it that stays."""
     found = exact_dedup.exact_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("text_hash")).alias("text_sha256"))
+
+
+CENTROIDS, ROUNDS, COMPONENTS = 8, 10, 64
+
+
+def _rounds_sql() -> str:
+    """The rounds of op13, one table of assignments and one of centroids each."""
+    parts = [f"""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {COMPONENTS}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, w) - 1 AS INTEGER) AS c, w
+  FROM (SELECT sha256('3:' || vec_id) AS h, w FROM v WHERE vec_id IS NOT NULL ORDER BY h, w LIMIT {CENTROIDS})
+)"""]
+    for r in range(ROUNDS + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, w, unnest(min(struct_pack(d := d, c := c))) FROM (
+    SELECT v.r, v.vec_id, v.w, c{r}.c, CAST(list_sum(list_transform(list_zip(v.w, c{r}.w),
+           lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{r})
+  GROUP BY r, vec_id, w)""")
+        if r < ROUNDS:
+            parts.append(f"""s{r} AS (
+  SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT c, unnest(w) AS x, unnest(range({COMPONENTS})) AS i FROM a{r}) GROUP BY c, i
+), c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(m.w, c{r}.w) AS w FROM c{r} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS w FROM s{r} GROUP BY c) m USING (c))""")
+    last = f"a{ROUNDS}"
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, a.c AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k.w, ',')) AS centroid_sha256
+FROM {last} a JOIN c{ROUNDS} k USING (c)"""
+
+
+@query("op13_laesa", _rounds_sql())
+def op13_laesa(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole vector's cluster after ten rounds, with the clusters' sums of distances."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    finite = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    rows = vectors.where(F.col("x").isNotNull() & (F.size("x") == COMPONENTS) & finite).select(
+        "vec_id", F.transform("x", lambda x: F.floor(1024 * x)).alias("w"))
+    found = laesa.cluster(rows, CENTROIDS, ROUNDS, key="vec_id", vector="w", seed="3")
+    digest = [hashlib.sha256(",".join(map(str, w)).encode()).hexdigest() for w in found.centroids]
+    sums = {r.cluster: r.s for r in found.rows.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
+    named = spark.createDataFrame(
+        [(c, s, sum(sums.values()), digest[c]) for c, s in sums.items()],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")  # a row per centroid
+    return found.rows.join(F.broadcast(named), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
