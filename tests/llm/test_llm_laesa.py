@@ -13,6 +13,8 @@ def brute(rows, k, rounds, seed="0"):
     held = [(i, v) for i, v in rows if v is not None and None not in v]
     first = sorted((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), v) for i, v in held if i is not None)[:k]
     points = [list(v) for _, v in first]
+    if not points:
+        return [], []
 
     def near(v):
         return min((sum((a - b) ** 2 for a, b in zip(v, p, strict=True)), c) for c, p in enumerate(points))
@@ -23,7 +25,7 @@ def brute(rows, k, rounds, seed="0"):
             groups.setdefault(near(v)[1], []).append(v)
         for c, vs in groups.items():
             points[c] = [sum(x) // len(vs) for x in zip(*vs, strict=True)]
-    return points, sorted(((i, near(v)[1], near(v)[0]) for i, v in held), key=str) if points else []
+    return points, sorted(((i, near(v)[1], near(v)[0]) for i, v in held), key=str)
 
 
 def check(spark, rows, k, rounds):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow import scratch
-from wardflow.llm import bpe, exact_dedup, laesa, langid, packing, pii, quality, simhash, topk, urls, warc
+from wardflow.llm import bpe, dialogue, exact_dedup, laesa, langid, packing, pii, quality, simhash, topk, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -257,3 +257,34 @@ def op13_laesa(spark: SparkSession, folder: str) -> DataFrame:
         "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")  # a row per centroid
     return found.rows.join(F.broadcast(named), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """The rows of op12 after damage: dropped, emptied, cut, repeated or given another role."""
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.select("conv_id", "turn", plain("role").alias("role"), plain("text").alias("text"),
+                       F.pmod(F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")),
+                              F.lit(20)).alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(
+        F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))
+    return rows.where("kind <> 0").select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op12_dialogue")
+def op12_dialogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's faults after damage, the cheapest repair and the digest of its result."""
+    rows = table(spark, folder, "conversations")
+    damaged = _damaged(rows)
+    found = scratch.materialise(dialogue.report(damaged), "dialogue")
+    digests = dialogue.digests(damaged, found)
+    named = found.join(digests.withColumnRenamed("conv_id", "_d"), F.col("conv_id").eqNullSafe(F.col("_d"))).drop("_d")
+    ids = rows.select(F.col("conv_id").alias("_c")).distinct()
+    whole = ids.join(named, F.col("_c").eqNullSafe(F.col("conv_id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return whole.select(
+        F.col("_c").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
