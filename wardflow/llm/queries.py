@@ -273,7 +273,73 @@ def _damaged(rows: DataFrame) -> DataFrame:
         text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
 
 
-@query("op12_dialogue")
+#: The best prefixes of every conversation, row by row; crc32 bit by bit.
+_REPAIR_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(list_transform(range(1, len(name) + 1), lambda i: CAST(ord(name[i]) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295)) % 20 AS kind
+  FROM src
+), damaged AS (
+  SELECT id, conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) u(copy) WHERE kind <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         rtrim(text, E' \t\n\x0b\x0c\r') AS body, left(role, 1) AS initial
+  FROM damaged
+), marked AS (
+  SELECT *, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+         right(body, 1) NOT IN ('.', '!', '?') AS cut,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered
+), facts AS (
+  SELECT *, blank OR seen AS gone, (NOT blank AND NOT seen AND cut)::INT AS extra FROM marked
+), report AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate, sum(extra) AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM facts GROUP BY conv_id
+), moves(q, letter, give, nq, price) AS (VALUES
+  ('', 'K', 's', 's', 0), ('', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0), ('a', 'K', 'u', 'u', 0),
+  ('', 'R', 'u', 'u', 2), ('s', 'R', 'u', 'u', 2), ('u', 'R', 'a', 'a', 2), ('a', 'R', 'u', 'u', 2),
+  ('', 'D', NULL, '', 3), ('s', 'D', NULL, 's', 3), ('u', 'D', NULL, 'u', 3), ('a', 'D', NULL, 'a', 3)
+), inserts(q, letters, nq, price, lines) AS (VALUES
+  ('', '', '', 0, []), ('s', '', 's', 0, []), ('u', '', 'u', 0, []), ('a', '', 'a', 0, []),
+  ('', 'I', 'u', 2, ['user:']), ('s', 'I', 'u', 2, ['user:']), ('u', 'I', 'a', 2, ['assistant:']), ('a', 'I', 'u', 2, ['user:']),
+  ('', 'II', 'a', 4, ['user:', 'assistant:']), ('s', 'II', 'a', 4, ['user:', 'assistant:'])
+), best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines
+  FROM report
+  UNION ALL
+  SELECT conv_id, i, q, o.cost, o.audit, o.lines FROM (
+    SELECT f.conv_id, f.i, m.nq AS q, min(struct_pack(
+        cost := CAST(b.cost + x.price + m.price + CASE m.letter WHEN 'D' THEN 0 ELSE f.extra END AS BIGINT),
+        audit := b.audit || x.letters || m.letter,
+        lines := list_concat(b.lines, x.lines, CASE m.letter WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+          ELSE [CASE m.give WHEN 'u' THEN 'user:' ELSE 'assistant:' END || f.text] END))) AS o
+    FROM best b JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1
+      JOIN inserts x ON x.q = b.q JOIN moves m ON m.q = x.nq
+    WHERE m.letter = 'D' OR (NOT f.gone AND (m.letter = 'R' OR m.give = f.initial))
+    GROUP BY f.conv_id, f.i, m.nq)
+), ends AS (
+  SELECT b.conv_id, min(struct_pack(cost := b.cost + x.price, audit := b.audit || x.letters,
+                                    lines := list_concat(b.lines, x.lines))) AS o
+  FROM best b JOIN report r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.n = b.i JOIN inserts x ON x.q = b.q
+  WHERE x.nq IN ('', 'a') GROUP BY b.conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(o.cost, 0) AS BIGINT) AS cost, coalesce(o.audit, '') AS audit,
+       sha256(coalesce(array_to_string(o.lines, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN report r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+@query("op12_dialogue", _REPAIR_SQL)
 def op12_dialogue(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation's faults after damage, the cheapest repair and the digest of its result."""
     rows = table(spark, folder, "conversations")
