@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow import scratch
-from wardflow.llm import bpe, dialogue, exact_dedup, laesa, langid, packing, pii, quality, simhash, topk, urls, warc
+from wardflow.llm import bpe, dialogue, exact_dedup, idstore, laesa, langid, packing, pii, quality, simhash, topk, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -354,3 +354,13 @@ def op12_dialogue(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_c").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op11_idstore")
+def op11_idstore(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' ids written to a store, and every document read back by its key."""
+    docs = table(spark, folder, "documents")
+    root = scratch.new_path(spark, "idstore")
+    idstore.write_store(docs, root, public_tokenizers.path("word_bpe_49k.json"), end_id=END_ID)
+    found = idstore.read_keys(docs.select("doc_id").distinct(), root)
+    return found.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
