@@ -388,11 +388,11 @@ def read_keys(keys: DataFrame, root: str, key: str = "doc_id") -> DataFrame:
     every document of the given distinct keys, by seeks to where the index says."""
     spark = keys.sparkSession
     places = locate(keys, root, key).withColumnRenamed(key, "key")
-    # Neighbours are read together by one task, a few thousand documents of a shard each.
-    placed = places.repartition(F.col("shard"), F.floor(F.col("place") / RUN)).sortWithinPartitions("shard", "place")
     files = spark.read.schema(
         "shard long, file string, docs long, n_ids long, base long, width int").parquet(f"{root}/manifest")
-    named = placed.join(files.select("shard", "file", "base", "width"), "shard").sortWithinPartitions("shard", "place")
+    # Neighbours are read together by one task, a few thousand documents of a shard each.
+    named = places.join(files.select("shard", "file", "base", "width"), "shard").repartition(
+        F.col("shard"), F.floor(F.col("place") / RUN)).sortWithinPartitions("shard", "place")
     kind = T.StructType([T.StructField("key", keys.schema[key].dataType), T.StructField("start", T.LongType()),
                          T.StructField("n_ids", T.LongType()), T.StructField("ids", T.BinaryType())])
 
