@@ -1,6 +1,7 @@
 """The registered queries against their oracle SQL or what their results must satisfy."""
 
 import hashlib
+import itertools
 import os
 import re
 import zlib
@@ -10,9 +11,10 @@ import numpy as np
 import oracle
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wardflow.llm import exact_dedup, langid, pii, simhash
+from wardflow.llm import langid, pii, simhash
 from wardflow.llm.queries import ORACLES, PII_KEY, QUERIES
 
 FOLDER = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
@@ -101,6 +103,50 @@ def test_pseudonyms_only_where_something_is_found(spark, texts):
             assert value not in r.text
 
 
+def least_of_classes(texts):
+    """The smallest id of every class of texts whose fingerprints differ in three bits at most."""
+    prints = {d: simhash.fingerprint(t) for d, t in texts.items()}
+    root = {d: d for d in prints}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in itertools.combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 3:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {find(d) for d in prints}
+
+
+def test_stages_keep_columns_with_the_operators_names(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(30)
+    names = ["score", "lang_pred", "pii_kinds", "_0", "fingerprint", "_key", "component_id", "_hash"]
+    odd = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, odd, FOLDER)
+        assert found.schema.simpleString() == odd.schema.simpleString(), name
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
+    assert corpus_pipeline.packing(spark, odd, FOLDER).count() >= 30
+
+
+def test_stages_on_nulls_repeats_and_long_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(20)
+    more = [(900, None, None, None, None), (None, "", "en", "s", 0), (901, "long words here " * 30_000, "en", "s", 1)]
+    odd = docs.unionByName(docs).unionByName(spark.createDataFrame(more * 2, docs.schema))
+    given = {r.doc_id for r in odd.collect()}
+    spoken = {r.doc_id for r in corpus_pipeline.language_id(spark, odd, FOLDER).collect()}
+    assert 900 not in spoken and None not in spoken
+    for stage in (corpus_pipeline.exact_copies, corpus_pipeline.near_copies):
+        ids = [r.doc_id for r in stage(spark, odd, FOLDER).collect()]
+        assert len(ids) == len(set(ids)) and 901 in ids and len({900, None} & set(ids)) == 1
+    assert {r.doc_id for r in corpus_pipeline.personal_data(spark, odd, FOLDER).collect()} == given
+    pieces = corpus_pipeline.packing(spark, odd, FOLDER).collect()
+    assert {r.doc_id for r in pieces} == given and all(0 < r.length <= 2048 for r in pieces)
+
+
 def test_pipeline_stage_by_stage(spark, texts):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     by_name = dict(corpus_pipeline.STAGES)
@@ -116,8 +162,7 @@ def test_pipeline_stage_by_stage(spark, texts):
     assert len(set(normal)) == len(normal) == len({re.sub(r"[\x20\x09-\x0D]", "", t) for t in texts.values()})
     far = by_name["near_dedup"](spark, docs, FOLDER)
     assert far.columns == docs.columns
-    classes = simhash.near_duplicates(docs, radius=corpus_pipeline.NEAR_RADIUS).select("component_id").distinct().count()
-    assert far.count() == classes <= exact_dedup.drop_copies(docs).count()
+    assert {r.doc_id for r in far.collect()} == least_of_classes(texts)
     clean = by_name["pii"](spark, docs, FOLDER)
     assert clean.columns == docs.columns
     expected = {r.doc_id: r.text for r in pii.pseudonymise(docs, PII_KEY).collect()}
