@@ -43,14 +43,27 @@ def test_same_as_brute_force(spark, monkeypatch, density, terms):
 
 
 @pytest.mark.parametrize("step", [1, 8, 64])
-def test_pruning_is_exact(monkeypatch, step):
+@pytest.mark.parametrize("kind", [float, object])
+def test_pruning_is_exact_and_happens(monkeypatch, step, kind):
     monkeypatch.setattr(topk, "STEP", step)
     rows = vectors(step, 200, 20, 0.4)
-    index = topk.Index(np.array([r[0] for r in rows]), [np.array(r[1], np.int64) for r in rows],
-                       [np.array(r[2], np.int64) for r in rows])
-    for q, t, w in rows[:40]:
-        found = topk.search(index, q, np.array(t, np.int64), np.array(w, np.int64), 5)
-        assert {(q, n + 1, i, s) for n, (s, i) in enumerate(found)} == brute([(q, t, w)], rows, 5)
+    rows += [(1000 + i, [t, 30], [5, 9]) for i, t in enumerate(range(20))]
+    rng = np.random.default_rng(step)
+    ts = [np.array(r[1], np.int64) for r in rows]
+    ws = [np.array(r[2], np.int64) for r in rows]
+    shuffled = rng.permutation(len(rows))
+    index = topk.Index(np.array([rows[i][0] for i in shuffled]), [ts[i] for i in shuffled],
+                       [ws[i] for i in shuffled], kind)
+    asked = [(q, t, w) for q, t, w in rows[::7]]
+    weights = np.zeros((len(asked), len(index.number)), kind)
+    for i, (_, t, w) in enumerate(asked):
+        weights[i, np.searchsorted(index.number, t)] = w
+    work = topk.Work()
+    scores, places = topk.search(index, np.array([r[0] for r in asked]), weights, 5, work)
+    for i, row in enumerate(asked):
+        found = sorted((-int(s), int(index.ids[p])) for s, p in zip(scores[i], places[i], strict=True))
+        assert {(row[0], n + 1, d, -s) for n, (s, d) in enumerate(found)} == brute([row], rows, 5)
+    assert work.skipped and work.probed and work.dropped
 
 
 def test_few_rows_ties_repeats_and_large_weights(spark):
