@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -24,19 +26,21 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow import scratch
-from wardflow.llm.bpe import _pieces, read_spec
+from wardflow.llm.bpe import _pieces, byte_letters, read_spec
 
-SHARD_BYTES = 32 << 20     # of payload, about
+SHARD_BYTES = 64 << 20     # of text, about
 KEYS_PER_BUCKET = 1 << 18  # about
 SPARSENESS = 2             # bits of a level for each key that comes to it
 READ_BYTES = 8 << 20       # that are read at a time
 RUN = 4096                 # documents of a shard that one task reads
 CHUNKS = 1 << 19           # different chunks of text whose ids a Python worker keeps, 100 MB
+LONG = 64                  # bytes of a chunk from which its ids are not kept
 RECORD = np.dtype([("fingerprint", "<u8"), ("shard", "<i8"), ("place", "<i8"), ("rows", "<i8")])
 SPAN = np.dtype([("slot", "<i8"), ("shard", "<i8"), ("place", "<i8"), ("rows", "<i8")])
 
@@ -54,12 +58,18 @@ def _folder(path: str) -> None:
 
 # ---- encoding ----
 
-class Encoder:
+# A word of Latin-1 letters and the plain marks behind it: the splitter parts them, and nothing
+# in them is composed or changed but for the case of single letters.
+_plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
+
+class Encoder(dict):
     """Ids of whole texts by the tokenizers library, as bytes of ``width`` each.
 
-    For vocabularies whose splitting never joins what ASCII white space separates: a text's ids
-    are those of its chunks between white space, one after the other, and the library encodes
-    each different chunk once.
+    For vocabularies that lower-case and whose splitting never joins what ASCII white space
+    separates: a text's ids are those of its chunks between white space, one after the other. The
+    mapping keeps the ids of chunks; plain words go straight to the library's model, everything
+    else through its whole chain.
     """
 
     def __init__(self, spec: str, width: int) -> None:
@@ -68,24 +78,37 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind = f"<u{width}"
-        self.known: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
+        self.code = "H" if width == 2 else "I"
+        normal = json.loads(spec).get("normalizer") or {}
+        steps = {n["type"] for n in normal.get("normalizers", [normal]) if n}
+        self.lower = "Lowercase" in steps
 
     def encode(self, text: str | None) -> bytes:
         return b"".join([self._piece(p) for p in _pieces(text or "")])
 
     def _piece(self, text: str) -> bytes:
-        chunks = text.encode().split()
-        known = self.known
-        if new := [c for c in dict.fromkeys(chunks) if c not in known]:
-            if len(known) + len(new) > CHUNKS:
-                self.known = known = {}
-                new = list(dict.fromkeys(chunks))
-            for at in range(0, len(new), 2048):
-                part = new[at:at + 2048]
-                found = self.library.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-                known |= {c: np.array(e.ids, self.kind).tobytes() for c, e in zip(part, found, strict=True)}
-        return b"".join([known[c] for c in chunks])
+        if len(self) > CHUNKS:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.encode().split()))
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if self.lower and (m := _plain.fullmatch(text)):
+            word, marks = m[1].lower(), m[2]
+            if marks or word != text:
+                found = self[word.encode()] + (self[marks.encode()] if marks else b"")
+            else:
+                shown = word if word.isascii() else "".join([self.letters[b] for b in chunk])
+                found = self._packed([t.id for t in self.library.model.tokenize(shown)])
+        else:
+            found = self._packed(self.library.encode(text, add_special_tokens=False).ids)
+        if len(chunk) <= LONG:
+            self[chunk] = found
+        return found
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
 
 def id_width(spec: str, end_id: int | None) -> int:
@@ -105,27 +128,6 @@ def _encoder(spec: str, width: int) -> Encoder:
     return _encoders[spec, width]
 
 
-def encoded(docs: DataFrame, path: str, key: str, text: str, end_id: int | None) -> DataFrame:
-    """key, ids (bytes), n: every row's ids in the width of the store."""
-    spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
-    width = id_width(spec.value, end_id)
-    tail = b"" if end_id is None else int(end_id).to_bytes(width, "little")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(spec.value, width)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [coder.encode(t.as_py()) + tail for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
-                    names=["key", "ids", "n"])
-
-    kind = docs.schema[key].dataType
-    return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, T.StructType([
-        T.StructField("key", kind), T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())]))
-
-
 # ---- minimal perfect hashing ----
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -247,35 +249,37 @@ def write_store(docs: DataFrame, root: str, path: str, key: str = "doc_id", text
                 end_id: int | None = 1, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode every row's text with the vocabulary file ``path`` and write the store.
 
-    Documents lie in ascending order of ``key`` (nulls first; equal keys by number of ids, then the
-    CRC-32 of their bytes). ``end_id`` follows every text; null and empty ones consist of it. Repeated keys
-    and repeated rows are kept: a key has as many documents as rows. No rows give a store without
-    files. Other columns play no part.
+    Documents lie in ascending order of ``key`` (nulls first; equal keys by the number of bytes of
+    their texts, then an XXH64 of them). ``end_id`` follows every text; null and empty ones consist
+    of it. Repeated keys and repeated rows are kept: a key has as many documents as rows. No rows
+    give a store without files. Other columns play no part.
 
-    Ids are stored before they are moved, once, to shards of about ``shard_bytes``. A key with many
-    rows is spread over shards like any other rows.
+    Texts are moved once, to shards of about ``shard_bytes`` of text, and encoded where they are
+    written. A key with many rows is spread over shards like any other rows.
     """
     spark = docs.sparkSession
-    rows = encoded(docs, path, key, text, end_id).withColumns({
-        "sign": F.crc32("ids"), "row": F.monotonically_increasing_id()})
-    rows = scratch.materialise(rows, "idstore")
-    total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    # A row's number only parts equal rows, so it does not matter which of them gets which.
+    rows = docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumns({
+        "size": F.octet_length("text"), "sign": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    total = rows.agg(F.sum("size")).first()[0] or 0
     folder = f"{root}/payload"
     _folder(folder)
     _folder(f"{root}/index")
-    order = [F.col("key").asc_nulls_first(), F.col("n"), F.col("sign"), F.col("row")]
+    order = [F.col("key").asc_nulls_first(), F.col("size"), F.col("sign"), F.col("row")]
     shards = rows.repartitionByRange(max(1, -(-total // shard_bytes)), *order).sortWithinPartitions(*order)
     kind = T.StructType([
         T.StructField("key", docs.schema[key].dataType), T.StructField("shard", T.LongType()),
         T.StructField("file", T.StringType()), T.StructField("place", T.LongType()),
         T.StructField("rows", T.LongType()), T.StructField("n", T.LongType())])
+    spec = spark.sparkContext.broadcast(read_spec(path))
     # A row per key and shard, committed by Spark: it names the file of the attempt that counts.
-    entries = scratch.materialise(shards.select("key", "ids", "n").mapInArrow(_writer(folder), kind), "idstore-entries")
+    entries = scratch.materialise(
+        shards.select("key", "text").mapInArrow(_writer(folder, spec, end_id), kind), "idstore-entries")
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     manifest = entries.groupBy("shard", "file").agg(
         F.sum("rows").alias("docs"), F.sum("n").alias("n_ids")).withColumn(
         "base", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0).cast("long")))
-    manifest.withColumn("width", F.lit(id_width(read_spec(path), end_id))).write.parquet(f"{root}/manifest")
+    manifest.withColumn("width", F.lit(id_width(spec.value, end_id))).write.parquet(f"{root}/manifest")
 
     keys = entries.select(*_hashes(F.col("key")), "shard", "place", "rows")
     buckets = max(1, -(-entries.count() // KEYS_PER_BUCKET))
@@ -288,11 +292,13 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("a", "b"), F.lit(buckets))
 
 
-def _writer(folder: str):
+def _writer(folder: str, spec: Broadcast, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, name = TaskContext.get().partitionId(), None
-        ends: list[np.ndarray] = [np.zeros(1, np.uint64)]
-        out, place, total = None, 0, 0
+        width = id_width(spec.value, end_id)
+        tail = b"" if end_id is None else int(end_id).to_bytes(width, "little")
+        sizes: list[np.ndarray] = [np.zeros(1, np.int64)]
+        out, place = None, 0
         run: list | None = None  # key, first place, rows, ids
 
         def batch(runs: list[list], kind: pa.DataType) -> pa.RecordBatch:
@@ -307,15 +313,17 @@ def _writer(folder: str):
                 if not part.num_rows:
                     continue
                 if out is None:
-                    name = f"shard-{shard:08d}-{uuid.uuid4().hex}"
+                    coder, name = _encoder(spec.value, width), f"shard-{shard:08d}-{uuid.uuid4().hex}"
                     system, at = _file(f"{folder}/{name}.ids")
                     out = system.open_output_stream(at)
-                out.write(b"".join(part.column("ids").to_pylist()))
-                n = part.column("n").to_numpy()
-                ends.append((total + np.cumsum(n)).astype(np.uint64))
-                total += int(n.sum())
+                n = []
+                for text in part.column("text"):
+                    ids = coder.encode(text.as_py()) + tail
+                    out.write(ids)
+                    n.append(len(ids) // width)
+                sizes.append(np.array(n, np.int64))
                 done = []
-                for key, ids in zip(part.column("key").to_pylist(), n.tolist(), strict=True):
+                for key, ids in zip(part.column("key").to_pylist(), n, strict=True):
                     if run is None or key != run[0]:
                         if run is not None:
                             done.append(run)
@@ -332,7 +340,7 @@ def _writer(folder: str):
         if out is not None:
             system, at = _file(f"{folder}/{name}.offsets")
             with system.open_output_stream(at) as offsets:
-                offsets.write(np.concatenate(ends).astype("<u8").tobytes())
+                offsets.write(np.cumsum(np.concatenate(sizes)).astype("<u8").tobytes())
             yield batch([run], kind)
 
     return run
