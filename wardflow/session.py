@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows have whole texts: ten thousand of them at a time are too much for a small Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
