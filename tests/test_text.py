@@ -119,9 +119,9 @@ def test_join_form_equals_column_form(spark, rows):
     table = spark.createDataFrame(
         [(i, label, t, w) for i, (label, terms) in enumerate(lexicon.items()) for t, w in terms.items()],
         "position int, label string, term string, weight double")
-    joined = phrases.classify_by_lexicon(docs, "id", "text", table, "outro")
     column = docs.select("id", X.classify(F.col("text"), lexicon, "outro"))
-    assert rows(joined) == rows(column)
+    for most in AUTOMATON.values():
+        assert rows(phrases.classify_by_lexicon(docs, "id", "text", table, "outro", automaton_bytes=most)) == rows(column)
 
 
 def bag(text):
@@ -155,11 +155,48 @@ def test_phrase_matching_equals_brute_force(spark, threshold):
     assert set(pairs) == brute_force(texts, catalogue, threshold)
 
 
-def test_mask_names_from_a_table(spark, rows):
-    docs = spark.createDataFrame([(1, "Ana Lima viu Pedro"), (2, "Anabela"), (3, None)], "id int, t string")
-    names = spark.createDataFrame([("Ana",), ("Lima",), ("Pedro",)], "n string")
-    masked = phrases.mask_names(docs, "id", "t", names, "n", X.MASK)
-    assert rows(masked) == [(1, "[MASKED] viu [MASKED]"), (2, "Anabela"), (3, None)]
+AUTOMATON = {"automaton": None, "join": -1}
+
+
+def column_mask(spark, texts, names):
+    docs = spark.createDataFrame(texts, "id int, t string")
+    return docs.select("id", X.mask(F.col("t"), ["person"], names))
+
+
+@pytest.mark.parametrize("most", AUTOMATON.values(), ids=list(AUTOMATON))
+def test_mask_names_from_a_table(spark, rows, most):
+    docs = spark.createDataFrame([(1, "Ana Lima viu Pedro"), (2, "Anabela"), (3, None), (1, "Ana Lima viu Pedro"),
+                                  (4, "Ontem Maria Silva e Ana falaram"), (5, "Jean-Luc, Jean Luc.")], "id int, t string")
+    names = spark.createDataFrame([("Ana",), ("Lima",), ("Pedro",), (None,), ("--",), (" Maria Silva.",),
+                                   ("Jean-Luc",), ("Ana",)], "n string")
+    masked = phrases.mask_names(docs, "id", "t", names, "n", X.MASK, most)
+    assert rows(masked) == [(1, "[MASKED] viu [MASKED]"), (1, "[MASKED] viu [MASKED]"), (2, "Anabela"), (3, None),
+                            (4, "Ontem [MASKED] e [MASKED] falaram"), (5, "[MASKED], Jean Luc.")]
+    assert rows(phrases.mask_names(docs, "id", "t", names.limit(0), "n", X.MASK, most)) == rows(docs)
+
+
+@pytest.mark.parametrize("most", AUTOMATON.values(), ids=list(AUTOMATON))
+def test_names_of_one_to_five_words_equal_the_column_form(spark, rows, most):
+    import random
+    rng = random.Random(11)
+    vocabulary = ["Ana", "Anab", "Li", "Lima", "da", "Sá", "É", "Ö", "x"]
+    names = sorted({" ".join(rng.choices(vocabulary, k=rng.randint(1, 5))) for _ in range(60)} | {"Li-Li", "O'Li"})
+    gaps = [" "] * 8 + ["  ", ", ", "-", ".", "", "'", " 2 ", "\n"]
+    texts = [(i, "".join(w + rng.choice(gaps) for w in rng.choices(vocabulary, k=rng.randint(0, 25)))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "id int, t string")
+    table = spark.createDataFrame([(n,) for n in names], "n string")
+    found = phrases.mask_names(docs, "id", "t", table, "n", X.MASK, most)
+    assert rows(found) == rows(column_mask(spark, texts, names))
+
+
+def test_a_large_table_of_names(spark, rows):
+    names = [(f"Nome {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)} Sobre{chr(97 + i // 17576)}",)
+             for i in range(100_000)]
+    texts = [(1, "Ontem Nome aaa Sobrea veio"), (2, "Nome aaa Sobrez"), (3, f"{names[-1][0]} {names[500][0]}, ok")]
+    docs, table = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame(names, "n string")
+    expected = [(1, "Ontem [MASKED] veio"), (2, "Nome aaa Sobrez"), (3, "[MASKED], ok")]
+    for most in AUTOMATON.values():
+        assert rows(phrases.mask_names(docs, "id", "t", table, "n", X.MASK, most)) == expected
 
 
 def test_summary_budget(spark):

@@ -151,10 +151,27 @@ def mask_person(spark, sf):
     return _documents(spark, sf).select("doc_id", F.md5(masked).alias("texto_md5"))
 
 
-@query("mask_person_join", f"SELECT doc_id, md5({PERSON_SQL}) AS texto_md5 FROM documents")
+# Names of one to five words: the list, and the words that texts marked as complaints begin with.
+FIRST_WORDS = r"^\p{L}+(?: \p{L}+){0,4}"
+NAMES_SQL = f"""
+n AS (SELECT DISTINCT nome FROM (
+  SELECT regexp_extract(text, '{FIRST_WORDS}') AS nome FROM documents JOIN labels ON labels.doc_id = documents.doc_id
+  WHERE toxic = 1 UNION ALL VALUES {", ".join(f"('{name}')" for name in NAMES)}) WHERE nome <> ''),
+w AS (SELECT string_agg(regexp_replace(nome, '(\\p{{L}}+)', chr(1) || '\\1' || chr(2), 'g'), '|'
+                        ORDER BY length(nome) DESC, nome) AS one FROM n)"""
+
+
+@query("mask_person_join", f"""
+WITH {NAMES_SQL},
+m AS (SELECT doc_id, regexp_replace(regexp_replace(text, '(\\p{{L}}+)', chr(1) || '\\1' || chr(2), 'g'),
+                                    '(?:' || one || ')(?: (?:' || one || '))*', '[MASKED]', 'g') AS t FROM documents, w)
+SELECT doc_id, md5(replace(replace(t, chr(1), ''), chr(2), '')) AS texto_md5 FROM m""")
 def mask_person_join(spark, sf):
-    """The same with a table of names."""
-    names = spark.createDataFrame([(n,) for n in NAMES], "nome string")
+    """Names of a table, of one to five words; where they overlap, the first and longest."""
+    marked = B.table(spark, sf, "labels").where("toxic = 1").select("doc_id")
+    first = _documents(spark, sf).join(marked, "doc_id").select(
+        F.regexp_extract("text", FIRST_WORDS, 0).alias("nome"))
+    names = first.unionByName(spark.createDataFrame([(n,) for n in NAMES], "nome string"))
     masked = phrases.mask_names(_documents(spark, sf), "doc_id", "text", names, "nome", X.MASK)
     return masked.select("doc_id", F.md5("text").alias("texto_md5"))
 
