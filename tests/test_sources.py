@@ -73,7 +73,7 @@ def test_landing_profile(spark, tmp_path):
     path = str(tmp_path / "p")
     files.write_csv_dir(spark.range(10).repartition(3), path)
     schema = T.StructType([T.StructField("id", T.LongType())])
-    found = files.landing_profile(files.read_csv_dir(spark, path, schema)).collect()
+    found = files.landing_profile(spark, path, files.read_csv_dir(spark, path, schema)).collect()
     assert sum(r["n_rows"] for r in found) == 10 and all(r["file_size"] > 0 for r in found)
 
 

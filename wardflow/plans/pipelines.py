@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from wardflow.functions import text as X
 from wardflow.operators import integrity
 from wardflow.plans import kpi, views
-from wardflow.sources import files, tables
+from wardflow.sources import files, ingest, tables
 
 MALFORMED = "malformed"
+LAST_RUN = "wardflow.carga"  # property of a table: the last run whose rows it has
 
 
 def store_visits(spark: SparkSession, landing: str, schema: T.StructType, layers: Mapping[str, str],
@@ -37,6 +38,40 @@ def store_visits(spark: SparkSession, landing: str, schema: T.StructType, layers
             tables.create_table(quarantine, f"{silver}.consultas_quarentena"))
 
 
+def land_visits(spark: SparkSession, landing: str, root: str, schema: T.StructType, layers: Mapping[str, str],
+                required: Sequence[str], header: bool = True) -> int:
+    """The visits' tables of :func:`store_visits` from a directory that grows: only files that are new
+    are read (see :mod:`ingest`). The number of files read.
+
+    Rows of new files are added to silver and its quarantine; where a file has been read again, both
+    are made anew from what is stored. A run that broke off between the store and the tables is
+    made up for: the tables name the last run that they have.
+    """
+    silver = layers["silver"]
+    name, rejects = f"{silver}.consultas", f"{silver}.consultas_quarentena"
+    count = ingest.land(spark, landing, root, schema, required, header)
+    published = ingest.runs(spark, root)
+    held = tables.property_of(spark, name, LAST_RUN) if spark.catalog.tableExists(name) else None
+    if not published or held == published[-1]:
+        return count
+    added = held in published and not ingest.reread(spark, root, held)
+    since = held if added else None
+    # Rows keep the run that they came with as their partition: what a run that broke off here has
+    # left in the tables is replaced, not added a second time.
+    rows = ingest.current(spark, root, schema, since=since).select(*schema.names, ingest.RUN)
+    bad = ingest.current(spark, root, schema, "quarentena", since=since).select(
+        *schema.names, files.RAW_LINE, ingest.RUN)
+    kept, rejected = integrity.cleanse_visits(rows)
+    quarantine = rejected.unionByName(bad.withColumn("motivo", F.lit(MALFORMED)), allowMissingColumns=True)
+    for made, table in ((kept, name), (quarantine, rejects)):
+        if added:
+            tables.replace_partitions(made, table)
+        else:
+            tables.create_table(made, table, partition_by=[ingest.RUN])
+    tables.set_property(spark, name, LAST_RUN, published[-1])
+    return count
+
+
 def store_reviews(spark: SparkSession, landing: str, schema: T.StructType, layers: Mapping[str, str],
                   required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``bronze.avaliacoes`` and ``bronze.avaliacoes_quarentena`` from a raw directory of reviews,

@@ -16,9 +16,10 @@ _FREE_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false",
               "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType,
+def read_csv_dir(spark: SparkSession, path: str | list[str], schema: T.StructType,
                  free_text: bool = False, header: bool = True) -> DataFrame:
-    """Every part file of a directory, read with explicit types, by default with a header row.
+    """Every part file of a directory (or of a list of paths), read with explicit types, by default
+    with a header row.
 
     Nothing is inferred, so there is no extra pass and the types never drift. Every column is
     read as text and cast here; a row with a wrong number of fields, or with text that does not
@@ -53,15 +54,21 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def misfits(rows: DataFrame, required: Sequence[str] = ()) -> Column:
+    """Is a row of :func:`read_csv_dir` malformed? A NULL in a required column counts as well."""
+    bad: Column = F.col(RAW_LINE).isNotNull()
+    for name in required:
+        bad = bad | F.col(name).isNull()
+    return bad
+
+
 def split_malformed(rows: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Well-formed rows and the rest; a NULL in a required column counts as malformed.
 
     The rest has the text of the bad line where a line did not fit the schema.
     """
     rows = rows.drop("_metadata")
-    bad: Column = F.col(RAW_LINE).isNotNull()
-    for name in required:
-        bad = bad | F.col(name).isNull()
+    bad = misfits(rows, required)
     return rows.where(~bad).drop(RAW_LINE), rows.where(bad)
 
 
@@ -85,11 +92,12 @@ def safe_cast(column: Column, kind: str) -> Column:
     return column.try_cast(kind)
 
 
-def landing_profile(rows: DataFrame) -> DataFrame:
-    """Rows and bytes per file behind a file scan, counted in one distributed pass."""
-    return (
-        rows.select(F.col("_metadata.file_name").alias("file_name"),
-                    F.col("_metadata.file_size").alias("file_size"))
-        .groupBy("file_name", "file_size")
-        .agg(F.count("*").alias("n_rows"))
-    )
+def landing_profile(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Rows and bytes of every file of a directory, given the scan of it. A file with no row, such as
+    one with a header only, has zero rows; files of zero bytes are not listed."""
+    listed = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("length").alias("file_size"),
+        F.col("_metadata.file_path").alias("path"))
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    return listed.join(counts, "path", "left").select(
+        "file_name", "file_size", F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))

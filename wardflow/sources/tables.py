@@ -43,13 +43,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def create_table(df: DataFrame, name: str, schema: T.StructType | None = None,
-                 bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                 bucket_by: tuple[int, Sequence[str]] | None = None,
+                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Create or replace a table from a query.
 
     ``bucket_by`` stores it bucketed and sorted, so that later joins and aggregations on
-    those columns read it without a shuffle.
+    those columns read it without a shuffle. ``partition_by`` gives each value of the columns a
+    folder of its own: filters on them read those folders only, and
+    :func:`replace_partitions` replaces one without the others.
     """
     writer = (conform(df, schema) if schema else df).write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if bucket_by:
         count, columns = bucket_by
         writer = writer.bucketBy(count, *columns).sortBy(*columns)
@@ -76,6 +81,33 @@ def append_query(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def replace_partitions(df: DataFrame, name: str) -> DataFrame:
+    """Replace the partitions that occur in ``df``, and only those; the others keep their files.
+
+    Columns are matched by name, types cast and required columns checked as when the table was
+    created. Partitions without a row in ``df`` stay as they are.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an option of the writer is not heeded here
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        conform(df, _schema_of(spark, name)).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    return spark.table(name)
+
+
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    """A text that belongs to the table, such as the last run that it has."""
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def property_of(spark: SparkSession, name: str, key: str) -> str | None:
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return found.get(key)
+
+
 def append_rows(spark: SparkSession, rows: Sequence[tuple], name: str) -> DataFrame:
     """Append literal rows in the table's column order."""
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in spark.table(name).schema])

@@ -46,8 +46,8 @@ def csv_roundtrip(spark, sf):
 
 @query("landing_profile")
 def landing_profile(spark, sf):
-    rows = files.read_csv_dir(spark, landed_visits(spark, sf), RAW_VISITS)
-    return files.landing_profile(rows)
+    path = landed_visits(spark, sf)
+    return files.landing_profile(spark, path, files.read_csv_dir(spark, path, RAW_VISITS))
 
 
 @query("landing_totals", f"""
@@ -69,15 +69,18 @@ line AS (SELECT *, CASE id_consulta % 50
                    coalesce(cid_10, ''), coalesce(diagnostico_descricao, '')) END AS linha FROM v)"""
 
 
-def landed_lines(spark, sf):
-    """The visits as raw lines without a header, bad ones among them; the path."""
+def landed_lines(spark, sf, which=None, path=None):
+    """The visits (or those of a condition) as raw lines without a header, bad ones among them; the
+    path. Files are added to a given path."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     kind = F.pmod(F.col("id_consulta"), F.lit(50).cast("long"))
     wait = F.concat(F.when(kind == 7, "x").otherwise(""), text("tempo_espera_minutos"))
     fields = [wait if c == "tempo_espera_minutos" else text(c) for c in RAW_VISITS.names]
     line = F.when(kind == 8, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields))
-    path = scratch.new_path(spark, "landing-linhas")
-    B.visits(spark, sf).select(line.alias("value")).write.text(path)
+    path = path or scratch.new_path(spark, "landing-linhas")
+    visits = B.visits(spark, sf)
+    visits = visits if which is None else visits.where(which)
+    visits.select(line.alias("value")).write.mode("append").text(path)
     return path
 
 
@@ -235,7 +238,10 @@ SELECT CASE WHEN id_consulta % 50 IN (7, 8) THEN 'malformed' WHEN id_paciente IS
        linha FROM line""")
 def pipeline_silver(spark, sf):
     """Silver visits and their quarantine as stored, each row as its line."""
-    kept, rejected = _stored_visits(spark, sf, _layers(spark, "pipeline"))
+    return _as_lines(*_stored_visits(spark, sf, _layers(spark, "pipeline")))
+
+
+def _as_lines(kept, rejected):
     line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_VISITS.names])
     return kept.select(F.lit("silver").alias("destino"), line.alias("linha")).unionByName(
         rejected.select(F.col("motivo").alias("destino"), F.coalesce(files.RAW_LINE, line).alias("linha")))
@@ -286,3 +292,39 @@ def pipeline_gold(spark, sf):
     pipelines.store_360(spark, hospitals, B.patients(spark, sf), layers)
     pipelines.store_rated(spark, B.PRAISE, B.TOXIC, X.EMAIL, layers)
     return pipelines.store_gold(spark, hospitals, layers)
+
+
+@query("pipeline_incremental", f"""
+WITH {B.V}, {SILVER_SQL}
+SELECT CASE WHEN id_consulta % 50 IN (7, 8) THEN 'malformed' WHEN id_paciente IS NULL THEN 'missing_patient'
+            WHEN status = 'cancelada' THEN 'cancelled' ELSE 'silver' END AS destino,
+       linha FROM line""")
+def pipeline_incremental(spark, sf):
+    """The same tables as ``pipeline_silver`` from a directory that grows: a first load, one that brings
+    nothing, and one of files that came late."""
+    layers, root = _layers(spark, "incremental"), scratch.new_path(spark, "ingest")
+    early = F.col("status") == "finalizada"
+    path = landed_lines(spark, sf, early)
+    required = ["id_consulta", "id_hospital"]
+    for late in (None, None, ~early):
+        if late is not None:
+            landed_lines(spark, sf, late, path)
+        pipelines.land_visits(spark, path, root, RAW_VISITS, layers, required, header=False)
+    kept, rejected = (spark.table(f"{layers['silver']}.consultas{x}") for x in ("", "_quarentena"))
+    return _as_lines(kept, rejected)
+
+
+@query("partition_reload", f"""
+WITH {B.V}
+SELECT modalidade, id_hospital, count(*) AS total, CAST(sum(CASE WHEN modalidade = 'retorno'
+       THEN tempo_espera_minutos + 1 ELSE tempo_espera_minutos END) AS BIGINT) AS espera FROM v GROUP BY ALL""")
+def partition_reload(spark, sf):
+    """Visits stored by modality; one modality is loaded anew, the others keep their files."""
+    name = f"{_layers(spark, 'partitions')['silver']}.consultas"
+    visits = B.lines(spark, sf)
+    tables.create_table(visits, name, partition_by=["modalidade"])
+    again = visits.where("modalidade = 'retorno'").withColumn(
+        "tempo_espera_minutos", F.col("tempo_espera_minutos") + 1)
+    stored = tables.replace_partitions(again, name)
+    return stored.groupBy("modalidade", "id_hospital").agg(
+        F.count("*").alias("total"), F.sum("tempo_espera_minutos").alias("espera"))
