@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow import scratch
+from wardflow.operators import label_store
 from wardflow.operators.integrity import split_rows
 from wardflow.functions import text as X
-from wardflow.plans import pipelines, views
+from wardflow.plans import pipelines
 from wardflow.sources import files, tables
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -160,12 +161,13 @@ WITH {B.VL}
 SELECT id_consulta, id_paciente, id_hospital, id_medico, especialidade, tempo_espera_minutos, status,
        prioridade, risco FROM vl""")
 def enriched_view(spark, sf):
-    """Labels are computed once per text and stored; the view joins them to the fact where it lies."""
+    """Labels come from the store of labels, which labels new texts only; the view joins them to the
+    fact where it lies."""
     silver = _layers(spark, "views")["silver"]
-    texts = views.enriched_visits(
-        B.documents(spark, sf), "text",
-        B.PRIORITY, "eletiva", B.RISK, "baixo_risco").drop("text")
-    tables.create_table(texts, f"{silver}.textos_rotulados")
+    texts = label_store.labelled_by_rules(
+        B.documents(spark, sf), "text", scratch.new_path(spark, "rotulos"),
+        {"prioridade": (B.PRIORITY, "eletiva"), "risco": (B.RISK, "baixo_risco")})
+    tables.create_table(texts.where("text IS NOT NULL").drop("text"), f"{silver}.textos_rotulados")
     stored = lambda name: f"parquet.`{sf}/{name}.parquet`"
     return tables.create_stored_view(
         spark, f"{silver}.v_consultas_enriquecidas",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from wardflow import scratch
 from wardflow.functions import lexicons
 from wardflow.functions import text as X
-from wardflow.operators import enrich, phrases, shares, summarize
+from wardflow.operators import enrich, label_store, phrases, shares, summarize, weights
 from wardflow.operators.spread import spread_files
 from wardflow.plans import kpi, views
 from wardflow.testbed import binding as B
@@ -42,6 +42,68 @@ def classify_text_join(spark, sf):
     return phrases.classify_by_lexicon(_documents(spark, sf), "doc_id", "text", lexicon, "eletiva")
 
 
+# A lexicon learnt from the labels; then the texts by it.
+LEARNT_LEAST = 2.0  # standard errors: the small tables have few labelled texts
+LEARNT_SQL = f"""
+lt AS (SELECT CAST(toxic AS VARCHAR) AS label, list_distinct(list_filter(string_split({B.fold_sql("text")}, ' '),
+              lambda w: w <> '')) AS terms FROM documents JOIN labels ON labels.doc_id = documents.doc_id
+       WHERE toxic IS NOT NULL AND text IS NOT NULL),
+ls AS (SELECT label, count(*) AS size, sum(count(*)) OVER () AS whole,
+              row_number() OVER (ORDER BY label) - 1 AS position FROM lt GROUP BY label),
+lc AS (SELECT label, unnest(terms) AS term FROM lt),
+ln AS (SELECT term, label, count(*) AS n FROM lc GROUP BY term, label),
+lo AS (SELECT term, sum(n) AS total FROM ln GROUP BY term),
+le AS (SELECT ls.label, position, lo.term, coalesce(n, 0) AS n, total - coalesce(n, 0) AS o, size, whole - size AS rest
+       FROM lo CROSS JOIN ls LEFT JOIN ln ON ln.term = lo.term AND ln.label = ls.label),
+lw AS (SELECT *, ln((n + {weights.PRIOR}) / (size - n + {weights.PRIOR})) - ln((o + {weights.PRIOR}) / (rest - o + {weights.PRIOR})) AS w,
+              sqrt(1 / (n + {weights.PRIOR}) + 1 / (o + {weights.PRIOR})) AS e
+       FROM (SELECT label, position, term, CAST(n AS DOUBLE) AS n, CAST(o AS DOUBLE) AS o, CAST(size AS DOUBLE) AS size,
+                    CAST(rest AS DOUBLE) AS rest FROM le)),
+lx AS (SELECT CAST(position AS INTEGER) AS position, label, term, CAST(round(w, 6) AS DECIMAL(18, 6)) AS weight,
+              CAST(n AS BIGINT) AS n FROM lw WHERE abs(w) >= {LEARNT_LEAST} * e)"""
+
+
+def _learnt(spark, sf):
+    marked = B.table(spark, sf, "labels").select("doc_id", "toxic")
+    return weights.learn(_documents(spark, sf).join(marked, "doc_id"), "text", "toxic", least=LEARNT_LEAST)
+
+
+@query("learnt_lexicon", f"WITH {LEARNT_SQL} SELECT * FROM lx")
+def learnt_lexicon(spark, sf):
+    return _learnt(spark, sf)
+
+
+@query("classify_learnt", f"""
+WITH {LEARNT_SQL},
+t AS (SELECT doc_id, unnest(string_split({B.fold_sql("text")}, ' ')) AS term FROM documents),
+s AS (SELECT doc_id, label, sum(weight) AS score, min(position) AS position
+      FROM t JOIN lx ON lx.term = t.term GROUP BY doc_id, label),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, position) AS k FROM s)
+SELECT d.doc_id, CASE WHEN score > 0 THEN label ELSE '0' END AS label
+FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND k = 1""")
+def classify_learnt(spark, sf):
+    return phrases.classify_by_lexicon(_documents(spark, sf), "doc_id", "text", _learnt(spark, sf), "0")
+
+
+@query("labels_incremental", f"""
+WITH a AS (SELECT 'conversa' AS origem, conv_id AS id, turn AS parte, text FROM conversations
+           UNION ALL SELECT 'documento', doc_id, 0, text FROM documents),
+k AS (SELECT row_number() OVER () AS doc, * FROM a),
+{B.classify_sql("k", "doc", "text", B.PRIORITY, "eletiva", "prioridade", "kp")},
+{B.classify_sql("k", "doc", "text", B.RISK, "baixo_risco", "risco", "kr")}
+SELECT origem, id, parte, prioridade, risco FROM k JOIN kp ON kp.doc = k.doc JOIN kr ON kr.doc = k.doc""")
+def labels_incremental(spark, sf):
+    """Two runs over a store of labels: the second labels only the texts that the first has not."""
+    root = scratch.new_path(spark, "rotulos")
+    turns = spread_files(B.table(spark, sf, "conversations")).select(
+        F.lit("conversa").alias("origem"), F.col("conv_id").alias("id"), F.col("turn").alias("parte"), "text")
+    texts = _documents(spark, sf).select(
+        F.lit("documento").alias("origem"), F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("parte"), "text")
+    lexicons = {"prioridade": (B.PRIORITY, "eletiva"), "risco": (B.RISK, "baixo_risco")}
+    label_store.labelled_by_rules(turns, "text", root, lexicons)
+    return label_store.labelled_by_rules(turns.unionByName(texts), "text", root, lexicons).drop("text")
+
+
 @query("sentiment", f"""
 SELECT doc_id, {B.sentiment_case_sql("f", B.PRAISE, B.TOXIC)} AS sentimento
 FROM (SELECT doc_id, {B.fold_sql("text")} AS f FROM documents)""")
