@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from wardflow import scratch
+
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key is present but has no parent."""
@@ -55,6 +57,65 @@ def split_rows(df: DataFrame, reasons: Sequence[tuple[str, Column]],
     return marked.where(F.col(reason).isNull()).drop(reason), marked.where(F.col(reason).isNotNull())
 
 
+MASK = "_motivos"
+DUPLICATE = "duplicate_key"
+
+
+def mark_rows(df: DataFrame, rules: Sequence[tuple[str, Column]], unique: Sequence[str] = ()) -> DataFrame:
+    """The rows with ``_motivos``: a bit for every rule that applies, in their order, and after them one
+    for rows whose key ``unique`` another row has too. At most 62 rules.
+
+    A rule whose condition is NULL does not apply. NULL is a key value like any other. Keys that
+    occur more than once are found by a partial aggregation and written; most often they are few
+    and sent to the rows, which then do not move.
+    """
+    if len(rules) > 62:
+        raise ValueError("a mask has room for 62 rules")
+    mask = F.lit(0).cast("long")
+    for bit, (_, condition) in enumerate(rules):
+        mask = mask + F.when(condition, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
+    if not unique:
+        return df.withColumn(MASK, mask)
+    names = [f"__u{i}" for i in range(len(unique))]
+    repeated = scratch.materialise(
+        df.groupBy(*(F.col(c).alias(n) for c, n in zip(unique, names, strict=True)))
+        .agg(F.count("*").alias("__n")).where("__n > 1"), "repeated-keys")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(unique, names, strict=True)]
+    twice = F.when(F.col("__n").isNotNull(), F.lit(1 << len(rules)).cast("long")).otherwise(F.lit(0).cast("long"))
+    return df.join(repeated, same, "left").select(*df.columns, (mask + twice).alias(MASK))
+
+
+def reasons(mask: Column, rules: Sequence[tuple[str, Column]]) -> Column:
+    """The names of a mask's reasons, in the rules' order."""
+    names = [*(name for name, _ in rules), DUPLICATE]
+    held = [F.when(F.getbit(mask, F.lit(bit)) == 1, name) for bit, name in enumerate(names)]
+    return F.array_compact(F.array(*held))
+
+
+def store_checked(df: DataFrame, path: str, rules: Sequence[tuple[str, Column]], unique: Sequence[str] = ()
+                  ) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Kept rows, rejected ones with all their reasons (``motivos``), and the counts, from one write.
+
+    The counts (``total`` and every reason's rows) are observed while the rows are written, without a
+    second scan. They are taken in the stage that writes, where a task that is run again counts
+    once. A row with no reason is kept; no rows give zero counts.
+    """
+    spark = df.sparkSession
+    names = [*(name for name, _ in rules), *([DUPLICATE] if unique else [])]
+    seen = Observation(f"checked-{path}")
+    marked = mark_rows(df, rules, unique).observe(
+        seen, F.count(F.lit(1)).alias("total"),
+        *(F.count_if(F.getbit(F.col(MASK), F.lit(bit)) == 1).alias(name) for bit, name in enumerate(names)))
+    destination = F.when(F.col(MASK) == 0, "dados").otherwise("quarentena")
+    marked.withColumn("destino", destination).write.partitionBy("destino").parquet(path)
+    schema = marked.schema.add("destino", "string")
+    stored = spark.read.schema(schema).parquet(path)
+    kept = stored.where("destino = 'dados'").select(*df.columns)
+    rejected = stored.where("destino = 'quarentena'").select(
+        *df.columns, reasons(F.col(MASK), rules).alias("motivos"))
+    return kept, rejected, dict(seen.get)
+
+
 def cleanse_visits(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Silver visits without missing patients and cancellations, and their quarantine."""
     return split_rows(visits, [

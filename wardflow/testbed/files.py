@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow import scratch
-from wardflow.operators import label_store
+from wardflow.operators import integrity, label_store, sketches
 from wardflow.operators.integrity import split_rows
 from wardflow.functions import text as X
 from wardflow.plans import pipelines
@@ -330,3 +330,54 @@ def partition_reload(spark, sf):
     stored = tables.replace_partitions(again, name)
     return stored.groupBy("modalidade", "id_hospital").agg(
         F.count("*").alias("total"), F.sum("tempo_espera_minutos").alias("espera"))
+
+
+@query("bucketed_join", f"""
+WITH {B.V}, {B.R}
+SELECT v.id_consulta, count(*) AS linhas, CAST(sum(tempo_espera_minutos) AS BIGINT) AS espera,
+       max(tempo_para_avaliar_min) AS resposta
+FROM v JOIN r ON r.id_consulta = v.id_consulta GROUP BY v.id_consulta""")
+def bucketed_join(spark, sf):
+    """Visits and reviews stored by the visit's bucket: joined and summed up where they lie."""
+    silver = _layers(spark, "buckets")["silver"]
+    by_visit = (16, ["id_consulta"])
+    visits = tables.create_table(B.lines(spark, sf), f"{silver}.consultas", bucket_by=by_visit)
+    reviews = tables.create_table(
+        B.reviews(spark, sf).select("id_consulta", "tempo_para_avaliar_min"), f"{silver}.avaliacoes", bucket_by=by_visit)
+    return visits.hint("merge").join(reviews, "id_consulta").groupBy("id_consulta").agg(
+        F.count("*").alias("linhas"), F.sum("tempo_espera_minutos").alias("espera"),
+        F.max("tempo_para_avaliar_min").alias("resposta"))
+
+
+@query("quality_store", f"""
+WITH {B.V},
+k AS (SELECT id_consulta, id_medico, id_hospital FROM v GROUP BY ALL HAVING count(*) > 1),
+m AS (SELECT v.*, concat_ws('+', CASE WHEN id_paciente IS NULL THEN 'missing_patient' END,
+             CASE WHEN status = 'cancelada' THEN 'cancelled' END, CASE WHEN tempo_espera_minutos > 30 THEN 'long_wait' END,
+             CASE WHEN k.id_consulta IS NOT NULL THEN 'duplicate_key' END) AS motivos
+      FROM v LEFT JOIN k ON k.id_consulta = v.id_consulta AND k.id_medico = v.id_medico AND k.id_hospital = v.id_hospital)
+SELECT 'guardado' AS medida, motivos AS nome, count(*) AS total FROM m GROUP BY motivos
+UNION ALL SELECT 'observado', 'total', count(*) FROM m
+UNION ALL SELECT 'observado', n, count(*) FILTER (list_contains(string_split(motivos, '+'), n))
+FROM m, unnest(['missing_patient', 'cancelled', 'long_wait', 'duplicate_key']) u(n) GROUP BY n""")
+def quality_store(spark, sf):
+    """Visits stored with every reason against them; the counts were observed during the write."""
+    rules = [("missing_patient", F.col("id_paciente").isNull()), ("cancelled", F.col("status") == "cancelada"),
+             ("long_wait", F.col("tempo_espera_minutos") > 30)]
+    kept, rejected, counts = integrity.store_checked(
+        B.visits(spark, sf, codes=False), scratch.new_path(spark, "checked"), rules,
+        unique=["id_consulta", "id_medico", "id_hospital"])
+    named = kept.select(F.lit("").alias("nome")).unionByName(
+        rejected.select(F.array_join("motivos", "+").alias("nome")))
+    stored = named.groupBy("nome").agg(F.count("*").alias("total")).select(
+        F.lit("guardado").alias("medida"), "nome", "total")
+    seen = spark.createDataFrame([("observado", k, v) for k, v in counts.items()], stored.schema)
+    return stored.unionByName(seen)
+
+
+@query("sketch_profile")
+def sketch_profile(spark, sf):
+    """Profiles of the order lines per return flag, merged into that of the table."""
+    parts = scratch.materialise(
+        sketches.sketch_profile(B.table(spark, sf, "lineitem"), ["l_returnflag"]), "profiles")
+    return sketches.read_profile(sketches.merge_profiles(parts), [0.25, 0.5, 0.75])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
 from wardflow.functions import text as X
-from wardflow.operators import integrity, ranking, shares
+from wardflow.operators import integrity, moments, ranking, shares
 from wardflow.plans import kpi, narrative, views
 from wardflow.testbed import binding as B
 from wardflow.testbed.registry import query
@@ -393,3 +393,16 @@ FROM t""")
 def narrative_by_group(spark, sf):
     sums = kpi.partials(B.lines(spark, sf), ["id_hospital"])
     return narrative.by_group(sums, "id_hospital")
+
+
+@query("merged_correlation", """
+SELECT l_suppkey AS id_hospital, count(*) AS n, round(corr(l_quantity, l_discount), 9) AS correlacao,
+       round(stddev_pop(l_quantity), 9) AS desvio
+FROM lineitem GROUP BY l_suppkey""")
+def merged_correlation(spark, sf):
+    """Wait and rate per hospital, from stored rows per hospital and mode."""
+    parts = moments.partial_moments(B.table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"],
+                                    "l_quantity", "l_discount")
+    return moments.merged(parts, ["l_suppkey"]).select(
+        F.col("l_suppkey").alias("id_hospital"), "n", F.round(moments.correlation(), 9).alias("correlacao"),
+        F.round(moments.deviation("m2_x"), 9).alias("desvio"))
