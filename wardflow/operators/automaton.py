@@ -8,20 +8,17 @@ in no term costs one look into a dictionary. Larger tables go through joins
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BYTES = 32 << 20  # of all terms' text that are sent to the workers as an automaton
 
-# Letters in the sense of Unicode: word characters but digits, the underscore and other numbers.
-_numbers = "".join(chr(c) for c in range(0x110000)
-                   if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
-LETTERS = re.compile(rf"([^\W\d_{_numbers}]+)")
+LETTERS = regex.compile(r"(\p{L}+)")
 
 
 class WordAutomaton:
@@ -61,9 +58,9 @@ class WordAutomaton:
     def find(self, words: Sequence[str]) -> Iterator[tuple[int, int]]:
         """(place behind the term's last word, number of the term), by place; overlapping ones too."""
         state, last = 0, -1
-        for at, letter in enumerate(map(self.words.get, words)):
-            if letter is None:
-                continue
+        letters = list(map(self.words.get, words))
+        for at in [i for i, letter in enumerate(letters) if letter is not None]:
+            letter = letters[at]
             if at != last + 1:
                 state = 0
             last = at
@@ -107,27 +104,28 @@ class NameMask:
     longest; names with one blank between them share a mark."""
 
     def __init__(self, names: Sequence[str], mark: str) -> None:
-        parts = [LETTERS.split(n) for n in names]
-        # A name begins and ends with a letter; what is around it does not count.
-        self.found, self.mark = WordAutomaton([p[1:-1] for p in parts if len(p) > 1]), mark
+        # A name begins and ends with a letter; what is around it does not count. Gaps and words in
+        # turn: the automaton takes the words, and where they are found the gaps must be the name's.
+        parts = [p[1:-1] for n in names if len(p := LETTERS.split(n)) > 1]
+        self.found, self.gaps, self.mark = WordAutomaton([p[::2] for p in parts]), [p[1::2] for p in parts], mark
 
     def __call__(self, text: str) -> str:
-        # Gaps and words in turn: words are at odd places, and so names begin and end at odd places.
-        parts = LETTERS.split(text)
+        parts = LETTERS.split(text)  # word i is part 2 i + 1
         longest: dict[int, int] = {}
-        for end, term in self.found.find(parts):
-            begin = end - self.found.sizes[term]
-            longest[begin] = max(end, longest.get(begin, 0))
+        for end, term in self.found.find(parts[1::2]):
+            begin, gaps = end - self.found.sizes[term], self.gaps[term]
+            if not gaps or parts[2 * begin + 2:2 * end - 1:2] == gaps:
+                longest[begin] = max(end, longest.get(begin, 0))
         if not longest:
             return text
-        out, at, joined = [], 0, -1
+        out, at, joined = [], 0, False
         for begin in sorted(longest):
-            if begin < at:
+            if 2 * begin + 1 < at:
                 continue
-            gap = parts[at:begin]
-            if joined != at or gap != [" "]:
+            gap = parts[at:2 * begin + 1]
+            if not joined or gap != [" "]:
                 out += [*gap, self.mark]
-            at = joined = longest[begin]
+            at, joined = 2 * longest[begin], True
         return "".join(out + parts[at:])
 
 
