@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 LANES = 4                 # of 8 bytes: longer words go through the heap
-SLOT_BITS = 20            # of the table of known words, which is emptied when half full
-SLICE_CHARS = 1_000_000   # characters that are split into words at a time
+SLOT_BITS = 19            # of the table of known words, which is emptied when half full
+SLICE_CHARS = 250_000     # characters that are split into words at a time
 
 _NONE = np.int64(1 << 40)
 _word_end = re.compile(r"\S(?=[ \n])")
