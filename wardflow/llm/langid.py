@@ -180,15 +180,19 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(k, lab.as_py(), c) for k, lab, t in zip(batch.column("draw").to_pylist(), batch.column("label"),
-                                                       batch.column("text"), strict=True)
-                   if (c := counts(t.as_py())) is not None]
-            at = [np.flatnonzero(c) for *_, c in out]
+            draws, labels_, at, n = [], [], [], []
+            for k, lab, t in zip(batch.column("draw").to_pylist(), batch.column("label").to_pylist(),
+                                 batch.column("text"), strict=True):
+                if (c := counts(t.as_py())) is not None:
+                    # Only what is not zero is kept: a whole row of counts is long.
+                    where = np.flatnonzero(c)
+                    draws.append(k)
+                    labels_.append(lab)
+                    at.append(where.astype(np.int32))
+                    n.append(c[where].astype(np.int32))
             yield pa.RecordBatch.from_arrays([
-                pa.array([k for k, *_ in out], pa.int64()), pa.array([lab for _, lab, _ in out], pa.string()),
-                pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())),
-                pa.array([c[a].astype(np.int32) for (*_, c), a in zip(out, at, strict=True)], pa.list_(pa.int32()))],
-                names=["draw", "label", "at", "n"])
+                pa.array(draws, pa.int64()), pa.array(labels_, pa.string()), pa.array(at, pa.list_(pa.int32())),
+                pa.array(n, pa.list_(pa.int32()))], names=["draw", "label", "at", "n"])
 
     sample = (learn.where(draw < share[F.col("label")])
               .select(F.xxhash64("key", F.lit("fold")).alias("draw"), "label", "text")
