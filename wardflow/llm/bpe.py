@@ -125,6 +125,10 @@ class Codec:
         self._special = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
         self.known = _WordTable()
 
+    def forget(self) -> None:
+        """Drop the words known so far: a worker that waits for other work should not hold them."""
+        self.known = _WordTable()
+
     # ---- encoding ----
 
     def encode_many(self, texts: list[str]) -> list[bytes]:

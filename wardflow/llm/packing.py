@@ -181,6 +181,7 @@ def pack_texts(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
                     n = len(ids + tail) // 4
                     if n:
                         yield k, ids + tail, n - min(max(q or 0, 0), n)
+        coder.forget()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = None
