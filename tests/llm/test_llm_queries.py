@@ -36,7 +36,7 @@ def test_same_rows_as_oracle(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_simhash_against_all_pairs(spark, texts):
