@@ -30,15 +30,16 @@ def learn(docs: DataFrame, text: str, label: str, prior: float = PRIOR, least: f
     Positions follow the labels' order as text. With one label only, or none, nothing is learnt.
     Positive weights and negative ones are kept; the latter speak against a label.
     """
-    rows = docs.select(F.col(label).cast("string").alias("label"), F.array_distinct(words(F.col(text))).alias("terms"))
-    rows = rows.where("label IS NOT NULL AND terms IS NOT NULL")
+    # By the text, not by its words: the rows per label are counted without splitting anything.
+    rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(label).cast("string").alias("label"), F.array_distinct(words(F.col(text))).alias("terms"))
     # One row per label: as many as there are labels.
     sizes = scratch.materialise(rows.groupBy("label").agg(F.count("*").alias("size")), "label-sizes")
     places = sizes.select("label", "size", F.expr("row_number() OVER (ORDER BY label) - 1").alias("position"),
                           F.expr("sum(size) OVER ()").alias("all"))
     counts = scratch.materialise(
-        rows.select("label", F.explode("terms").alias("term")).groupBy("term", "label").agg(F.count("*").alias("n")),
-        "term-counts")
+        rows.select("label", F.explode_outer("terms").alias("term")).where("term IS NOT NULL")
+        .groupBy("term", "label").agg(F.count("*").alias("n")), "term-counts")
     # A term's row for each label, also those whose texts do not have it.
     totals = counts.groupBy("term").agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("by_label"))
