@@ -1,6 +1,7 @@
 """Packing: every id once, no limit exceeded, little padding."""
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,10 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from wardflow.llm.packing import Example, Limits, pack_texts, pack_window
+from wardflow.llm.packing import Example, Limits, _pack, pack_texts, pack_window
+from wardflow.llm.queries import TURN_LIMITS, packing_turns
+
+FOLDER = "/root/testdata/sf0.001"
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -100,3 +104,63 @@ def test_loss_column_and_empty_table(spark):
     assert {r.doc_id for r in pack_texts(df, PATH, loss_from="q", limits=Limits(64, 8, 4)).collect()} == {1, 2, 3}
     assert pack_texts(df.limit(0), PATH).count() == 0
     assert pack_texts(df.selectExpr("doc_id", "'' AS text"), PATH, end_id=None).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 10])
+def test_many_short_examples_take_time_in_proportion(size):
+    begin = time.perf_counter()
+    ids, pieces = b"\1\0\0\0" * size, 0
+    for part in _pack(((i, ids, size) for i in range(200_000)), Limits(), 3):
+        pieces += sum(len(p[2]) // 4 for p in part)
+    assert pieces == 200_000 * size
+    assert time.perf_counter() - begin < 20
+
+
+def one_by_one(examples, limits):
+    """The demands of the first sequence, each pick by a search among all examples."""
+    cap = np.array([limits.tokens, limits.segments, limits.loss], float)
+    demand = np.array([(e.length, 1, e.loss) for e in examples], float)
+    weight, room, free, out = demand.mean(0) / cap ** 2, cap.copy(), np.ones(len(examples), bool), []
+    while (fits := free & (demand <= room).all(1)).any():
+        i = int(np.argmax(np.where(fits, demand @ (weight * room), -1)))
+        out.append((examples[i].length, examples[i].loss))
+        room -= demand[i]
+        free[i] = False
+    return out
+
+
+def test_picks_of_equal_demands_are_those_of_single_examples():
+    random.seed(5)
+    limits = Limits(4096, 300, 1500)
+    for _ in range(20):
+        kinds = [(n, random.randint(0, n)) for n in random.sample(range(20, 400), 7)]
+        examples = [Example(i, 0, *random.choice(kinds)) for i in range(900)]
+        sequences, _ = pack_window(examples, limits, False)
+        expected = one_by_one(examples, limits)
+        assert [(e.length, e.loss) for e in sequences[0]][:len(expected)] == expected
+
+
+def test_turns_within_all_three_limits(spark):
+    rows = spark.read.parquet(f"{FOLDER}/conversations.parquet").collect()
+    found = packing_turns(spark, FOLDER).collect()
+    library = Tokenizer.from_file(PATH)
+    expected, by_turn, by_sequence = defaultdict(list), defaultdict(list), defaultdict(list)
+    for r in rows:
+        n = len(library.encode(r.text or "", add_special_tokens=False).ids) + 1
+        expected[r.conv_id, r.turn].append((n, n if r.role == "assistant" else 0))
+    for r in found:
+        by_turn[r.conv_id, r.turn].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert by_turn.keys() == expected.keys()
+    for key, sizes in expected.items():
+        assert sum(r.length for r in by_turn[key]) == sum(n for n, _ in sizes)
+        assert sum(r.loss for r in by_turn[key]) == sum(n for _, n in sizes)
+    tight = set()
+    for parts in by_sequence.values():
+        parts.sort(key=lambda r: r.offset)
+        assert [r.offset for r in parts] == [sum(p.length for p in parts[:i]) for i in range(len(parts))]
+        used = (sum(r.length for r in parts), len(parts), sum(r.loss for r in parts))
+        limits = (TURN_LIMITS.tokens, TURN_LIMITS.segments, TURN_LIMITS.loss)
+        assert all(u <= m for u, m in zip(used, limits, strict=True))
+        tight |= {i for i, (u, m) in enumerate(zip(used, limits, strict=True)) if u == m}
+    assert {1, 2} <= tight

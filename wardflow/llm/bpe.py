@@ -17,7 +17,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -111,23 +111,35 @@ class Codec:
         vocab: dict[str, int] = data["model"]["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
         letters = byte_letters()
-        of_letter = {c: bytes([b]) for b, c in enumerate(letters)}
         self.byte_ids = np.array([vocab[c] for c in letters], np.int64)
         ids = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], np.int64)
         ids = ids.reshape(-1, 3)
         self.merged = ids[:, 2]
         self.table = _PairTable(ids[:, 0], ids[:, 1])
-        self.rank_of = {(a, b): r for r, (a, b) in enumerate(ids[:, :2].tolist())}
-        self.token = {i: b"".join(map(of_letter.__getitem__, t)) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
-        self.token |= {i: t.encode() for t, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
+        self._spec, self._pairs = spec, ids[:, 0] << 32 | ids[:, 1]
         self.known = _WordTable()
 
+    @cached_property
+    def rank_of(self) -> dict[int, int]:
+        """Rank of every pair of ids; made when the first long word comes."""
+        return {pair: rank for rank, pair in enumerate(self._pairs.tolist())}
+
+    @cached_property
+    def token(self) -> dict[int, bytes]:
+        """Bytes of every id; made when something is decoded."""
+        of_letter = {c: bytes([b]) for b, c in enumerate(byte_letters())}
+        vocab: dict[str, int] = json.loads(self._spec)["model"]["vocab"]
+        plain = {i: b"".join(map(of_letter.__getitem__, t)) for t, i in vocab.items()}
+        return plain | {i: t.encode() for t, i in self.special.items()}
+
     def forget(self) -> None:
-        """Drop the words known so far: a worker that waits for other work should not hold them."""
+        """Drop the words known so far and free memory that Arrow keeps: a worker that waits for
+        other work should hold neither."""
         self.known = _WordTable()
+        pa.default_memory_pool().release_unused()
 
     # ---- encoding ----
 
@@ -201,7 +213,7 @@ class Codec:
                 return self._words_at(raw, at, size)
             self.known.add(lanes[pick], size[pick], counts, ids)
             slot[new] = self.known.find(lanes[new], size[new])
-        counts, begin = self.known.counts[slot], self.known.begins[slot]
+        counts, begin = self.known.counts[slot].astype(np.int64), self.known.begins[slot].astype(np.int64)
         long = {i: np.frombuffer(self._merge_long(raw[at[i]:at[i] + size[i]]), "<u4")
                 for i in np.flatnonzero(~short).tolist()}
         for i, ids in long.items():
@@ -276,7 +288,7 @@ class Codec:
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1)
-                if (r := self.rank_of.get((ids[i], ids[i + 1]))) is not None]
+                if (r := self.rank_of.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
@@ -288,7 +300,7 @@ class Codec:
             if k >= 0:
                 before[k] = i
             for a, b in ((before[i], i), (i, k)):
-                if a >= 0 and b >= 0 and (r := self.rank_of.get((ids[a], ids[b]))) is not None:
+                if a >= 0 and b >= 0 and (r := self.rank_of.get(ids[a] << 32 | ids[b])) is not None:
                     heapq.heappush(heap, (r, a, ids[a], ids[b]))
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
@@ -381,7 +393,7 @@ class _WordTable:
     def __init__(self) -> None:
         n = 1 << SLOT_BITS
         self.lanes, self.sizes = np.zeros((n, LANES), np.uint64), np.zeros(n, np.int16)
-        self.counts, self.begins = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.counts, self.begins = np.zeros(n, np.int16), np.zeros(n, np.int32)
         self.pool, self.used = np.zeros(0, np.uint32), 0
         self._free = np.zeros(1 << 16, np.uint32)
 

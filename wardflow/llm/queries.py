@@ -19,6 +19,8 @@ ORACLES: dict[str, str] = {}
 
 TOP_K = 20
 SEQUENCE = packing.Limits(tokens=2048, segments=1024, loss=2048)
+TURN_LIMITS = packing.Limits(tokens=2048, segments=16, loss=1536)
+NO_LOSS = 1 << 40  # more leading tokens than any text has
 END_ID = 1
 PII_KEY = "corpus"  # a deployment passes its own secret
 
@@ -127,6 +129,21 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
 
 
+@query("packing_turns")
+def packing_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """All turns of conversations in sequences of limited tokens, segments and loss-bearing tokens.
+
+    Only what an assistant says bears loss. A null role or text bears none and is packed as empty.
+    """
+    turns = table(spark, folder, "conversations").select(
+        F.struct("conv_id", "turn").alias("key"), "text",
+        F.when(F.col("role").eqNullSafe("assistant"), 0).otherwise(F.lit(NO_LOSS)).alias("quiet"))
+    pieces = packing.pack_texts(turns, vocabulary(), key="key", end_id=END_ID, limits=TURN_LIMITS,
+                                loss_from="quiet")
+    return pieces.select("key.conv_id", "key.turn", "start", "length", "loss", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
 
