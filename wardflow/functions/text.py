@@ -193,7 +193,7 @@ ENTITIES: dict[str, list[str]] = {
 SYMPTOM_FIELDS = {
     "sintoma_principal": r"^(?:Paciente com )?(.+?)(?: há |,| com |$)",
     "duracao": r"há ([0-9]+ [a-zê]+)",
-    "intensidade": r"(?i)\b(intensa|aguda|alta|progressiva|descontrolada|recorrente|embaçada)",
+    "intensidade": r"(?i)\b(leve|moderad[ao]|forte|sever[ao]|agud[ao]|crônic[ao]|súbit[ao]|constante|latejante)\b",
 }
 
 

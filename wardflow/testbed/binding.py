@@ -99,8 +99,8 @@ def codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def patient_key():
-    """The patient is missing for every tenth visit, as in the reference data."""
-    return F.when(C.spread(F.col("o_orderkey"), 7, 10) != 0, F.col("o_custkey"))
+    """The patient is missing for every thirteenth visit."""
+    return F.when(C.spread(F.col("o_orderkey"), 1, 13) != 5, F.col("o_custkey"))
 
 
 def status():
@@ -113,7 +113,7 @@ v AS (
          CAST(l_quantity AS INTEGER) AS tempo_espera_minutos,
          CASE l_returnflag WHEN 'N' THEN 'presencial' WHEN 'R' THEN 'retorno'
               ELSE 'telemedicina' END AS modalidade,
-         CASE WHEN (o_orderkey * 7) % 10 <> 0 THEN o_custkey END AS id_paciente,
+         CASE WHEN o_orderkey % 13 <> 5 THEN o_custkey END AS id_paciente,
          CASE o_orderstatus WHEN 'F' THEN 'finalizada' WHEN 'P' THEN 'cancelada'
               ELSE 'em_andamento' END AS status,
          p_type AS especialidade,
@@ -150,13 +150,13 @@ h AS (
 def patients(spark: SparkSession, folder: str) -> DataFrame:
     as_of = F.lit(AS_OF).cast("date")
     key = F.col("c_custkey")
-    born = F.date_add(F.lit("1940-01-01").cast("date"), C.spread(key, 73, 27000).cast("int"))
+    born = F.date_add(F.lit("1931-05-09").cast("date"), C.spread(key, 41, 30011).cast("int"))
     return table(spark, folder, "customer").select(
         key.alias("id_paciente"),
         F.col("c_name").alias("nome_paciente"),
         born.alias("data_nascimento"),
         C.whole_years(born, as_of).alias("idade"),
-        C.by_value(C.spread(key, 11, 2), {0: "M"}, "F").alias("sexo"),
+        C.by_value(C.spread(key, 1, 2), {0: "M"}, "F").alias("sexo"),
         F.col("c_mktsegment").alias("convenio"),
     )
 
@@ -164,8 +164,8 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
 P = f"""
 p0 AS (
   SELECT c_custkey AS id_paciente, c_name AS nome_paciente, c_mktsegment AS convenio,
-         DATE '1940-01-01' + CAST((c_custkey * 73) % 27000 AS INTEGER) AS data_nascimento,
-         CASE WHEN (c_custkey * 11) % 2 = 0 THEN 'M' ELSE 'F' END AS sexo
+         DATE '1931-05-09' + CAST((c_custkey * 41) % 30011 AS INTEGER) AS data_nascimento,
+         CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS sexo
   FROM customer
 ),
 p AS (

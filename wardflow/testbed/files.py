@@ -173,7 +173,7 @@ def enriched_view(spark, sf):
         spark, f"{silver}.v_consultas_enriquecidas",
         "Consultas com prioridade e risco", f"""
         SELECT l_orderkey AS id_consulta,
-               CASE WHEN pmod(o_orderkey * 7, 10) <> 0 THEN o_custkey END AS id_paciente,
+               CASE WHEN pmod(o_orderkey, 13) <> 5 THEN o_custkey END AS id_paciente,
                l_suppkey AS id_hospital, l_partkey AS id_medico, p_type AS especialidade,
                CAST(l_quantity AS INT) AS tempo_espera_minutos,
                CASE o_orderstatus WHEN 'F' THEN 'finalizada' WHEN 'P' THEN 'cancelada'
