@@ -277,3 +277,30 @@ def test_phrases_against_a_large_skewed_catalogue(spark):
 def test_rate_counts_null_as_no(spark):
     df = spark.createDataFrame([(True,), (False,), (None,), (True,)], "b boolean")
     assert df.agg(C.rate(F.col("b"))).first()[0] == 0.5
+
+
+def test_phrase_matching_moves_no_candidates(spark, monkeypatch):
+    """Many texts share rare words with many phrases, but hardly a pair is similar: nothing that grows
+    with the pairs is stored, and several shards and blocks give the same pairs as one."""
+    from wardflow import scratch
+    from wardflow.operators import phrases
+
+    rng = random.Random(9)
+    texts = [(i, f"a{i % 5} b{i % 7} " + " ".join(f"t{i}x{j}" for j in range(rng.randint(0, 6)))) for i in range(400)]
+    catalogue = [(i, f"a{i % 5} b{i % 7} " + " ".join(f"c{i}x{j}" for j in range(rng.randint(0, 6)))) for i in range(300)]
+    rows = {}
+    keep = scratch.materialise
+    monkeypatch.setattr(phrases.scratch, "materialise",
+                        lambda df, label: rows.setdefault(label, keep(df, label)))
+    left, right = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame(catalogue, "c int, p string")
+
+    def found():
+        rows.clear()
+        return sorted(tuple(r) for r in phrases.match_phrases(left, "id", "t", right, "c", "p", 0.6).collect())
+
+    one = found()
+    stored = {label: df.count() for label, df in rows.items()}
+    assert all(n <= max(len(texts), len(catalogue), len(one)) for n in stored.values()), stored
+    for name in ("BLOCK_WORDS", "SHARD_WORDS"):
+        monkeypatch.setattr(phrases, name, 200)
+    assert found() == one
