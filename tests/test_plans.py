@@ -232,3 +232,23 @@ def test_building_a_query_runs_nothing(spark):
 def test_text_labels_stay_in_the_jvm(spark):
     df = B.documents(spark, SF).select(X.classify(F.col("text"), L.PRIORITY, L.PRIORITY_DEFAULT))
     assert "Python" not in plan_of(df)
+
+
+@pytest.mark.parametrize("name,absent", [
+    ("kpi_epidemiology", "keys=[id_hospital"), ("kpi_epidemiology", "Exchange hashpartitioning(id_hospital"),
+    ("visits_360", "Exchange hashpartitioning(id_hospital")])
+def test_visits_are_neither_grouped_nor_moved_for_hospitals(spark, name, absent):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert absent not in plan_of(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_view_360_with_a_large_table_of_hospitals(visits, hospitals, patients, monkeypatch):
+    from wardflow.operators import integrity
+
+    small = views.visits_360(visits, hospitals, patients)
+    monkeypatch.setattr(integrity, "SENT_BYTES", 0)
+    large = views.visits_360(visits, hospitals, patients)
+    assert small.columns == large.columns and sorted(map(str, small.collect())) == sorted(map(str, large.collect()))

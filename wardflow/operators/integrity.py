@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow import scratch
 
@@ -27,6 +28,20 @@ def missing(child: DataFrame, child_key: str) -> DataFrame:
     return child.where(F.col(child_key).isNull())
 
 
+#: Bytes of a dimension that may be sent to every executor.
+SENT_BYTES = 64 << 20
+
+
+def sent_if_small(dim: DataFrame, most: int | None = None) -> DataFrame:
+    """The dimension marked for a broadcast, if its measured size is within ``most`` (``SENT_BYTES``):
+    the facts then stay where they are. One aggregation over the dimension."""
+    wide = (T.StringType, T.BinaryType)
+    row = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) for f in dim.schema if isinstance(f.dataType, wide)),
+              F.lit(8 * (len(dim.columns) + 2)).cast("long"))
+    size = dim.agg(F.sum(row)).first()[0] or 0
+    return F.broadcast(dim) if size <= (SENT_BYTES if most is None else most) else dim
+
+
 def left_join_optional(fact: DataFrame, key: str, dim: DataFrame, dim_key: str,
                        spread_by: Sequence[str]) -> DataFrame:
     """Left join on a key that many rows lack; the dimension's key column is dropped.

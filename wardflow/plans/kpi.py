@@ -44,6 +44,15 @@ def partials(visits: DataFrame, keys: Sequence[str]) -> DataFrame:
     return visits.groupBy(*keys).agg(*measures)
 
 
+def as_partials(visits: DataFrame) -> DataFrame:
+    """The measures of :func:`partials` with a row for every visit, for keys so fine that grouping by
+    them reduces nothing and only fills the tasks' memory."""
+    wait = F.col("tempo_espera_minutos")
+    return visits.withColumns({
+        "n": F.lit(1).cast("long"), "espera_soma": wait.cast("long"),
+        "espera_n": wait.isNotNull().cast("int").cast("long")})
+
+
 def _total_wait() -> Column:
     return C.ratio(F.sum("espera_soma"), F.sum("espera_n")).alias("tempo_espera_medio")
 

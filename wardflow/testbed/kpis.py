@@ -65,14 +65,16 @@ SELECT regiao, estado, especialidade, cid_10, diagnostico_descricao,
        avg(idade) AS idade_media, avg(tempo_espera_minutos) AS tempo_espera_medio
 FROM v360 GROUP BY ALL""")
 def kpi_epidemiology(spark, sf):
-    """Ids through the joins; the names of places and codes come in over reduced rows."""
-    parts = patient_parts(spark, sf, "id_medico", "status")
-    coded = parts.join(B.codes(spark, sf), "id_medico").withColumns({
-        c: F.when(F.col("status") == "finalizada", F.col(c)) for c in ("cid_10", "diagnostico_descricao")})
+    """Ids through the joins, the narrowest dimension first; one row a visit, because hardly two visits
+    share patient, hospital and doctor."""
+    visits = B.visits(spark, sf, codes=False).drop("modalidade")
     places = B.hospitals(spark, sf).select("id_hospital", "regiao", "estado")
     ages = B.patients(spark, sf).select("id_paciente", "idade")
-    return kpi.epidemiology(integrity.left_join_optional(
-        coded.join(places, "id_hospital"), "id_paciente", ages, "id_paciente", ["id_hospital", "id_medico"]))
+    aged = integrity.left_join_optional(
+        visits, "id_paciente", ages, "id_paciente", ["id_consulta", "id_hospital", "id_medico"]).drop("id_consulta")
+    coded = aged.join(integrity.sent_if_small(places), "id_hospital").join(B.codes(spark, sf), "id_medico").withColumns({
+        c: F.when(F.col("status") == "finalizada", F.col(c)) for c in ("cid_10", "diagnostico_descricao")})
+    return kpi.epidemiology(kpi.as_partials(coded))
 
 
 def _doctor_sql(keys: str, source: str = "v") -> str:
