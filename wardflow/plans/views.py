@@ -10,19 +10,23 @@ from pyspark.sql import functions as F
 from wardflow.functions import columns as C
 from wardflow.functions import text as X
 from wardflow.functions.lexicons import PRIORITY, PRIORITY_DEFAULT, RISK, RISK_DEFAULT
-from wardflow.operators.integrity import left_join_optional
+from wardflow.operators.integrity import left_join_optional, sent_if_small
 
 
 def visits_360(visits: DataFrame, hospitals: DataFrame, patients: DataFrame) -> DataFrame:
     """Visits with their hospital and, where the patient is known, the patient.
 
-    Visits without a patient stay, with NULL patient columns.
+    Visits without a patient stay, with NULL patient columns. Patients are joined first, so that the
+    visits are shuffled for them without the hospital's names; hospitals within
+    ``integrity.SENT_BYTES`` are sent to the visits.
     """
     # The specialty of a visit is the doctor's; a hospital's own has another meaning.
     places = hospitals.drop(*[c for c in hospitals.columns if c in visits.columns and c != "id_hospital"])
-    located = visits.join(places, "id_hospital")
-    return left_join_optional(located, "id_paciente", patients, "id_paciente",
-                              spread_by=["id_consulta", "id_hospital", "id_medico"])
+    known = left_join_optional(visits, "id_paciente", patients, "id_paciente",
+                               spread_by=["id_consulta", "id_hospital", "id_medico"])
+    names = ["id_hospital", *(c for frame in (visits, places, patients) for c in frame.columns
+                              if c not in ("id_hospital", "id_paciente") or (frame is visits and c != "id_hospital"))]
+    return known.join(sent_if_small(places), "id_hospital").select(*names)
 
 
 def rated_visits(visits: DataFrame, reviews: DataFrame, problem: Column) -> DataFrame:
