@@ -117,3 +117,17 @@ def test_bucketed_tables_hold_the_rows(spark):
     stored = tables.create_table(df, f"{layers['silver']}.b", bucket_by=(4, ["v"]))
     assert stored.groupBy("v").count().count() == 9 and stored.count() == 1000
     tables.drop_layers(spark, layers)
+
+
+def test_a_task_of_a_shuffle_reads_little(spark):
+    """48 MB of shuffled rows are several tasks, also where cores would not ask for it."""
+    from wardflow.session import apply_settings
+
+    apply_settings(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        rows = spark.range(2_000_000).select(*(F.xxhash64(F.col("id") + i).alias(f"c{i}") for i in range(3)))
+        tasks = rows.repartition("c0").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    assert tasks > 1
