@@ -122,3 +122,23 @@ def test_learnt_weights_find_toxic_texts_that_were_held_out(spark):
     counts = {r.toxic: r["count"] for r in hits}
     assert counts[1] > by_list and counts[1] > 0.75 * test.where("toxic = 1").count()
     assert counts[0] < 0.06 * test.where("toxic = 0").count()
+
+
+def test_passes_over_the_texts(spark, rows, tmp_path):
+    """A new store compares nothing; later runs that need no text back read the texts twice."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    raw = spark.createDataFrame([(i, f"texto {i % 30}") for i in range(100)], "id int, t string")
+    docs = raw.withColumn("t", seen.asNondeterministic()("t"))
+    label_store.labelled(docs, "t", str(tmp_path), "n", length_of, keep_text=False)
+    assert read.value < 200
+    read.value = 0
+    found = label_store.labelled(docs.withColumn("t", F.concat("t", F.lit("!"))), "t", str(tmp_path), "n", length_of,
+                                 keep_text=False)
+    assert rows(found) == rows(raw.select("id", (F.length("t") + 1).alias("tamanho")))
+    assert read.value <= 200

@@ -49,7 +49,7 @@ def known(spark: SparkSession, root: str, definition: object, schema: T.StructTy
 
 
 def labelled(docs: DataFrame, text: str, root: str, definition: object,
-             add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+             add: Callable[[DataFrame], DataFrame], keep_text: bool = True) -> DataFrame:
     """The rows of ``docs`` with the columns that ``add`` adds, computed for new texts only.
 
     ``add`` gets a frame of distinct texts (the column ``text`` and a digest) and returns it with
@@ -57,7 +57,9 @@ def labelled(docs: DataFrame, text: str, root: str, definition: object,
     expressions or Python. NULL text has NULL labels; rows may be repeated, names must not clash
     with the added columns. No rows add no batch.
 
-    Digests are compared first; texts move only if they are new, once, to be made distinct.
+    Digests are compared first; texts move only if they are new, once, to be made distinct. A store
+    without a batch knows no text, so nothing is compared. Without ``keep_text`` the rows come back
+    without their text, and those of a store with batches from the first pass over the texts.
     """
     spark = docs.sparkSession
     sign = F.unhex(F.sha2(F.col(text), 256))
@@ -67,20 +69,28 @@ def labelled(docs: DataFrame, text: str, root: str, definition: object,
     names = [c for c in empty.columns if c not in (SIGN, text)]
     schema = T.StructType([T.StructField(SIGN, T.BinaryType()),
                            *(T.StructField(c, empty.schema[c].dataType) for c in names)])
-    before = known(spark, root, definition, schema)
-    # Written, so that its size decides how the texts meet it.
-    unseen = scratch.materialise(
-        signed.select(SIGN).where(F.col(SIGN).isNotNull()).distinct().join(before.select(SIGN), SIGN, "left_anti"),
-        "unseen")
-    if not unseen.isEmpty():
-        new = signed.select(SIGN, text).join(unseen, SIGN).groupBy(SIGN).agg(F.first(text).alias(text))
-        add(new).select(SIGN, *names).write.parquet(
+    kept = docs.columns if keep_text else [c for c in docs.columns if c != text]
+    rows, new = signed.select(SIGN, *kept), signed.select(SIGN, text).where(F.col(text).isNotNull())
+    if batches(spark, root, definition):
+        before = known(spark, root, definition, schema)
+        if not keep_text:
+            rows = scratch.materialise(rows, "signed")
+        # Written, so that its size decides how the texts meet it.
+        unseen = scratch.materialise(
+            rows.select(SIGN).where(F.col(SIGN).isNotNull()).distinct().join(before.select(SIGN), SIGN, "left_anti"),
+            "unseen")
+        new = None if unseen.isEmpty() else new.join(unseen, SIGN)
+    elif new.isEmpty():
+        new = None
+    if new is not None:
+        add(new.groupBy(SIGN).agg(F.first(text).alias(text))).select(SIGN, *names).write.parquet(
             f"{root}/regra={fingerprint(definition)}/lote={uuid.uuid4().hex}")
     stored = known(spark, root, definition, schema).withColumnRenamed(SIGN, "_stored")
-    return signed.join(stored, F.col(SIGN) == F.col("_stored"), "left").select(*docs.columns, *names)
+    return rows.join(stored, F.col(SIGN) == F.col("_stored"), "left").select(*kept, *names)
 
 
-def labelled_by_rules(docs: DataFrame, text: str, root: str, lexicons: dict[str, tuple[dict, str]]) -> DataFrame:
+def labelled_by_rules(docs: DataFrame, text: str, root: str, lexicons: dict[str, tuple[dict, str]],
+                      keep_text: bool = True) -> DataFrame:
     """The rows with a label per lexicon: name -> (lexicon, default label)."""
     from wardflow.functions import text as X
 
@@ -91,4 +101,4 @@ def labelled_by_rules(docs: DataFrame, text: str, root: str, lexicons: dict[str,
 
     definition = [[name, [[label, list(terms.items())] for label, terms in lexicon.items()], default]
                   for name, (lexicon, default) in lexicons.items()]
-    return labelled(docs, text, root, definition, add)
+    return labelled(docs, text, root, definition, add, keep_text)
