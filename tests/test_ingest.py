@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from wardflow import scratch
 from wardflow.plans import pipelines
 from wardflow.sources import files, ingest, tables
+from wardflow.testbed import files as landed
 
 SCHEMA = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
 
@@ -120,6 +121,39 @@ def test_visit_tables_grow_with_the_directory(spark, tmp_path, monkeypatch):
     tables.drop_layers(spark, layers)
 
 
+def test_a_run_is_landed_and_taken_without_a_sort(spark, landing):
+    folder, root, put = landing
+    put("one.csv", "1,x", "z,bad")
+    ingest.land(spark, folder, root, SCHEMA, ["a"])
+    run = ingest.runs(spark, root)[0]
+    assert not [f for f in os.listdir(f"{root}/linhas/{ingest.RUN}={run}") if "=" in f]
+    rows = ingest.current(spark, root, SCHEMA)
+    assert {r[ingest.RUN] for r in rows.collect()} == {run}
+    assert "Sort" not in plan_of(rows.sortWithinPartitions(ingest.RUN))
+
+
+def test_a_field_of_a_raw_line_is_cast_once(spark, landing):
+    folder, _, put = landing
+    put("one.csv", "1,x", "z,bad", "3")
+    rows = files.read_csv_dir(spark, folder, SCHEMA)
+    assert [tuple(r) for r in rows.select("a", "b", files.RAW_LINE).orderBy(F.col("a").asc_nulls_first()).collect()] == [
+        (None, "bad", "z,bad"), (1, "x", None), (3, None, "3")]
+    plan = plan_of(rows.select("a", files.RAW_LINE, F.col("_metadata.file_path")))
+    assert plan.count("try_cast(") == 1 and "file_modification_time" not in plan
+
+
+def test_late_lines_come_into_the_same_directory_from_one_join(spark, rows, monkeypatch):
+    folder, joins = "/root/testdata/sf0.001", []
+    visits = landed.B.visits
+    monkeypatch.setattr(landed.B, "visits", lambda *a, **k: joins.append(1) or visits(*a, **k))
+    path, bring_late = landed.landed_in_turn(spark, folder, F.col("status") == "finalizada")
+    text = lambda p: rows(spark.read.text(p).select("value"))
+    first = text(path)
+    bring_late()
+    assert len(joins) == 1 and 0 < len(first) < len(text(path))
+    assert text(path) == text(landed.landed_lines(spark, folder))
+
+
 def test_reloading_a_partition_leaves_the_others(spark):
     layers = tables.create_layers(spark, scratch.new_path(spark, "partition-test"), suffix=f"p{time.time_ns()}")
     name = f"{layers['silver']}.meses"

@@ -37,13 +37,17 @@ def read_csv_dir(spark: SparkSession, path: str | list[str], schema: T.StructTyp
         .option("columnNameOfCorruptRecord", RAW_LINE)
         .csv(path)
     )
-    typed = {f.name: safe_cast(F.col(f.name), f.dataType.simpleString()) for f in schema}
+    # Each text is cast once; the test for a misfit looks at the result. A text is never a misfit as text.
+    typed = {f.name: f"__{f.name}" for f in schema if not isinstance(f.dataType, T.StringType)}
+    cast = rows.select(
+        "*", F.struct(F.col("_metadata.file_path")).alias("_metadata"),
+        *[safe_cast(F.col(f.name), f.dataType.simpleString()).alias(typed[f.name]) for f in schema if f.name in typed])
     misfit = F.lit(False)
     for name, value in typed.items():
-        misfit = misfit | (F.col(name).isNotNull() & value.isNull())
+        misfit = misfit | (F.col(name).isNotNull() & F.col(value).isNull())
     fields = F.to_csv(F.struct(*[F.col(f.name) for f in schema]))
-    return rows.select(
-        *[value.alias(name) for name, value in typed.items()],
+    return cast.select(
+        *[F.col(typed.get(f.name, f.name)).alias(f.name) for f in schema],
         F.coalesce(F.col(RAW_LINE), F.when(misfit, fields)).alias(RAW_LINE),
         F.col("_metadata"))
 

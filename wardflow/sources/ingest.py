@@ -49,6 +49,11 @@ def _stored(spark: SparkSession, root: str, kind: str, schema: T.StructType, wan
     """The rows of some runs as one scan; the run is a partition column."""
     if not wanted:
         return spark.createDataFrame([], schema)
+    if len(wanted) == 1:
+        # A constant: a table with a folder per run is then written without a sort by run.
+        data = T.StructType([f for f in schema if f.name != RUN])
+        one = spark.read.schema(data).parquet(f"{root}/{kind}/{RUN}={wanted[0]}")
+        return one.withColumn(RUN, F.lit(wanted[0])).select(*schema.names)
     return spark.read.schema(schema).option("basePath", f"{root}/{kind}").parquet(
         *(f"{root}/{kind}/{RUN}={run}" for run in wanted))
 
@@ -85,11 +90,11 @@ def land(spark: SparkSession, landing: str, root: str, schema: T.StructType, req
     # Names of runs are in the order of their runs.
     run = f"{len(runs(spark, root)):08d}-{uuid.uuid4().hex}"
     rows = files.read_csv_dir(spark, [r.caminho for r in new], schema, free_text=free_text, header=header)
-    # Both sorts in one pass over the raw files.
+    # Both sorts in one pass over the raw files, into the same files: folders would need every row sorted.
     bad = files.misfits(rows, required)
     marked = rows.select(*schema.names, files.RAW_LINE, F.col("_metadata.file_path").alias(FILE),
                          F.when(bad, _SORTS[1]).otherwise(_SORTS[0]).alias("destino"))
-    marked.write.partitionBy("destino").parquet(f"{root}/linhas/{RUN}={run}")
+    marked.write.parquet(f"{root}/linhas/{RUN}={run}")
     if before_publishing:
         before_publishing()
     written = _stored(spark, root, "linhas", _row_schema(schema), [run])

@@ -70,21 +70,43 @@ line AS (SELECT *, CASE id_consulta % 50
                    coalesce(cid_10, ''), coalesce(diagnostico_descricao, '')) END AS linha FROM v)"""
 
 
-def landed_lines(spark, sf, which=None, path=None):
-    """The visits (or those of a condition) as raw lines without a header, bad ones among them; the
-    path. Files are added to a given path."""
+def _raw_line():
+    """A visit as a raw line; some have text for a number, some too few fields."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     kind = F.pmod(F.col("id_consulta"), F.lit(50).cast("long"))
     wait = F.concat(F.when(kind == 7, "x").otherwise(""), text("tempo_espera_minutos"))
     fields = [wait if c == "tempo_espera_minutos" else text(c) for c in RAW_VISITS.names]
-    line = F.when(kind == 8, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields))
-    path = path or scratch.new_path(spark, "landing-linhas")
-    visits = B.visits(spark, sf)
-    visits = visits if which is None else visits.where(which)
-    visits.select(line.alias("value")).write.mode("append").text(path)
+    return F.when(kind == 8, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields))
+
+
+def landed_lines(spark, sf):
+    """The visits as raw lines without a header, bad ones among them; the path."""
+    path = scratch.new_path(spark, "landing-linhas")
+    B.visits(spark, sf).select(_raw_line().alias("value")).write.text(path)
     return path
 
 
+def landed_in_turn(spark, sf, early):
+    """The same lines, those of a condition first: the path of a directory that has these, and a call
+    that brings the others. The visits are joined once; the later files lie aside until they come."""
+    path, aside = (scratch.new_path(spark, label) for label in ("landing-linhas", "a-caminho"))
+    B.visits(spark, sf).select(
+        _raw_line().alias("value"), F.when(early, "cedo").otherwise("tarde").alias("entrega"),
+    ).write.partitionBy("entrega").text(aside)
+
+    def arrive(delivery):
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        landing, source = hadoop.Path(path), hadoop.Path(f"{aside}/entrega={delivery}")
+        system = landing.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(landing)
+        # No visit may be late, or none early.
+        if system.exists(source) and not system.rename(source, hadoop.Path(f"{path}/entrega={delivery}")):
+            raise OSError(f"{source} could not be moved to {path}")
+
+    arrive("cedo")
+    return path, lambda: arrive("tarde")
+
+
 @query("malformed_rows", f"""
 WITH {B.V}, {LINE_SQL}
 SELECT CASE WHEN id_consulta % 50 IN (7, 8) THEN 'ruim' ELSE 'boa' END AS destino, linha FROM line""")
@@ -306,11 +328,11 @@ def pipeline_incremental(spark, sf):
     nothing, and one of files that came late."""
     layers, root = _layers(spark, "incremental"), scratch.new_path(spark, "ingest")
     early = F.col("status") == "finalizada"
-    path = landed_lines(spark, sf, early)
+    path, bring_late = landed_in_turn(spark, sf, early)
     required = ["id_consulta", "id_hospital"]
-    for late in (None, None, ~early):
-        if late is not None:
-            landed_lines(spark, sf, late, path)
+    for files_come in (None, None, bring_late):
+        if files_come:
+            files_come()
         pipelines.land_visits(spark, path, root, RAW_VISITS, layers, required, header=False)
     kept, rejected = (spark.table(f"{layers['silver']}.consultas{x}") for x in ("", "_quarentena"))
     return _as_lines(kept, rejected)
